@@ -1,0 +1,52 @@
+"""Every registered query against its SQL, on the whole tables."""
+
+import math
+import sys
+from pathlib import Path
+
+import duckdb
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+import __spark_entry__ as contract  # noqa: E402
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for file in sorted(Path(SF_DIR).glob("*.parquet")):
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    return connection
+
+
+def _normal(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else round(value, 4)
+    return value
+
+
+def _rows(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted(tuple(repr(_normal(row[i])) for i in order) for row in rows)
+
+
+@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+def test_query_matches_sql(spark, duck, name):
+    result = contract.queries()[name](spark, SF_DIR)
+    expected = duck.execute(contract.oracle_sql()[name])
+    names = [column[0] for column in expected.description]
+    assert sorted(result.columns) == sorted(names)
+    rows = expected.fetchall()
+    assert rows
+    assert _rows(result.columns, [tuple(row) for row in result.collect()]) == _rows(names, rows)
+
+
+def test_every_query_but_the_file_sizes_has_sql():
+    assert set(contract.queries()) - set(contract.oracle_sql()) == {"health_files"}
+
+
+def test_entry(spark):
+    assert contract.entry(spark).count() > 0
