@@ -7,7 +7,7 @@ be compared by value; run times are left out.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from clickloom import schemas
 from clickloom.operators import attribution_log as log
 from clickloom.operators import dedup, fanout, gaps, health, ranking, sampling, stats
-from clickloom.operators.summary import campaign_days, recent
+from clickloom.operators.summary import campaign_days
 from clickloom.plans import compact, event_table, gold, prepare, silver
 from clickloom.sinks import files as sink_files
 from clickloom.sinks import messages as message_sink
@@ -64,6 +64,16 @@ def _processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _project(event_table.ad_events(spark, sf_dir))
 
 
+def _recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = AS_OF - timedelta(days=7)
+    return silver.recent_rows(_project(event_table.ad_events(spark, sf_dir, first)), 7, AS_OF)
+
+
+def _stored_raw(rows: DataFrame) -> DataFrame:
+    """``rows`` as a raw zone on disk, the form in which later stages read them."""
+    return scratch.written(rows, "raw")
+
+
 def _first_known(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Processed rows as of FIRST_LOAD: earlier events, without conversions still to come."""
     known = F.unix_timestamp(F.lit(FIRST_LOAD).cast("timestamp"))
@@ -141,15 +151,16 @@ def silver_dedup_any(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_recent_prefiltered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(silver.transform_recent(_with_corrections(spark, sf_dir), 7, AS_OF))
+    raw = _stored_raw(_with_corrections(spark, sf_dir))
+    return _plain(silver.transform_recent(raw, 7, AS_OF))
 
 
 def recent_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(silver.recent_rows(_processed(spark, sf_dir), 7, AS_OF))
+    return _plain(_recent(spark, sf_dir))
 
 
 def campaign_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(gold.summarize(_processed(spark, sf_dir), 7, AS_OF))
+    return _plain(gold.summarize(_recent(spark, sf_dir), 7, AS_OF))
 
 
 def campaign_summary_all_days(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,13 +170,13 @@ def campaign_summary_all_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merge_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first load, then the recent window merged over it: late conversions and new days."""
     table = _loaded_table(spark, sf_dir)
-    table.upsert(silver.recent_rows(_processed(spark, sf_dir), 7, AS_OF), unique=True)
+    table.upsert(_recent(spark, sf_dir), unique=True)
     return _plain(table.read(spark))
 
 
 def merge_processed_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same merge as one plan that writes nothing."""
-    source = silver.recent_rows(_processed(spark, sf_dir), 7, AS_OF)
+    source = _recent(spark, sf_dir)
     return _plain(silver.merged(_first_known(spark, sf_dir), source))
 
 
@@ -179,20 +190,20 @@ def merge_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def full_refresh_dynamic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only the partitions of the refreshed days are replaced."""
     table = _loaded_table(spark, sf_dir)
-    table.overwrite_partitions(silver.recent_rows(_processed(spark, sf_dir), 7, AS_OF))
+    table.overwrite_partitions(_recent(spark, sf_dir))
     return _plain(table.read(spark))
 
 
 def append_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A blind append: rows of the overlapping days are there twice."""
     table = _loaded_table(spark, sf_dir)
-    table.append(silver.recent_rows(_processed(spark, sf_dir), 7, AS_OF))
+    table.append(_recent(spark, sf_dir))
     return _plain(table.read(spark))
 
 
 def backfill_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _loaded_table(spark, sf_dir)
-    silver.backfill(_raw(spark, sf_dir), table, *BACKFILL, run_at=RUN_AT)
+    silver.backfill(_stored_raw(_raw(spark, sf_dir)), table, *BACKFILL, run_at=RUN_AT)
     return _plain(table.read(spark))
 
 
@@ -216,27 +227,29 @@ def fanout_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fanout_impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(fanout.impressions(_feed(spark, sf_dir)))
+    return _plain(fanout.impressions(event_table.ad_events(spark, sf_dir)))
 
 
 def fanout_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(fanout.in_time_order(fanout.clicks(_feed(spark, sf_dir))))
+    return _plain(fanout.in_time_order(fanout.clicks(event_table.ad_events(spark, sf_dir))))
 
 
 def fanout_conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(fanout.in_time_order(fanout.conversions(_feed(spark, sf_dir))))
+    return _plain(fanout.in_time_order(fanout.conversions(event_table.ad_events(spark, sf_dir))))
+
+
+def _three_feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    events = event_table.ad_events(spark, sf_dir)
+    return fanout.impressions(events), fanout.clicks(events), fanout.conversions(events)
 
 
 def fanout_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three feeds as separate sets, put together again."""
-    feed = _feed(spark, sf_dir)
-    return _plain(
-        fanout.together(fanout.impressions(feed), fanout.clicks(feed), fanout.conversions(feed))
-    )
+    return _plain(fanout.together(*_three_feeds(spark, sf_dir)))
 
 
 def conversions_with_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(fanout.conversions(_feed(spark, sf_dir, "has_timestamp")))
+    return _plain(fanout.conversions(event_table.ad_events(spark, sf_dir), "has_timestamp"))
 
 
 def fanout_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,10 +265,7 @@ def topic_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def relink_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = _feed(spark, sf_dir)
-    return _plain(
-        fanout.relink(fanout.impressions(feed), fanout.clicks(feed), fanout.conversions(feed))
-    )
+    return _plain(fanout.relink(*_three_feeds(spark, sf_dir)))
 
 
 def _damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -385,7 +395,7 @@ def health_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table of many small files after its compaction."""
     table = _loaded_table(spark, sf_dir)
-    table.append(silver.recent_rows(_processed(spark, sf_dir), 7, AS_OF))
+    table.append(_recent(spark, sf_dir))
     compact.run(spark, table)
     return _plain(table.read(spark))
 

@@ -8,10 +8,36 @@ from pyspark.sql import functions as F
 from clickloom import schemas
 from clickloom.functions import events as E
 
-FEED = (
-    "event_id STRING, event_type STRING, timestamp BIGINT, impression_timestamp BIGINT, "
-    "event_time STRING, uid STRING, campaign INT, cost DOUBLE, conversion_delay_sec BIGINT"
-)
+def _fields(kind: str, seed: int = 42) -> dict[str, Column]:
+    """One kind of event from the columns of a combined row."""
+    seconds, converted_at = F.col("timestamp"), F.col("conversion_timestamp")
+    none = F.lit(None)
+    at, impression_at, cost, delay = {
+        "impression": (seconds, none, F.coalesce("cost", F.lit(0.0)), none),
+        "click": (seconds + E.click_delay(F.col("event_id"), seed), seconds, none, none),
+        "conversion": (converted_at, seconds, none, F.try_subtract(converted_at, seconds)),
+    }[kind]
+    return {
+        "event_id": F.col("event_id"),
+        "event_type": F.lit(kind),
+        "timestamp": at.cast("bigint"),
+        "impression_timestamp": impression_at.cast("bigint"),
+        "event_time": E.iso_time(at),
+        "uid": F.col("uid"),
+        "campaign": F.col("campaign").cast("int"),
+        "cost": cost.cast("double"),
+        "conversion_delay_sec": delay.cast("bigint"),
+    }
+
+
+def _named(fields: dict[str, Column], columns=None) -> list[Column]:
+    return [fields[name].alias(name) for name in columns or fields]
+
+
+def _converts(rule: str) -> Column:
+    return E.is_conversion(
+        rule, F.col("conversion"), F.col("conversion_timestamp"), F.col("timestamp")
+    )
 
 
 def split(df: DataFrame, seed: int = 42, rule: str = "positive_delay") -> DataFrame:
@@ -21,64 +47,38 @@ def split(df: DataFrame, seed: int = 42, rule: str = "positive_delay") -> DataFr
     a converted row (by ``rule``) a conversion at its own time. Columns a kind
     does not have are NULL.
     """
-    seconds = F.col("timestamp")
-    click_at = seconds + E.click_delay(F.col("event_id"), seed)
-    converted_at = F.col("conversion_timestamp")
-    converts = E.is_conversion(rule, F.col("conversion"), converted_at, seconds)
-    kinds = F.array_compact(
-        F.array(
-            _event("impression", seconds, cost=F.coalesce("cost", F.lit(0.0))),
-            F.when(E.is_click(F.col("click")), _event("click", click_at, seconds)),
-            F.when(
-                converts,
-                _event(
-                    "conversion",
-                    converted_at,
-                    seconds,
-                    delay=F.try_subtract(converted_at, seconds),
-                ),
-            ),
-        )
-    )
-    return df.select(F.inline(kinds))
-
-
-def _event(
-    kind: str,
-    at: Column,
-    impression_at: Column | None = None,
-    cost: Column | None = None,
-    delay: Column | None = None,
-) -> Column:
-    def optional(value: Column | None, type_name: str, name: str) -> Column:
-        return (F.lit(None) if value is None else value).cast(type_name).alias(name)
-
-    return F.struct(
-        F.col("event_id"),
-        F.lit(kind).alias("event_type"),
-        at.cast("bigint").alias("timestamp"),
-        optional(impression_at, "bigint", "impression_timestamp"),
-        E.iso_time(at).alias("event_time"),
-        F.col("uid"),
-        F.col("campaign").cast("int").alias("campaign"),
-        optional(cost, "double", "cost"),
-        optional(delay, "bigint", "conversion_delay_sec"),
+    kinds = F.array(
+        F.struct(*_named(_fields("impression"))),
+        F.when(E.is_click(F.col("click")), F.struct(*_named(_fields("click", seed)))),
+        F.when(_converts(rule), F.struct(*_named(_fields("conversion")))),
     )
+    return df.select(F.inline(F.array_compact(kinds)))
 
 
-def impressions(feed: DataFrame) -> DataFrame:
-    return _kind(feed, "impression", schemas.IMPRESSION_COLUMNS)
+def impressions(df: DataFrame) -> DataFrame:
+    """The impressions of combined events alone."""
+    return df.select(_named(_fields("impression"), schemas.IMPRESSION_COLUMNS))
 
 
-def clicks(feed: DataFrame) -> DataFrame:
-    return _kind(feed, "click", schemas.CLICK_COLUMNS)
+def clicks(df: DataFrame, seed: int = 42) -> DataFrame:
+    """The clicks of combined events alone: a filter the scan can use."""
+    clicked = df.filter(E.is_click(F.col("click")))
+    return clicked.select(_named(_fields("click", seed), schemas.CLICK_COLUMNS))
 
 
-def conversions(feed: DataFrame) -> DataFrame:
-    return _kind(feed, "conversion", schemas.CONVERSION_COLUMNS)
+def conversions(df: DataFrame, rule: str = "positive_delay") -> DataFrame:
+    """The conversions of combined events alone."""
+    converted = df.filter(_converts(rule))
+    return converted.select(_named(_fields("conversion"), schemas.CONVERSION_COLUMNS))
 
 
-def _kind(feed: DataFrame, kind: str, columns) -> DataFrame:
+def of_kind(feed: DataFrame, kind: str) -> DataFrame:
+    """One kind's rows and columns of a feed made by ``split``."""
+    columns = {
+        "impression": schemas.IMPRESSION_COLUMNS,
+        "click": schemas.CLICK_COLUMNS,
+        "conversion": schemas.CONVERSION_COLUMNS,
+    }[kind]
     return feed.filter(F.col("event_type") == kind).select(*columns)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -56,20 +56,20 @@ def with_row_index(df: DataFrame, order: Sequence[str] | None, name: str = "row_
 
 
 def first_n(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
-    """The first ``n`` rows in ``order``, whose leading column is a BIGINT without NULLs."""
+    """The first ``n`` rows in ``order``: a top-k, or for many rows a ``split_at``."""
     if n <= TOP_K:
         return df.orderBy(*order).limit(n)
     return split_at(df, order, n)[0]
 
 
-def from_nth(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
-    """All rows but the first ``n`` in ``order``."""
-    return split_at(df, order, n)[1]
-
-
-def split_at(df: DataFrame, order: Sequence[str], n: int) -> tuple[DataFrame, DataFrame]:
+def split_at(
+    df: DataFrame, order: Sequence[str], n: int | Callable[[int], int]
+) -> tuple[DataFrame, DataFrame]:
     """The first ``n`` rows in ``order`` and the rest, as two filters.
 
+    ``n`` may be worked out from the number of rows. The leading column must be
+    a BIGINT without NULLs.
+
     Only the sort key at the cut is looked for: histograms of the leading
     column narrow it down to one value or a few rows, so the rows themselves
     are neither sorted nor shuffled. The key need not be unique: copies of the
@@ -81,6 +81,8 @@ def split_at(df: DataFrame, order: Sequence[str], n: int) -> tuple[DataFrame, Da
     ).first()
     if ranked < total:
         raise ValueError(f"{lead} holds NULLs, which have no place in the order")
+    if callable(n):
+        n = n(total)
     if n <= 0:
         return df.limit(0), df
     if n >= total:

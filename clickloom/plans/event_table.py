@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,13 +15,16 @@ from clickloom.session import pin_utc
 _DELAY_STEP, _DELAY_SPAN, _DELAY_LEAST = 7919, 259_141, 60
 
 
-def ad_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ad_events(spark: SparkSession, sf_dir: str, since: date | None = None) -> DataFrame:
     """Combined events: a click or purchase is a click, a purchase a conversion.
 
-    A narrow projection of the scan, which reads only the columns still needed.
+    A narrow projection of the scan, which reads only the columns still needed
+    and, given ``since``, skips row groups of earlier days.
     """
     pin_utc(spark)
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    if since is not None:
+        events = events.filter(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
     seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
     clicked = F.col("event_type").isin("click", "purchase")
     purchased = F.col("event_type") == "purchase"

@@ -33,11 +33,12 @@ def in_time_order(df: DataFrame, ties: Sequence[str]) -> DataFrame:
 
 def slices(df: DataFrame, ties: Sequence[str]) -> Slices:
     """``timestamp`` must be a BIGINT without NULLs; ``ties`` tells rows of equal time apart."""
-    start = int(df.count() * TAIL_FROM)
+    order = ["timestamp", *ties]
+    _, tail = ranking.split_at(df, order, lambda rows: int(rows * TAIL_FROM))
     return Slices(
         main=in_time_order(df, ties),
-        head=ranking.first_n(df, ["timestamp", *ties], HEAD_ROWS),
-        tail=in_time_order(ranking.from_nth(df, ["timestamp", *ties], start), ties),
+        head=ranking.first_n(df, order, HEAD_ROWS),
+        tail=in_time_order(tail, ties),
     )
 
 
@@ -140,10 +141,11 @@ def split_csv(
     """Write the three feeds of a string-typed event CSV and return their summary."""
     numbered = numbered_csv(events, prefix, by_time)
     feed = scratch.written(fanout.split(numbered, seed), "feed")
-    impressions = fanout.impressions(feed)
-    files.write_csv(impressions, f"{output}/events_impressions", schemas.IMPRESSION_COLUMNS)
-    clicks = fanout.in_time_order(fanout.clicks(feed))
-    files.write_csv(clicks, f"{output}/events_clicks", schemas.CLICK_COLUMNS)
-    conversions = fanout.in_time_order(fanout.conversions(feed))
-    files.write_csv(conversions, f"{output}/events_conversions", schemas.CONVERSION_COLUMNS)
+    for kind, columns in (
+        ("impression", schemas.IMPRESSION_COLUMNS),
+        ("click", schemas.CLICK_COLUMNS),
+        ("conversion", schemas.CONVERSION_COLUMNS),
+    ):
+        rows = fanout.in_time_order(fanout.of_kind(feed, kind))
+        files.write_csv(rows, f"{output}/events_{kind}s", columns)
     return fanout.summary(feed)

@@ -63,9 +63,10 @@ def transform_recent(
 
     Filtering before the deduplication lets the filter reach the scan. It would
     resurrect an old version of an event whose newest version has a date
-    outside the window, so those events are removed again, by a join that reads
-    nothing but ids and message positions of the rest. ``assume_fixed_dates``
-    leaves that join out where an event never changes its date.
+    outside the window, so those events are removed again, by a join with ids
+    and message positions of the other rows sent since the window's first
+    message. ``assume_fixed_dates`` leaves that join out where an event never
+    changes its date.
     ``assume_ingested_later`` also skips the raw partitions of earlier days,
     where no event arrives before its own time.
     """
@@ -101,6 +102,16 @@ def _newest_inside(
     newest = dedup.latest_row(rows, ["event_id"], dedup.message_order())
     if not assume_fixed_dates:
         elsewhere = raw.filter(~F.coalesce(inside, F.lit(False)) & F.col("event_id").isNotNull())
+        # Only a later message can replace another, so what was sent before the
+        # first one inside need not be read. One value, known when planning, it
+        # is pushed into the scan.
+        sent = rows.agg(
+            F.min(F.unix_micros("kafka_timestamp")).alias("first"),
+            F.count(F.when(F.col("kafka_timestamp").isNull(), True)).alias("unknown"),
+        ).first()
+        if sent["first"] is not None and not sent.unknown:
+            since = F.timestamp_micros(F.lit(sent["first"]))
+            elsewhere = elsewhere.filter(F.col("kafka_timestamp") >= since)
         versions = elsewhere.groupBy("event_id").agg(F.max(_version()).alias("_version"))
         same_and_newer = (F.col("n.event_id") == F.col("v.event_id")) & (
             F.col("v._version") > F.col("n._version")

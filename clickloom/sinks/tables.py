@@ -63,8 +63,8 @@ class PathTable:
 
         Only touched partitions are read in full and written again. With
         ``keys_move`` (a key may sit in another partition than its new row)
-        these are found by a join on the key columns alone; without it they are
-        the source's own partitions. ``unique`` skips the duplicate-key check
+        these are found by a join on the key columns alone, within the source's
+        key range; without it they are the source's own partitions. ``unique`` skips the duplicate-key check
         for a source known to have none. ``delete_unmatched`` drops target rows
         it holds for that the source does not have.
         """
@@ -76,7 +76,8 @@ class PathTable:
             arriving = self._values(rows)
             leaving: set = set()
             if keys_move and self.partition not in self.keys:
-                leaving |= self._values(merge.matched(target, rows, self.keys))
+                within = target.filter(merge.key_range(rows, self.keys[0]))
+                leaving |= self._values(merge.matched(within, rows, self.keys))
             if delete_unmatched is not None:
                 leaving |= self._values(target.filter(delete_unmatched))
 

@@ -1,0 +1,172 @@
+"""The upsert, as a function and as a write."""
+
+import os
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from clickloom import schemas
+from clickloom.operators import merge
+from clickloom.sinks import tables
+
+SCHEMA = "event_id STRING, event_date DATE, cost DOUBLE"
+NOW = datetime(2024, 2, 1)
+
+
+def rows(spark, *values):
+    return spark.createDataFrame(list(values), SCHEMA)
+
+
+def d(day):
+    return date(2024, 1, day)
+
+
+def as_dict(df):
+    found = df.select("event_id", "event_date", "cost").collect()
+    assert len({row.event_id for row in found}) == len(found)
+    return {row.event_id: (row.event_date, row.cost) for row in found}
+
+
+def table_of(spark, folder):
+    schema = StructType.fromDDL(SCHEMA)
+    table = tables.PathTable(f"{folder}/t", schema, "event_date", ("event_id",))
+    table.ensure(spark)
+    return table
+
+
+def folders(table):
+    return sorted(name for name in os.listdir(table.path) if name.startswith("event_date="))
+
+
+def test_update_and_insert(spark):
+    target = rows(spark, ("a", d(1), 1.0), ("b", d(1), 1.0))
+    source = rows(spark, ("b", d(2), 2.0), ("c", d(3), 3.0))
+    expected = {"a": (d(1), 1.0), "b": (d(2), 2.0), "c": (d(3), 3.0)}
+    once = merge.merge_upsert(target, source, ["event_id"])
+    assert as_dict(once) == expected
+    assert as_dict(merge.merge_upsert(once, source, ["event_id"])) == expected
+
+
+def test_null_keys_match_each_other(spark):
+    merged = merge.merge_upsert(
+        rows(spark, (None, d(1), 1.0)), rows(spark, (None, d(1), 2.0)), ["event_id"]
+    )
+    assert as_dict(merged) == {None: (d(1), 2.0)}
+
+
+def test_when_newer(spark):
+    target = rows(spark, ("a", d(1), 5.0), ("b", d(1), 1.0))
+    source = rows(spark, ("a", d(1), 4.0), ("b", d(1), 2.0), ("c", d(1), 0.0))
+    merged = merge.merge_upsert(target, source, ["event_id"], when_newer="cost")
+    assert as_dict(merged) == {"a": (d(1), 5.0), "b": (d(1), 2.0), "c": (d(1), 0.0)}
+
+
+def test_delete_unmatched(spark):
+    target = rows(spark, ("a", d(1), 5.0), ("b", d(2), 1.0), ("c", d(2), 9.0), ("e", None, 1.0))
+    source = rows(spark, ("c", d(2), 4.0))
+    gone = F.col("event_date") >= F.lit(d(2))
+    plain = merge.merge_upsert(target, source, ["event_id"], delete_unmatched=gone)
+    assert as_dict(plain) == {"a": (d(1), 5.0), "c": (d(2), 4.0), "e": (None, 1.0)}
+    newer = merge.merge_upsert(
+        target, source, ["event_id"], when_newer="cost", delete_unmatched=gone
+    )
+    assert as_dict(newer) == {"a": (d(1), 5.0), "c": (d(2), 9.0), "e": (None, 1.0)}
+
+
+def test_written_upsert_moves_rows_and_drops_emptied_partitions(spark, folder):
+    table = table_of(spark, folder)
+    table.upsert(rows(spark, ("a", d(1), 1.0), ("b", d(2), 1.0), ("c", d(2), 1.0), ("x", d(9), 1.0)))
+    untouched = os.listdir(f"{table.path}/event_date=2024-01-09")
+    # all of 1 January and one of two rows of 2 January move to the 3rd
+    source = rows(spark, ("a", d(3), 2.0), ("b", d(3), 2.0))
+    expected = {"a": (d(3), 2.0), "b": (d(3), 2.0), "c": (d(2), 1.0), "x": (d(9), 1.0)}
+    for _ in range(2):
+        table.upsert(source)
+        assert as_dict(table.read(spark)) == expected
+        assert folders(table) == [
+            "event_date=2024-01-02", "event_date=2024-01-03", "event_date=2024-01-09"
+        ]
+    assert os.listdir(f"{table.path}/event_date=2024-01-09") == untouched
+
+
+def test_written_upsert_with_null_keys_and_null_dates(spark, folder):
+    table = table_of(spark, folder)
+    table.upsert(rows(spark, (None, d(1), 1.0), ("a", None, 1.0)))
+    table.upsert(rows(spark, (None, d(2), 2.0), ("a", d(2), 2.0)))
+    assert as_dict(table.read(spark)) == {None: (d(2), 2.0), "a": (d(2), 2.0)}
+    assert folders(table) == ["event_date=2024-01-02"]
+
+
+def test_upsert_of_nothing(spark, folder):
+    table = table_of(spark, folder)
+    table.upsert(rows(spark, ("a", d(1), 1.0)))
+    table.upsert(rows(spark, ("a", d(1), 1.0)).limit(0))
+    assert as_dict(table.read(spark)) == {"a": (d(1), 1.0)}
+
+
+def test_ambiguous_source_is_refused_and_changes_nothing(spark, folder):
+    table = table_of(spark, folder)
+    table.upsert(rows(spark, ("a", d(1), 1.0)))
+    with pytest.raises(ValueError, match="duplicate keys"):
+        table.upsert(rows(spark, ("a", d(1), 2.0), ("a", d(2), 3.0)))
+    assert as_dict(table.read(spark)) == {"a": (d(1), 1.0)}
+
+
+def test_merging_in_turn_is_the_latest_of_all(spark, folder):
+    table = table_of(spark, folder)
+    history = spark.range(3000).selectExpr(
+        "concat('e', pmod(id * 7, 1100)) AS event_id",
+        "date_add(DATE'2024-01-01', cast(pmod(id, 13) AS int)) AS event_date",
+        "cast(id AS double) AS cost",
+        "cast(id div 1000 AS int) AS batch",
+    )
+    for batch in range(3):
+        table.upsert(history.filter(F.col("batch") == batch).drop("batch"))
+    latest = history.groupBy("event_id").agg(F.max_by(F.struct("event_date", "cost"), "cost").alias("r"))
+    assert as_dict(table.read(spark)) == {r.event_id: (r.r[0], r.r[1]) for r in latest.collect()}
+
+
+def test_append_is_blind(spark, folder):
+    table = table_of(spark, folder)
+    for _ in range(2):
+        table.append(rows(spark, ("a", d(1), 1.0)))
+    assert table.read(spark).count() == 2
+
+
+def test_ensure_twice_keeps_rows_and_schema(spark, folder):
+    table = tables.processed_events(folder)
+    table.ensure(spark)
+    assert table.read(spark).schema.names == schemas.PROCESSED_EVENTS.names
+    table.append(spark.sql("SELECT 'a' event_id, DATE'2024-01-01' event_date, 'u' uid, 1 campaign, 1 click, 0 conversion, CAST(NULL AS BIGINT) conversion_delay_sec, 1D cost, current_timestamp() updated_at"))
+    table.ensure(spark)
+    assert table.read(spark).count() == 1
+    assert [f.dataType for f in table.read(spark).schema] == [f.dataType for f in schemas.PROCESSED_EVENTS]
+
+
+def test_catalog_ddl(spark):
+    table = tables.CatalogTable(
+        "spark_catalog.ad_lakehouse.campaign_summary",
+        schemas.CAMPAIGN_SUMMARY,
+        "summary_date",
+        ("summary_date", "campaign"),
+        provider="parquet",
+    )
+    for _ in range(2):
+        table.ensure(spark)
+    assert table.read(spark).schema.names == schemas.CAMPAIGN_SUMMARY.names
+    assert spark.catalog.listColumns(table.name)
+    spark.sql("DROP TABLE spark_catalog.ad_lakehouse.campaign_summary")
+    spark.sql("DROP DATABASE spark_catalog.ad_lakehouse")
+
+
+def test_key_range(spark):
+    source = rows(spark, ("b", d(1), 1.0), ("d", d(1), 1.0))
+    target = rows(spark, ("a", d(1), 1.0), ("c", d(1), 1.0), ("e", d(1), 1.0), (None, d(1), 1.0))
+    kept = target.filter(merge.key_range(source, "event_id"))
+    assert [row.event_id for row in kept.collect()] == ["c"]
+    with_null = source.unionByName(rows(spark, (None, d(1), 1.0)))
+    kept = target.filter(merge.key_range(with_null, "event_id"))
+    assert {row.event_id for row in kept.collect()} == {"c", None}
+    assert target.filter(merge.key_range(source.limit(0), "event_id")).count() == 0
