@@ -17,7 +17,7 @@ from clickloom.operators.fanout import observed, split
 from clickloom.operators.stats import for_display
 from clickloom.plans import compact, gold, prepare, silver
 from clickloom.sinks import messages as message_sink
-from clickloom.sinks import tables
+from clickloom.sinks import scratch, tables
 from clickloom.sources import files, streams
 from clickloom.streaming import ingest
 
@@ -44,6 +44,13 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--bootstrap-servers", default="localhost:9092")
     job.add_argument("--topic", default=schemas.TOPICS["ad_event"])
     job.add_argument("--starting-offsets", default="earliest")
+    job.add_argument(
+        "--source-option",
+        action="append",
+        default=[],
+        metavar="KEY=VALUE",
+        help="such as maxOffsetsPerTrigger=1000000",
+    )
     job.add_argument("--messages-path", help="read message files from here instead of a broker")
     job.add_argument("--raw-path", required=True)
     job.add_argument("--checkpoint-path", required=True)
@@ -119,8 +126,12 @@ def _parser() -> argparse.ArgumentParser:
     return parser
 
 
+def _pairs(items: list[str]) -> dict[str, str]:
+    return dict(item.split("=", 1) for item in items)
+
+
 def _conf(args) -> dict[str, str]:
-    conf = dict(item.split("=", 1) for item in args.conf)
+    conf = _pairs(args.conf)
     if "catalog_name" in args and not args.base_path:
         if not args.warehouse:
             raise SystemExit("give --base-path, or --warehouse for a catalog")
@@ -144,14 +155,16 @@ def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = session.get(f"clickloom-{args.job}", _conf(args))
     _JOBS[args.job](spark, args)
+    scratch.clear(spark)
 
 
 def _ingest(spark, args) -> None:
+    options = _pairs(args.source_option)
     if args.messages_path:
-        source = streams.file_messages(spark, args.messages_path)
+        source = streams.file_messages(spark, args.messages_path, options=options)
     else:
         source = streams.kafka_messages(
-            spark, args.bootstrap_servers, args.topic, args.starting_offsets
+            spark, args.bootstrap_servers, args.topic, args.starting_offsets, options
         )
     query = ingest.land(
         ingest.to_raw(source),

@@ -43,8 +43,17 @@ def period(first: Column, last: Column) -> Column:
     return F.coalesce(F.concat(label(first), F.lit(" ~ "), label(last)), F.lit("N/A"))
 
 
+def padded(prefix: str, number: Column, digits: int) -> Column:
+    """``prefix`` and the number with leading zeros; longer numbers stay whole.
+
+    Several times as fast as format_string, which starts a formatter per row.
+    """
+    text = number.cast("string")
+    return F.concat(F.lit(prefix), F.lpad(text, F.greatest(F.lit(digits), F.length(text)), F.lit("0")))
+
+
 def event_id(index: Column, prefix: str = "evt_") -> Column:
-    return F.format_string(prefix + "%08d", index)
+    return padded(prefix, index, 8)
 
 
 def seeded_md5(key: Column, seed: int) -> Column:

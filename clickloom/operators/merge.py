@@ -66,15 +66,6 @@ def matched(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFr
     return semi_join(target, source, keys)
 
 
-def key_range(source: DataFrame, key: str) -> Column:
-    """Where a row must lie to have a match: literals that skip row groups of ordered ids."""
-    low, high, nulls = source.agg(
-        F.min(key), F.max(key), F.count(F.when(F.col(key).isNull(), True))
-    ).first()
-    inside = F.lit(False) if low is None else F.col(key).between(low, high)
-    return inside | F.col(key).isNull() if nulls else inside
-
-
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys held by more than one row, with their number of rows."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")

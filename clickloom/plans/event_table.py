@@ -34,7 +34,7 @@ def ad_events(spark: SparkSession, sf_dir: str, since: date | None = None) -> Da
         F.lit("ad_event").alias("event_type"),
         seconds.alias("timestamp"),
         E.iso_time(seconds).alias("event_time"),
-        F.format_string("user_%06d", "user_id").alias("uid"),
+        E.padded("user_", F.col("user_id"), 6).alias("uid"),
         F.get_json_object("props", "$.k").try_cast("int").alias("campaign"),
         clicked.cast("int").alias("click"),
         purchased.cast("int").alias("conversion"),

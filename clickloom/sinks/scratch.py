@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from clickloom.sinks import files
 
 _local_roots: dict[str, str] = {}
+_written: list[str] = []
 
 
 def root(spark: SparkSession) -> str:
@@ -32,8 +33,19 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and return a scan of it: short lineage, fixed rows, prunable columns."""
-    return _write(df, new_path(df.sparkSession, label))
+    """Write ``df`` once and return a scan of it: short lineage, fixed rows, prunable columns.
+
+    It stays, as a checkpoint does, until ``clear``.
+    """
+    path = new_path(df.sparkSession, label)
+    _written.append(path)
+    return _write(df, path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete what ``written`` wrote in this process; frames built on it are void then."""
+    while _written:
+        files.delete(spark, _written.pop())
 
 
 @contextmanager

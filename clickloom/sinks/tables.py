@@ -73,11 +73,11 @@ class PathTable:
             if not unique:
                 merge.require_unique(rows, self.keys)
             target = self.read(spark)
-            arriving = self._values(rows)
+            arriving, in_range = self._arriving(rows)
             leaving: set = set()
             if keys_move and self.partition not in self.keys:
-                within = target.filter(merge.key_range(rows, self.keys[0]))
-                leaving |= self._values(merge.matched(within, rows, self.keys))
+                found = merge.matched(target.filter(in_range), rows, self.keys)
+                leaving |= self._values(found)
             if delete_unmatched is not None:
                 leaving |= self._values(target.filter(delete_unmatched))
 
@@ -104,6 +104,30 @@ class PathTable:
         rows = df.select(self.schema.names).hint("rebalance", self.partition)
         return rows.write.mode(mode).partitionBy(self.partition)
 
+    def _arriving(self, rows: DataFrame) -> tuple[set, Column]:
+        """The source's partitions, and where its keys lie in the target.
+
+        The range is made of literals, so for ids that grow with time the scan
+        skips the row groups that cannot hold a match.
+        """
+        key = self.keys[0]
+        ranges = (
+            rows.groupBy(self.partition)
+            .agg(
+                F.min(key).alias("low"),
+                F.max(key).alias("high"),
+                F.count(F.when(F.col(key).isNull(), True)).alias("nulls"),
+            )
+            .collect()
+        )
+        keyed = [row for row in ranges if row.low is not None]
+        in_range = F.lit(False)
+        if keyed:
+            in_range = F.col(key).between(min(r.low for r in keyed), max(r.high for r in keyed))
+        if any(row.nulls for row in ranges):
+            in_range = in_range | F.col(key).isNull()
+        return {row[self.partition] for row in ranges}, in_range
+
     def _values(self, df: DataFrame) -> set:
         """Partition values present: one row per partition, so small enough to collect."""
         return {row[0] for row in df.select(self.partition).distinct().collect()}

@@ -1,10 +1,11 @@
+import sys
 import tempfile
 from pathlib import Path
 
 import pytest
 from pyspark.sql import SparkSession
 
-TESTDATA = Path("/root/testdata")
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 
 @pytest.fixture(scope="session")

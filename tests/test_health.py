@@ -1,0 +1,83 @@
+"""Health queries and compaction on written tables."""
+
+import os
+from datetime import date, datetime
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from clickloom.operators import health
+from clickloom.plans import compact
+from clickloom.sinks import tables
+
+SCHEMA = "event_id STRING, event_date DATE, note STRING"
+
+
+def small_files(spark, folder):
+    """1 January in 12 files (a third of it one key), the 2nd in one, no date in 5."""
+    table = tables.PathTable(f"{folder}/t", StructType.fromDDL(SCHEMA), "event_date", ("event_id",))
+    rows = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("e"), "id")).alias("event_id"),
+        F.lit(date(2024, 1, 1)).alias("event_date"),
+        F.sha2(F.col("id").cast("string"), 256).alias("note"),
+    )
+    other = rows.limit(10).withColumn("event_date", F.lit(date(2024, 1, 2)))
+    undated = rows.limit(50).withColumn("event_date", F.lit(None).cast("date"))
+    for part, files in ((rows, 12), (other, 1), (undated, 5)):
+        part.repartition(files).write.mode("append").partitionBy("event_date").parquet(table.path)
+    return table
+
+
+def layout(spark, table):
+    return {r.event_date: r for r in health.file_layout(spark, table.path).collect()}
+
+
+def test_file_layout_reads_no_data(spark, folder):
+    table = small_files(spark, folder)
+    found = layout(spark, table)
+    assert {day: row.files for day, row in found.items()} == {date(2024, 1, 1): 12, date(2024, 1, 2): 1, None: 5}
+    on_disk = sum(
+        os.path.getsize(f"{path}/{name}")
+        for path, _, names in os.walk(table.path)
+        for name in names
+        if name.endswith(".parquet")
+    )
+    assert sum(row.bytes for row in found.values()) == on_disk
+    plan = health.file_layout(spark, table.path)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<length:bigint>" in plan
+
+
+def test_compaction_keeps_rows_and_hits_the_target(spark, folder):
+    table = small_files(spark, folder)
+    before = sorted(map(str, table.read(spark).collect()))
+    kept = os.listdir(f"{table.path}/event_date=2024-01-02")
+    size = layout(spark, table)[date(2024, 1, 1)].bytes
+    assert compact.run(spark, table, target_bytes=size // 3) == 2
+    after = layout(spark, table)
+    assert {day: row.files for day, row in after.items()} == {date(2024, 1, 1): 4, date(2024, 1, 2): 1, None: 1}
+    # the hot key is spread evenly, too
+    assert after[date(2024, 1, 1)].largest_bytes < 1.2 * after[date(2024, 1, 1)].mean_bytes
+    assert sorted(map(str, table.read(spark).collect())) == before
+    assert os.listdir(f"{table.path}/event_date=2024-01-02") == kept
+    assert compact.run(spark, table) == 1
+    assert sorted(map(str, table.read(spark).collect())) == before
+    assert compact.run(spark, table) == 0
+
+
+def test_freshness(spark):
+    rows = spark.createDataFrame(
+        [(datetime(2024, 1, 30, 12), date(2024, 1, 29)), (datetime(2024, 1, 29), date(2024, 1, 30))],
+        "updated_at TIMESTAMP, event_date DATE",
+    )
+    found = health.freshness(rows, datetime(2024, 1, 30, 13), date(2024, 2, 1)).first()
+    assert (found.update_age_sec, found.event_age_days) == (3600, 2)
+    assert health.freshness(rows).first().event_age_days > 300
+
+
+def test_duplicates_and_rows_per_day(spark):
+    rows = spark.createDataFrame(
+        [("a", date(2024, 1, 1)), ("a", date(2024, 1, 2)), ("b", date(2024, 1, 2))],
+        "event_id STRING, event_date DATE",
+    )
+    assert [tuple(r) for r in health.duplicate_keys(rows).collect()] == [("a", 2)]
+    assert {r.event_date.day: r.rows for r in health.rows_per_day(rows).collect()} == {1: 1, 2: 2}

@@ -161,12 +161,15 @@ def test_catalog_ddl(spark):
     spark.sql("DROP DATABASE spark_catalog.ad_lakehouse")
 
 
-def test_key_range(spark):
-    source = rows(spark, ("b", d(1), 1.0), ("d", d(1), 1.0))
-    target = rows(spark, ("a", d(1), 1.0), ("c", d(1), 1.0), ("e", d(1), 1.0), (None, d(1), 1.0))
-    kept = target.filter(merge.key_range(source, "event_id"))
-    assert [row.event_id for row in kept.collect()] == ["c"]
-    with_null = source.unionByName(rows(spark, (None, d(1), 1.0)))
-    kept = target.filter(merge.key_range(with_null, "event_id"))
-    assert {row.event_id for row in kept.collect()} == {"c", None}
-    assert target.filter(merge.key_range(source.limit(0), "event_id")).count() == 0
+def test_only_keys_in_the_range_of_the_source_are_looked_for(spark, folder):
+    table = table_of(spark, folder)
+
+    def kept(source):
+        target = rows(spark, ("a", d(1), 1.0), ("c", d(1), 1.0), ("e", d(1), 1.0), (None, d(1), 1.0))
+        return {row.event_id for row in target.filter(table._arriving(source)[1]).collect()}
+
+    source = rows(spark, ("b", d(1), 1.0), ("d", d(2), 1.0))
+    assert kept(source) == {"c"}
+    assert kept(source.unionByName(rows(spark, (None, d(3), 1.0)))) == {"c", None}
+    assert kept(rows(spark, (None, d(3), 1.0))) == {None}
+    assert kept(source.limit(0)) == set()

@@ -1,15 +1,12 @@
 """Every registered query against its SQL, on the whole tables."""
 
 import math
-import sys
 from pathlib import Path
 
 import duckdb
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
-
-import __spark_entry__ as contract  # noqa: E402
+import __spark_entry__ as contract
 
 SF_DIR = "/root/testdata/sf0.01"
 
