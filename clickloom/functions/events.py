@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from clickloom import schemas
 
@@ -13,14 +14,27 @@ from clickloom import schemas
 _MAX_SECOND = 9_223_372_036_854
 
 
-def safe_int(value: Column, default: int | None = 0) -> Column:
-    """A whole number, or ``default`` for anything that is not one ("1.0" is not)."""
-    number = value.try_cast("bigint")
+def safe_int(text: Column, default: int | None = 0) -> Column:
+    """A whole number from text, or ``default`` for anything that is not one ("1.0" is not).
+
+    The pattern is tested first because a failing try_cast costs an exception,
+    many times the price of the row; what is left for it are overlong numbers.
+    """
+    number = F.when(text.rlike(r"^\s*[+-]?\d+\s*$"), text.try_cast("bigint"))
     return number if default is None else F.coalesce(number, F.lit(default).cast("bigint"))
 
 
-def safe_float(value: Column, default: float = 0.0) -> Column:
-    return F.coalesce(value.try_cast("double"), F.lit(float(default)))
+def safe_float(text: Column, default: float = 0.0) -> Column:
+    number = F.when(F.trim(text) != "", text.try_cast("double"))
+    return F.coalesce(number, F.lit(float(default)))
+
+
+def number_in(df: DataFrame, name: str) -> Column:
+    """A column that may be typed or still text as a whole number, NULL where it is none."""
+    column = df[name]
+    if isinstance(df.schema[name].dataType, StringType):
+        return safe_int(column, None)
+    return column.cast("bigint")
 
 
 def blank_to_null(value: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from clickloom.sinks import scratch
 
 # Rows one task may order by itself.
-SMALL = 100_000
+SMALL = 10_000
 # Counters a selection step brings to the driver.
 BUCKETS = 16_384
 # A limit up to here is Spark's own top-k.
@@ -55,20 +55,26 @@ def with_row_index(df: DataFrame, order: Sequence[str] | None, name: str = "row_
     )
 
 
-def first_n(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+def first_n(
+    df: DataFrame, order: Sequence[str], n: int, bounds: tuple[int, int] | None = None
+) -> DataFrame:
     """The first ``n`` rows in ``order``: a top-k, or for many rows a ``split_at``."""
     if n <= TOP_K:
         return df.orderBy(*order).limit(n)
-    return split_at(df, order, n)[0]
+    return split_at(df, order, n, bounds)[0]
 
 
 def split_at(
-    df: DataFrame, order: Sequence[str], n: int | Callable[[int], int]
+    df: DataFrame,
+    order: Sequence[str],
+    n: int | Callable[[int], int],
+    bounds: tuple[int, int] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The first ``n`` rows in ``order`` and the rest, as two filters.
 
     ``n`` may be worked out from the number of rows. The leading column must be
-    a BIGINT without NULLs.
+    a BIGINT without NULLs; where its ``bounds`` are known, they need not be
+    looked for.
 
     Only the sort key at the cut is looked for: histograms of the leading
     column narrow it down to one value or a few rows, so the rows themselves
@@ -76,11 +82,14 @@ def split_at(
     row at the cut are divided by their place in the scan.
     """
     lead = order[0]
-    low, high, total, ranked = df.agg(
-        F.min(lead), F.max(lead), F.count(F.lit(1)), F.count(lead)
-    ).first()
-    if ranked < total:
-        raise ValueError(f"{lead} holds NULLs, which have no place in the order")
+    if bounds:
+        (low, high), total = bounds, df.count()
+    else:
+        low, high, total, ranked = df.agg(
+            F.min(lead), F.max(lead), F.count(F.lit(1)), F.count(lead)
+        ).first()
+        if ranked < total:
+            raise ValueError(f"{lead} holds NULLs, which have no place in the order")
     if callable(n):
         n = n(total)
     if n <= 0:

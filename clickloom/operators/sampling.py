@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from clickloom.functions import events as E
 from clickloom.operators import ranking
 
+# Hex digits of a digest that fit a BIGINT.
+_DIGITS = 15
+
 
 def sample_exact(df: DataFrame, size: int, key: str, seed: int = 42) -> DataFrame:
     """``size`` rows, each as likely as any other; all rows if there are no more.
@@ -17,5 +20,6 @@ def sample_exact(df: DataFrame, size: int, key: str, seed: int = 42) -> DataFram
     row; copies of one key are drawn together, and only the last may be split.
     """
     digest = E.seeded_md5(F.col(key), seed)
-    ranked = df.withColumns({"_draw": E.hex_prefix(digest, 15), "_digest": digest})
-    return ranking.first_n(ranked, ["_draw", "_digest", key], size).drop("_draw", "_digest")
+    ranked = df.withColumns({"_draw": E.hex_prefix(digest, _DIGITS), "_digest": digest})
+    order, bounds = ["_draw", "_digest", key], (0, 16**_DIGITS - 1)
+    return ranking.first_n(ranked, order, size, bounds).drop("_draw", "_digest")

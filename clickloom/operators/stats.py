@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from clickloom.functions import events as E
 
 
 def scan_stats(df: DataFrame, column: str = "timestamp") -> DataFrame:
     """Rows, and the range of ``column`` over those rows where it is a whole number."""
-    seconds = E.safe_int(F.col(column), None)
+    seconds = E.number_in(df, column)
     return df.agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.min(seconds).alias("min_ts"),
@@ -24,9 +25,13 @@ def dataset_stats(df: DataFrame, approximate: bool = False) -> DataFrame:
     A conversion's delay counts only if it came after the impression. The
     distinct count is exact unless ``approximate``.
     """
-    click, conversion = E.safe_int(F.col("click")), E.safe_int(F.col("conversion"))
-    seconds = E.safe_int(F.col("timestamp"))
-    converted = E.safe_int(F.col("conversion_timestamp"))
+    click, conversion, seconds, converted = (
+        F.coalesce(E.number_in(df, name), F.lit(0))
+        for name in ("click", "conversion", "timestamp", "conversion_timestamp")
+    )
+    cost = df["cost"]
+    if isinstance(df.schema["cost"].dataType, StringType):
+        cost = E.safe_float(cost)
     delay = F.when((conversion != 0) & (converted > seconds), converted - seconds)
     campaign = F.coalesce(F.col("campaign").cast("string"), F.lit(""))
     campaigns = F.approx_count_distinct(campaign) if approximate else F.count_distinct(campaign)
@@ -34,7 +39,7 @@ def dataset_stats(df: DataFrame, approximate: bool = False) -> DataFrame:
         F.count(F.lit(1)).alias("total"),
         F.coalesce(F.sum(click), F.lit(0)).alias("clicks"),
         F.coalesce(F.sum(conversion), F.lit(0)).alias("conversions"),
-        F.coalesce(F.sum(E.safe_float(F.col("cost"))), F.lit(0.0)).alias("total_cost"),
+        F.coalesce(F.sum(cost), F.lit(0.0)).alias("total_cost"),
         F.coalesce(F.avg(delay) / 3600, F.lit(0.0)).alias("avg_delay_hours"),
         campaigns.alias("campaigns"),
         F.min(seconds).alias("min_ts"),

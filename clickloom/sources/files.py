@@ -23,12 +23,12 @@ def read_events_csv(spark: SparkSession, path: str, categories: bool = False) ->
 
 
 def typed_events(df: DataFrame) -> DataFrame:
-    """Coerce the seven event columns leniently; other columns pass through."""
+    """Coerce the seven event columns of string rows leniently; others pass through."""
     return df.withColumns(
         {
             "timestamp": E.safe_int(F.col("timestamp")),
             "uid": F.coalesce("uid", F.lit("")),
-            "campaign": F.col("campaign").try_cast("int"),
+            "campaign": E.safe_int(F.col("campaign"), None).try_cast("int"),
             "click": E.safe_int(F.col("click")).try_cast("int"),
             "conversion": E.safe_int(F.col("conversion")).try_cast("int"),
             "conversion_timestamp": E.safe_int(F.col("conversion_timestamp"), None),
