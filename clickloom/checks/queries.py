@@ -98,7 +98,7 @@ def _loaded_table(spark: SparkSession, sf_dir: str) -> tables.PathTable:
 
 def _with_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows, and a day later each clicked event again with a higher cost and converted."""
-    raw = _raw(spark, sf_dir)
+    raw = _stored_raw(_raw(spark, sf_dir))
     corrected = raw.filter("click = 1").withColumns(
         {
             "kafka_timestamp": F.col("kafka_timestamp") + F.expr("INTERVAL 1 DAY"),
@@ -151,8 +151,7 @@ def silver_dedup_any(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_recent_prefiltered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _stored_raw(_with_corrections(spark, sf_dir))
-    return _plain(silver.transform_recent(raw, 7, AS_OF))
+    return _plain(silver.transform_recent(_with_corrections(spark, sf_dir), 7, AS_OF))
 
 
 def recent_window(spark: SparkSession, sf_dir: str) -> DataFrame:

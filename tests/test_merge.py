@@ -128,6 +128,28 @@ def test_merging_in_turn_is_the_latest_of_all(spark, folder):
     assert as_dict(table.read(spark)) == {r.event_id: (r.r[0], r.r[1]) for r in latest.collect()}
 
 
+def test_a_hot_day_is_written_by_many_tasks(spark, folder):
+    table = table_of(spark, folder)
+    days = spark.range(200_000).selectExpr(
+        "sha2(cast(id AS string), 256) AS event_id",
+        "CASE WHEN id % 3 = 0 THEN DATE'2024-01-01' "
+        "ELSE date_add(DATE'2024-01-02', cast(id % 40 AS int)) END AS event_date",
+        "1D AS cost",
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "512k")
+    try:
+        table.overwrite_partitions(days)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {
+        name: sum(part.endswith(".parquet") for part in os.listdir(f"{table.path}/{name}"))
+        for name in folders(table)
+    }
+    assert files["event_date=2024-01-01"] >= 5
+    assert len(files) == 41 and sum(files.values()) < 41 * 5
+    assert table.read(spark).count() == 200_000
+
+
 def test_append_is_blind(spark, folder):
     table = table_of(spark, folder)
     for _ in range(2):
