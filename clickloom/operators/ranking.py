@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.sinks import scratch
@@ -14,8 +14,9 @@ from clickloom.sinks import scratch
 SMALL = 10_000
 # Counters a selection step brings to the driver.
 BUCKETS = 16_384
-# A limit up to here is Spark's own top-k.
-TOP_K = 10_000
+# A limit up to here is Spark's own top-k, in which one task sorts that many
+# rows of every other task; more would not do over a million input splits.
+TOP_K = 100
 
 # The low bits of monotonically_increasing_id count rows within a partition.
 _POSITION_MASK = (1 << 33) - 1
@@ -58,7 +59,7 @@ def with_row_index(df: DataFrame, order: Sequence[str] | None, name: str = "row_
 def first_n(
     df: DataFrame, order: Sequence[str], n: int, bounds: tuple[int, int] | None = None
 ) -> DataFrame:
-    """The first ``n`` rows in ``order``: a top-k, or for many rows a ``split_at``."""
+    """The first ``n`` rows in ``order`` (not sorted): a top-k, or else a ``split_at``."""
     if n <= TOP_K:
         return df.orderBy(*order).limit(n)
     return split_at(df, order, n, bounds)[0]

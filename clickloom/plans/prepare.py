@@ -37,7 +37,7 @@ def slices(df: DataFrame, ties: Sequence[str]) -> Slices:
     _, tail = ranking.split_at(df, order, lambda rows: int(rows * TAIL_FROM))
     return Slices(
         main=in_time_order(df, ties),
-        head=ranking.first_n(df, order, HEAD_ROWS),
+        head=in_time_order(ranking.first_n(df, order, HEAD_ROWS), ties),
         tail=in_time_order(tail, ties),
     )
 

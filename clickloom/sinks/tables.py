@@ -64,9 +64,10 @@ class PathTable:
         Only touched partitions are read in full and written again. With
         ``keys_move`` (a key may sit in another partition than its new row)
         these are found by a join on the key columns alone, within the source's
-        key range; without it they are the source's own partitions. ``unique`` skips the duplicate-key check
-        for a source known to have none. ``delete_unmatched`` drops target rows
-        it holds for that the source does not have.
+        key range; without it they are the source's own partitions. ``unique``
+        skips the duplicate-key check for a source known to have none.
+        ``delete_unmatched`` drops target rows it holds for that the source does
+        not have.
         """
         spark = source.sparkSession
         with scratch.staged(source.select(self.schema.names), "upsert-source") as rows:

@@ -123,6 +123,7 @@ def test_cut_orders_null_ties_first(spark, tight):
 
 def test_first_n_both_ways(usual, monkeypatch):
     rows = sorted(skewed())
+    monkeypatch.setattr(ranking, "TOP_K", 10_000)
     assert pairs(ranking.first_n(usual, ["timestamp", "tie"], 1500)) == rows[:1500]
     monkeypatch.setattr(ranking, "TOP_K", 10)
     assert pairs(ranking.first_n(usual, ["timestamp", "tie"], 1500)) == rows[:1500]
@@ -152,6 +153,7 @@ def test_sample_of_copies(spark, tight):
 
 def test_fast_sample_equals_large_sample(spark, monkeypatch):
     df = spark.range(5000).select(F.col("id").cast("string").alias("key"))
+    monkeypatch.setattr(ranking, "TOP_K", 10_000)
     top_k = {r.key for r in sampling.sample_exact(df, 700, "key").collect()}
     monkeypatch.setattr(ranking, "TOP_K", 0)
     assert {r.key for r in sampling.sample_exact(df, 700, "key").collect()} == top_k
