@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.arrow import map_rows
+from clickloom.llm.arrow import importable, map_rows
 
 # The public chat template's marks.
 START = "<|im_start|>"
@@ -78,6 +78,7 @@ def expand(conversations: DataFrame) -> DataFrame:
     always marks one row with all turns. An example is one string, so a conversation is gathered in one task; rows are
     handed on after FLUSH characters.
     """
+    importable(conversations.sparkSession)
     turn = F.struct(
         F.col("turn").alias("turn"),
         F.coalesce("role", F.lit("")).alias("role"),

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from clickloom.llm.arrow import map_rows
+from clickloom.llm.arrow import importable, map_rows
 from clickloom.llm.bpe import PIECES, BytePairEncoder
 from clickloom.sinks import scratch
 
@@ -264,6 +264,7 @@ def pack(made: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     Every piece gets one place; sequences are gapless from offset 0 and hold at most ``capacity`` tokens. An empty
     table packs into no sequence. The pieces are written once to the shared folder, since they are read twice.
     """
+    importable(made.sparkSession)
     stored = scratch.written(made, "pieces")
     histogram = stored.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()
     places = _Places(plan({row["length"]: row["n"] for row in histogram}, capacity), capacity)

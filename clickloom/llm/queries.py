@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import bpe, chat, packing, pii, sql, url_rules
+from clickloom.llm import bpe, chat, jaccard, packing, pii, sql, url_rules
 from clickloom.sinks import scratch
 
 #: Part of the queries' contract, as are the rules below.
@@ -111,12 +111,17 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(_table(spark, sf_dir, "documents")).drop("text_key", "class_key")
+
+
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_rules": op2_url_rules,
     "op4_packing": op4_packing,
     "op7_bpe": op7_bpe,
     "op8_pii": op8_pii,
     "op9_chat": op9_chat,
+    "op10_jaccard": op10_jaccard,
 }
 
 SQL: dict[str, str] = dict(sql.ALL)

@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.llm.arrow import importable
+
 #: Sampled keys for each range: they only balance the ranges and change no result.
 SAMPLED = 64
 
@@ -110,6 +112,7 @@ def judge(
     one by one; other columns are not read. A frequent host is cut between its paths and page ids. A rule reaches
     each range its interval meets: its own, and of the broader ones at most one chain of parents a range.
     """
+    importable(pages.sparkSession)
     ranges = ranges or int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kind = pages.schema["page_id"].dataType.simpleString()
     urls = pages.select(
