@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import bpe, chat, jaccard, packing, pii, sql, url_rules
+from clickloom.llm import bpe, chat, jaccard, packing, pii, quality, sql, url_rules
 from clickloom.sinks import scratch
 
 #: Part of the queries' contract, as are the rules below.
@@ -41,6 +41,17 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(docs, public_tokenizers.path(VOCABULARY)))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    found = quality.judged(docs, _table(spark, sf_dir, "labels"))
+    return found.select(
+        "doc_id",
+        F.col("__quality").alias("p_quality"),
+        F.col("__toxic").alias("p_toxic"),
+        F.col("__keep").alias("keep"),
+    )
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
 
@@ -118,6 +129,7 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_rules": op2_url_rules,
     "op4_packing": op4_packing,
+    "op5_quality": op5_quality,
     "op7_bpe": op7_bpe,
     "op8_pii": op8_pii,
     "op9_chat": op9_chat,

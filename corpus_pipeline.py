@@ -7,12 +7,22 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import packing, pii
+from clickloom.llm import jaccard, packing, pii, quality
 from clickloom.sinks import scratch
 
 VOCABULARY = "byte_bpe_50k.json"
 
 
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of poor quality and toxic ones go."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, the one with the smallest doc_id."""
+    return jaccard.one_of_each(docs)
+
+
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by the name of its kind; every document stays."""
     return pii.redact(docs)
@@ -24,6 +34,8 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", good),
+    ("near_duplicates", distinct),
     ("pii", private),
     ("packing", packed),
 ]
