@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import bpe, chat, jaccard, packing, pii, quality, sql, url_rules
+from clickloom.llm import bpe, chat, imatch, jaccard, neighbours, packing, pii, quality, sql, url_rules
 from clickloom.sinks import scratch
 
 #: Part of the queries' contract, as are the rules below.
@@ -52,6 +52,72 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def edited(text: str, following: str) -> str:
+    """``text`` with its last third replaced by as many characters from the start of ``following``."""
+    third = len(text) // 3
+    return text[: len(text) - third] + following[:third]
+
+
+def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+
+    def sample(row: dict, following: str | None) -> dict:
+        text = row["text"]
+        level, kept = imatch.sampled(imatch.terms(text))
+        marks = dict.fromkeys(kept, 1)
+        out = {k: row[k] for k in ("range", "pos", "guest", "doc_id")} | {
+            "n_chars": len(text),
+            "level": level,
+            "text_hash": imatch.text_hash(text),
+        }
+        if following is not None:
+            changed = edited(text, following)
+            out["edited_level"], kept = imatch.sampled(imatch.terms(changed))
+            out["edited_hash"] = imatch.text_hash(changed)
+            out["edited_sha256"] = hashlib.sha256(changed.encode()).digest()
+            for term in kept:
+                marks[term] = marks.get(term, 0) | 2
+        out["terms"] = [{"term": term, "mark": mark} for term, mark in marks.items()]
+        return out
+
+    samples, rows = neighbours.with_next(
+        docs,
+        sample,
+        "range int, pos bigint, guest boolean, doc_id bigint, n_chars bigint, level int, text_hash bigint, "
+        "edited_level int, edited_hash bigint, edited_sha256 binary, "
+        "terms array<struct<term:bigint,mark:tinyint>>",
+    )
+    samples = scratch.written(samples, "samples")
+
+    def finish(group: list[dict]) -> list[dict]:
+        for row in group:
+            own = [term for term, mark in row["terms"] if mark & 1]
+            row["fingerprint"] = imatch.fingerprint(row["level"], own, row["text_hash"])
+        made = []
+        for row, following in zip(group, group[1:], strict=False):
+            other = [term for term, mark in row["terms"] if mark & 2]
+            changed = imatch.fingerprint(row["edited_level"], other, row["edited_hash"])
+            made.append(
+                {
+                    "doc_id": row["doc_id"],
+                    "n_chars": row["n_chars"],
+                    "edited_sha256": row["edited_sha256"].hex(),
+                    "fingerprint": row["fingerprint"],
+                    "edited_fingerprint": changed,
+                    "near_edited": imatch.likeness(row["fingerprint"], changed),
+                    "near_next": imatch.likeness(row["fingerprint"], following["fingerprint"]),
+                }
+            )
+        return made
+
+    return imatch.Lexicon(docs, rows).resolve(
+        samples,
+        finish,
+        "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "
+        "edited_fingerprint string, near_edited double, near_next double",
+    )
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
 
@@ -130,6 +196,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_rules": op2_url_rules,
     "op4_packing": op4_packing,
     "op5_quality": op5_quality,
+    "op6_imatch": op6_imatch,
     "op7_bpe": op7_bpe,
     "op8_pii": op8_pii,
     "op9_chat": op9_chat,
