@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import bpe, chat, imatch, jaccard, neighbours, packing, pii, quality, sql, url_rules
+from clickloom.llm import bpe, chat, html_diff, imatch, jaccard, neighbours, packing, pii, quality, sql, url_rules
 from clickloom.sinks import scratch
 
 #: Part of the queries' contract, as are the rules below.
@@ -31,6 +31,10 @@ def _sha(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
 
+def op1_html_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_diff.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
     return url_rules.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), rules)
@@ -193,6 +197,7 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_diff": op1_html_diff,
     "op2_url_rules": op2_url_rules,
     "op4_packing": op4_packing,
     "op5_quality": op5_quality,
