@@ -28,8 +28,9 @@ def map_rows(
     df: DataFrame,
     function: Callable[[list[dict]], list[dict]],
     schema: str | StructType,
+    rows: int = ROWS,
 ) -> DataFrame:
-    """``function`` over slices of at most ROWS rows: lists of dicts in, lists of dicts out.
+    """``function`` over slices of at most ``rows`` rows: lists of dicts in, lists of dicts out.
 
     Any number of rows may come back for a slice. It is a narrow step: no shuffle, and a lost task is
     simply run again.
@@ -39,10 +40,10 @@ def map_rows(
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            for start in range(0, batch.num_rows, ROWS):
-                rows = function(batch.slice(start, ROWS).to_pylist())
-                if rows:
-                    yield pa.RecordBatch.from_pylist(rows, schema=target)
+            for start in range(0, batch.num_rows, rows):
+                made = function(batch.slice(start, rows).to_pylist())
+                if made:
+                    yield pa.RecordBatch.from_pylist(made, schema=target)
 
     importable(df.sparkSession)
     return df.mapInArrow(batches, wanted)

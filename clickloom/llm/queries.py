@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import bpe, chat, html_diff, imatch, jaccard, neighbours, packing, pii, quality, sql, url_rules
+from clickloom.llm import bpe, chat, graph_ann, html_diff, imatch, jaccard, neighbours, packing, pii, quality, sql, url_rules
 from clickloom.sinks import scratch
 
 #: Part of the queries' contract, as are the rules below.
@@ -40,6 +40,11 @@ def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), rules)
 
 
+def op3_graph_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return graph_ann.nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return packing.pack(packing.pieces(docs, public_tokenizers.path(VOCABULARY)))
@@ -199,6 +204,7 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_diff": op1_html_diff,
     "op2_url_rules": op2_url_rules,
+    "op3_graph_ann": op3_graph_ann,
     "op4_packing": op4_packing,
     "op5_quality": op5_quality,
     "op6_imatch": op6_imatch,
