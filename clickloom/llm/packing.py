@@ -2,9 +2,9 @@
 
 Documents become pieces of at most ``capacity`` tokens. Only the number of pieces of each length reaches the driver:
 ``capacity`` numbers, however many pieces there are. On these counts the plan is made. For each length, from the longest down, the gap it
-leaves is looked up in an index of the lengths, then of the sums of pairs, then of triples that are still available, and as
-many sequences as the counts allow are filled exactly at once. What then remains goes, longest first, to the open
-sequence it fits best. A plan is a list of (times, lengths): each step uses up a length or a group of open sequences, so
+leaves is looked up in an index of the lengths that are still available, then of the sums of pairs, then of triples, and as
+many sequences as the counts allow are filled exactly at once. What remains goes, longest first, to the open
+sequence it fits best; should pairs or triples do worse than best fit, they are left out. A plan is a list of (times, lengths): each step uses up a length or a group of open sequences, so
 it has a few thousand entries at any size. Pieces of one length are numbered, in shares so that no length lands
 in one task, and each number looks up its place in the plan.
 """
@@ -134,16 +134,16 @@ class _Sums:
         fits = np.flatnonzero((left[a] > 0) & (left[b] > (a == b)))
         return (int(a[fits[0]]), int(b[fits[0]])) if len(fits) else None
 
-    def filling(self, gap: int, anchor: int) -> tuple[int, ...] | None:
-        """Lengths that fill ``gap`` exactly beside ``anchor``, as few as possible."""
+    def filling(self, anchor: int, gap: int, depth: int) -> tuple[int, ...] | None:
+        """``depth`` lengths that fill ``gap`` exactly beside ``anchor``."""
         taken = Counter({anchor: 1})
-        if gap < 1:
+        if gap < depth:
             return None
-        if self.counts[gap] > taken[gap]:
-            return (gap,)
-        if pair := self.pair(gap, taken, gap):
-            return pair
-        if gap < 3 or not self.triples[gap]:
+        if depth == 1:
+            return (gap,) if self.counts[gap] > taken[gap] else None
+        if depth == 2:
+            return self.pair(gap, taken, gap)
+        if not self.triples[gap]:
             return None
         first = np.arange(gap - 2, (gap - 1) // 3, -1)
         first = first[(self.counts[first] > 0) & self.pairs[gap - first]]
@@ -155,7 +155,12 @@ class _Sums:
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, tuple[int, ...]]]:
-    """(times, lengths of one sequence) that use every piece counted once; lengths are 1 to ``capacity``."""
+    """(times, lengths of one sequence) that use every piece counted once; lengths are 1 to ``capacity``.
+
+    Exact fillings are consumed by single lengths, then by pairs, then by triples, each over all gaps; the rest is
+    packed by best fit. Since pairs and triples may take lengths that best fit had better use for, the plan is the best of those that stop
+    at singles, at pairs and at triples.
+    """
     left = np.zeros(capacity + 1, np.int64)
     for length, n in counts.items():
         left[length] = n
@@ -163,11 +168,21 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, tu
     if left[capacity]:
         steps.append((int(left[capacity]), (capacity,)))
         left[capacity] = 0
+    plans = []
+    for depth in (1, 2, 3):
+        steps += _exact(left, capacity, depth)
+        plans.append(steps + _best_fit(left.copy(), capacity))
+    return min(plans, key=lambda found: sum(times for times, _ in found))
+
+
+def _exact(left: np.ndarray, capacity: int, depth: int) -> list[tuple[int, tuple[int, ...]]]:
+    """Consume, from the longest length down, what ``depth`` other lengths complete exactly."""
+    steps = []
     index = _Sums(left)
     for anchor in range(capacity - 1, 0, -1):
         while left[anchor]:
             index.refresh()
-            filling = index.filling(capacity - anchor, anchor)
+            filling = index.filling(anchor, capacity - anchor, depth)
             if filling is None:
                 break
             lengths = (anchor, *filling)
@@ -176,7 +191,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, tu
             for length in lengths:
                 left[length] -= times
             index.age += 1
-    return steps + _best_fit(left, capacity)
+    return steps
 
 
 def _best_fit(left: np.ndarray, capacity: int) -> list[tuple[int, tuple[int, ...]]]:
