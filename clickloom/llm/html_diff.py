@@ -99,8 +99,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars, and the counts of ``main_text``, for each row of ``pages`` (page_id, url, html).
 
     A null html is empty and gives the empty text. A null url, or one without ``://``, has an empty host and path; such pages are
-    compared among themselves. Repeated rows are pages like others: each may be the other's nearest. A page alone on its host has
-    no pair. Other columns are not read.
+    compared among themselves. Repeated rows are pages like others, but a page with all the same lines is never a pair, as
+    nothing would be left. A page alone on its host has no pair. Other columns are not read.
 
     The sort order is cut into ranges; a range also gets the page before its first and the one after its last. The
     lines travel once, compressed; a frequent host is cut between its paths and page ids.
@@ -175,9 +175,11 @@ def extract(pages: DataFrame) -> DataFrame:
             return held[n]
 
         def alike(n: int, m: int) -> int:
-            """Characters of the common path, or -1 on another host or beyond the range."""
+            """Characters of the common path, or -1 on another host, beyond the range, or for a copy."""
             if not 0 <= m < len(group) or group[n]["host"] != group[m]["host"]:
                 return -1
+            if group[n]["packed"] == group[m]["packed"]:
+                return -1
             return len(os.path.commonprefix([group[n]["path"], group[m]["path"]]))
 
         for n, row in enumerate(group):

@@ -1,0 +1,67 @@
+"""Graph search against all inner products."""
+
+import numpy as np
+
+from clickloom.llm import graph_ann, queries
+
+SF = "/root/testdata/sf0.01"
+
+
+def _recall(rows, vectors, asked, k):
+    ids = np.array(sorted(vectors))
+    table = np.array([vectors[i] for i in ids])
+    found = {}
+    for row in rows:
+        found.setdefault(row["query_id"], []).append(row)
+    hits = total = 0
+    assert sorted(found) == sorted(asked)
+    for query in asked:
+        scores = table @ vectors[query]
+        best = [int(ids[n]) for n in np.lexsort((ids, -scores)) if ids[n] != query][:k]
+        own = sorted(found[query], key=lambda row: row["rank"])
+        assert [row["rank"] for row in own] == list(range(1, len(best) + 1))
+        assert all(abs(row["score"] - vectors[row["vec_id"]] @ vectors[query]) < 1e-9 for row in own)
+        assert [(-row["score"], row["vec_id"]) for row in own] == sorted((-r["score"], r["vec_id"]) for r in own)
+        hits += len({row["vec_id"] for row in own} & set(best))
+        total += len(best)
+    return hits / total
+
+
+def test_query_recall(spark):
+    vectors = {
+        r["vec_id"]: np.array(r["embedding"]) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()
+    }
+    rows = queries.op3_graph_ann(spark, SF).collect()
+    assert _recall(rows, vectors, [i for i in vectors if i % 20 == 0], 20) >= 0.9
+
+
+def test_several_shards_and_norms(spark, monkeypatch):
+    monkeypatch.setattr(graph_ann, "SHARD", 300)
+    monkeypatch.setattr(graph_ann, "QUERIES", 20)
+    drawn = np.random.default_rng(5)
+    table = drawn.normal(size=(1500, 16)) * drawn.uniform(0.1, 3, size=(1500, 1))
+    vectors = dict(enumerate(table))
+    frame = spark.createDataFrame([(i, v.tolist(), 0) for i, v in vectors.items()], "vec_id long, embedding array<double>, shard int")
+    rows = graph_ann.nearest(frame, frame.filter("vec_id % 10 = 0"), k=10).collect()
+    assert _recall(rows, vectors, range(0, 1500, 10), 10) >= 0.9
+
+
+def test_copies_ties_and_bad_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(n, [1.0, 0.0]) for n in range(50)] + [(n, [0.5, n / 1000]) for n in range(50, 60)]
+    rows += [(60, None), (61, [0.0, 0.0]), (62, [nan, 1.0]), (63, [inf, 1.0]), (64, [None, 1.0]), (None, [1.0, 1.0]), (65, []), (66, [3.0]), (7, [1.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {}
+    for row in graph_ann.nearest(frame, frame, k=20).orderBy("query_id", "rank").collect():
+        found.setdefault(row["query_id"], []).append(row["vec_id"])
+    assert set(found) == set(range(60))  # 66 has no candidate of its length
+    assert found[0] == list(range(1, 21))
+    assert found[40] == list(range(20))
+    assert found[7] == [n for n in range(21) if n != 7]
+    assert graph_ann.nearest(frame.limit(0), frame.limit(0)).collect() == []
+
+
+def test_pruning_keeps_diverse_neighbours():
+    points = np.array([[0, 0], [1, 0], [1.1, 0], [0, 1.5], [-2, 0]], np.float32)
+    kept = graph_ann.prune(points, np.array([0]), np.array([[0, 1, 2, 3, 4, -1]]), 4)[0]
+    assert kept.tolist() == [1, 3, 4, -1]

@@ -1,0 +1,57 @@
+"""Quality: held-out accuracy, shrinkage, and odd inputs."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from clickloom.llm import quality
+
+SF = "/root/testdata/sf0.1"
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    fold = F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(2)) == 0
+    found = quality.judged(docs, labels.filter(fold)).join(labels.filter(~fold), "doc_id")
+    rows = found.select("__quality", "__toxic", "__keep", "quality", "toxic").collect()
+    assert len(rows) > 1500
+    right = [(r["__quality"] >= 0.5) == r["quality"] for r in rows]
+    assert sum(right) / len(right) > 0.98
+    right = [(r["__toxic"] >= 0.5) == r["toxic"] for r in rows]
+    assert sum(right) / len(right) > 0.95
+    clean = [r["__keep"] for r in rows if r["quality"] and not r["toxic"]]
+    assert sum(clean) / len(clean) > 0.98
+
+
+def _scored(spark, rows):
+    evidence = "named_struct('quality', q, 'toxic', -20d, 'words', 9) as __evidence"
+    return spark.createDataFrame(rows, "source string, lang string, q double").selectExpr("source", "lang", evidence)
+
+
+def test_sparse_sites_shrink_to_their_host_and_hosts_to_all(spark):
+    rows = [("good", "en", 6.0)] * 500 + [("bad", "en", -6.0)] * 500 + [("bad", "fr", 6.0), ("new", "en", 6.0)]
+    found = {
+        (r["__host"], r["__path"]): r for r in quality.sites(_scored(spark, rows), "source", "lang").collect()
+    }
+    assert found["good", "en"]["rate_quality"] > 0.95
+    assert found["bad", "fr"]["rate_quality"] < 0.1
+    assert 0.4 < found["new", "en"]["rate_quality"] < 0.8
+    assert sum(r["n"] for r in found.values()) == len(rows)
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, None, None, 0), (2, "", "s", "en", 0), (3, "some words here", None, "en", 0), (3, "some words here", None, "en", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, __keep int")
+    docs = docs.withColumnRenamed("__keep", "quality")
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert [r["doc_id"] for r in quality.keep_good(docs, none).collect()] == [3, 3]
+    odd = spark.createDataFrame([(3, 1, 0), (3, 0, 0), (3, 1, None), (None, 1, 1), (99, 1, 1)], "doc_id long, quality int, toxic int")
+    assert quality.judged(docs, odd).count() == 4
+    assert quality.keep_good(docs, odd).columns == docs.columns
+    assert quality.keep_good(docs.limit(0), odd).collect() == []
+
+
+@pytest.mark.parametrize("text", ["", "\ud83d".encode("utf-8", "replace").decode(), "a" * 200_000, "|" * 1000, "\n" * 50])
+def test_shape_of_any_text(text):
+    words, distinct = quality.terms_of(text)
+    assert all(abs(x) < 50 for x in quality.shape(text, words, len(distinct)))
