@@ -198,7 +198,9 @@ def _useful(found: DataFrame, runs: int) -> DataFrame:
         shared = shared | (
             (run > q) & (F.col(f"with{q}") == F.col("n")) & (F.col(f"low{q}") == F.col(f"high{q}"))
         )
+    # Written, so that neither side of the next join is tied to a grouping and hot leaves can be split.
     kept = stats.filter(~F.coalesce(shared, F.lit(False))).select("leaf", "n")
+    kept = scratch.written(kept, "kept-leaves")
     return scratch.written(earlier.join(kept, "leaf"), "useful")
 
 
