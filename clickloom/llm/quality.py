@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.arrow import importable
+from clickloom.sinks import scratch
 
 #: Labelled documents the model is trained on, at most (about; chosen by hash). All others are only scored.
 LABELLED = 20_000
@@ -224,6 +225,8 @@ def sites(scored: DataFrame, host: str, path: str) -> DataFrame:
         scored.groupBy(F.col(host).alias("__host"), F.col(path).alias("__path"))
         .agg(F.count(F.lit(1)).alias("n"), *sums)
     )
+    # Written, so that the texts are scored once for all the figures below.
+    paths = scratch.written(paths, "sites")
     hosts = paths.groupBy("__host").agg(
         F.sum("n").alias("host_n"), *(F.sum(f"s_{head}").alias(f"host_{head}") for head in HEADS)
     )
