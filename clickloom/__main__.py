@@ -10,6 +10,8 @@ from __future__ import annotations
 import argparse
 from datetime import date
 
+from pyspark.sql import functions as F
+
 from clickloom import schemas, session
 from clickloom.operators import health
 from clickloom.operators.attribution_log import BASE_DATETIME
@@ -35,6 +37,23 @@ def _window_options(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--as-of", type=date.fromisoformat, help="default: today")
 
 
+def _assumptions(parser: argparse.ArgumentParser) -> None:
+    parser.add_argument("--assume-fixed-dates", action="store_true")
+    parser.add_argument(
+        "--assume-ingested-later",
+        action="store_true",
+        help="events land on their own date or later: skip earlier raw partitions",
+    )
+
+
+def _csv_options(parser: argparse.ArgumentParser) -> None:
+    parser.add_argument("--by-time", action="store_true", help="number events by time, not as given")
+    parser.add_argument("--multi-line", action="store_true", help="quoted fields may hold line breaks")
+    parser.add_argument("--seed", type=int, default=42)
+    parser.add_argument("--id-prefix", default="evt_")
+
+
+# Names and defaults of options are the public interface.
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="clickloom", description=__doc__.splitlines()[0])
     parser.add_argument("--conf", action="append", default=[], metavar="KEY=VALUE")
@@ -71,7 +90,7 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--table", default="processed_events")
     job.add_argument("--mode", choices=["merge", "full-refresh"], default="merge")
     job.add_argument("--truncate", action="store_true")
-    job.add_argument("--assume-fixed-dates", action="store_true")
+    _assumptions(job)
     _table_options(job)
     _window_options(job)
 
@@ -81,6 +100,7 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--table", default="processed_events")
     job.add_argument("--first", type=date.fromisoformat, required=True)
     job.add_argument("--last", type=date.fromisoformat, required=True)
+    _assumptions(job)
     _table_options(job)
 
     job = jobs.add_parser("gold", help="processed_events to campaign_summary")
@@ -103,8 +123,7 @@ def _parser() -> argparse.ArgumentParser:
     job = jobs.add_parser("split", help="event CSV to impression, click and conversion CSVs")
     job.add_argument("--input", required=True)
     job.add_argument("--output", required=True)
-    job.add_argument("--seed", type=int, default=42)
-    job.add_argument("--id-prefix", default="evt_")
+    _csv_options(job)
 
     job = jobs.add_parser("publish", help="event CSV to messages")
     job.add_argument("--csv", required=True)
@@ -112,16 +131,19 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--output-path", help="write message files here instead of to a broker")
     job.add_argument("--max-events", type=int)
     job.add_argument("--realistic", action="store_true", help="three topics instead of one")
-    job.add_argument("--seed", type=int, default=42)
-    job.add_argument("--id-prefix", default="evt_")
+    _csv_options(job)
 
     job = jobs.add_parser("health", help="freshness, rows per day, duplicates and files")
     job.add_argument("--base-path", required=True)
     job.add_argument("--table", default="processed_events")
+    job.add_argument("--output", help="also write the results whole, as parquet folders in this one")
 
     job = jobs.add_parser("compact", help="rewrite partitions of small files")
-    job.add_argument("--base-path", required=True)
+    job.add_argument("--base-path")
     job.add_argument("--table", default="processed_events")
+    job.add_argument("--summary", action="store_true", help="the table is a campaign summary")
+    job.add_argument("--raw-path", help="copy this raw zone to --raw-output instead")
+    job.add_argument("--raw-output")
     job.add_argument("--target-bytes", type=int, default=schemas.TARGET_FILE_BYTES)
     return parser
 
@@ -154,8 +176,10 @@ def _summary(args, name: str):
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = session.get(f"clickloom-{args.job}", _conf(args))
-    _JOBS[args.job](spark, args)
-    scratch.clear(spark)
+    try:
+        _JOBS[args.job](spark, args)
+    finally:
+        scratch.clear(spark)
 
 
 def _ingest(spark, args) -> None:
@@ -192,12 +216,20 @@ def _silver(spark, args) -> None:
         args.as_of,
         args.truncate,
         args.assume_fixed_dates,
+        assume_ingested_later=args.assume_ingested_later,
     )
 
 
 def _backfill(spark, args) -> None:
     raw = files.read_raw(spark, args.raw_path, args.raw_format)
-    silver.backfill(raw, _processed(args, args.table), args.first, args.last)
+    silver.backfill(
+        raw,
+        _processed(args, args.table),
+        args.first,
+        args.last,
+        assume_fixed_dates=args.assume_fixed_dates,
+        assume_ingested_later=args.assume_ingested_later,
+    )
 
 
 def _gold(spark, args) -> None:
@@ -222,14 +254,14 @@ def _prepare(spark, args) -> None:
 
 
 def _split(spark, args) -> None:
-    events = files.read_events_csv(spark, args.input)
-    summary = prepare.split_csv(events, args.output, args.seed, args.id_prefix)
+    events = files.read_events_csv(spark, args.input, position=True, multi_line=args.multi_line)
+    summary = prepare.split_csv(events, args.output, args.seed, args.id_prefix, args.by_time)
     for_display(summary).show(truncate=False, vertical=True)
 
 
 def _publish(spark, args) -> None:
-    rows = files.read_events_csv(spark, args.csv)
-    events = prepare.numbered_csv(rows, args.id_prefix, max_events=args.max_events)
+    rows = files.read_events_csv(spark, args.csv, position=True, multi_line=args.multi_line)
+    events = prepare.numbered_csv(rows, args.id_prefix, args.by_time, args.max_events)
     counters = None
     if args.realistic:
         feed, counters = observed(split(events, args.seed, "has_timestamp"))
@@ -247,14 +279,31 @@ def _publish(spark, args) -> None:
 def _health(spark, args) -> None:
     table = tables.processed_events(args.base_path, args.table)
     rows = table.read(spark)
-    health.freshness(rows).show(truncate=False)
-    health.rows_per_day(rows).orderBy("event_date").show(60, truncate=False)
-    health.duplicate_keys(rows).show(truncate=False)
-    health.file_layout(spark, table.path).orderBy("event_date").show(60, truncate=False)
+    found = {
+        "freshness": health.freshness(rows),
+        "rows_per_day": health.rows_per_day(rows).orderBy("event_date"),
+        "duplicate_keys": health.duplicate_keys(rows).orderBy("event_id"),
+        "files": health.file_layout(spark, table.path).orderBy("event_date"),
+    }
+    for name, result in found.items():
+        if args.output:
+            result.write.mode("overwrite").parquet(f"{args.output}/{name}")
+            result = spark.read.schema(result.schema).parquet(f"{args.output}/{name}")
+        print(f"{name}: {result.count()}")
+        # All of them, a partition of the result at a time; as text, which holds any date.
+        if name != "duplicate_keys" or not args.output:
+            text = result.select(*(F.col(column).cast("string") for column in result.columns))
+            for row in text.toLocalIterator():
+                print("  " + ", ".join(f"{k}={v}" for k, v in row.asDict().items()))
 
 
 def _compact(spark, args) -> None:
-    table = tables.processed_events(args.base_path, args.table)
+    if args.raw_path:
+        count = compact.raw_copy(spark, args.raw_path, args.raw_output, args.target_bytes)
+        print(f"{count} partitions copied")
+        return
+    of = tables.campaign_summary if args.summary else tables.processed_events
+    table = of(args.base_path, args.table)
     print(f"{compact.run(spark, table, args.target_bytes)} partitions rewritten")
 
 

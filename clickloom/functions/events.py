@@ -85,7 +85,8 @@ def click_delay(key: Column, seed: int) -> Column:
 
 
 def rebase(seconds: Column, base: int | None) -> Column:
-    return seconds if base is None else seconds + F.lit(base).cast("bigint")
+    """Moved by ``base``; NULL beyond BIGINT, so that one absurd time cannot stop a job."""
+    return seconds if base is None else F.try_add(seconds, F.lit(base).cast("bigint"))
 
 
 def conversion_delay(df_timestamp: Column, conversion: Column, conversion_timestamp: Column) -> Column:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from clickloom import schemas
 from clickloom.functions import events as E
+from clickloom.operators import merge
+
 
 def _fields(kind: str, seed: int = 42) -> dict[str, Column]:
     """One kind of event from the columns of a combined row."""
@@ -14,7 +16,7 @@ def _fields(kind: str, seed: int = 42) -> dict[str, Column]:
     none = F.lit(None)
     at, impression_at, cost, delay = {
         "impression": (seconds, none, F.coalesce("cost", F.lit(0.0)), none),
-        "click": (seconds + E.click_delay(F.col("event_id"), seed), seconds, none, none),
+        "click": (F.try_add(seconds, E.click_delay(F.col("event_id"), seed)), seconds, none, none),
         "conversion": (converted_at, seconds, none, F.try_subtract(converted_at, seconds)),
     }[kind]
     return {
@@ -24,7 +26,7 @@ def _fields(kind: str, seed: int = 42) -> dict[str, Column]:
         "impression_timestamp": impression_at.cast("bigint"),
         "event_time": E.iso_time(at),
         "uid": F.col("uid"),
-        "campaign": F.col("campaign").cast("int"),
+        "campaign": F.col("campaign"),
         "cost": cost.cast("double"),
         "conversion_delay_sec": delay.cast("bigint"),
     }
@@ -75,7 +77,7 @@ def split(df: DataFrame, seed: int = 42, rule: str = "positive_delay") -> DataFr
         of_kind("timestamp").alias("timestamp"),
         of_kind("impression_timestamp").alias("impression_timestamp"),
         "uid",
-        F.col("campaign").cast("int").alias("campaign"),
+        "campaign",
         of_kind("cost").alias("cost"),
         of_kind("conversion_delay_sec").alias("conversion_delay_sec"),
     )
@@ -153,12 +155,18 @@ def observed(feed: DataFrame, name: str = "sent") -> tuple[DataFrame, Observatio
     return feed.observe(counters, *_counts()), counters
 
 
-def relink(impressions: DataFrame, clicks: DataFrame, conversions: DataFrame) -> DataFrame:
+def relink(
+    impressions: DataFrame, clicks: DataFrame, conversions: DataFrame, check: bool = False
+) -> DataFrame:
     """The three feeds joined again on ``event_id``, which each must hold once.
 
     The feeds share their key, so once they are shuffled on it no further
-    shuffle is needed for the second join.
+    shuffle is needed for the second join. ``check`` refuses feeds that repeat an
+    id, which would multiply rows; it costs a job for each feed.
     """
+    if check:
+        for feed in (impressions, clicks, conversions):
+            merge.require_unique(feed, ["event_id"])
     clicked = clicks.select("event_id", F.col("timestamp").alias("click_timestamp"))
     converted = conversions.select(
         "event_id",

@@ -22,7 +22,7 @@ def with_gap(
     name: str = "gap_sec",
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Add the difference to the previous ``time`` in the group (NULL for its first row).
+    """Add the difference to the previous ``time`` in the group (NULL for its first row, or beyond BIGINT).
 
     ``tie`` must make (group, time, tie) unique. Ordinary groups take one
     window. A hot group is laid out over many tasks in its own order, and only
@@ -47,7 +47,7 @@ def with_gap(
 
 def _by_window(df: DataFrame, group: str, time: str, tie: str, name: str) -> DataFrame:
     ordered = Window.partitionBy(group).orderBy(time, tie)
-    return df.withColumn(name, F.col(time) - F.lag(time).over(ordered))
+    return df.withColumn(name, F.try_subtract(F.col(time), F.lag(time).over(ordered)))
 
 
 def _by_layout(df: DataFrame, group: str, time: str, tie: str, name: str) -> DataFrame:
@@ -65,7 +65,8 @@ def _by_layout(df: DataFrame, group: str, time: str, tie: str, name: str) -> Dat
         .withColumn(
             name,
             F.when(
-                F.col("_previous").isNotNull() & same_group, F.col(time) - F.col("_previous.time")
+                F.col("_previous").isNotNull() & same_group,
+                F.try_subtract(F.col(time), F.col("_previous.time")),
             ),
         )
         .drop("_part", "_pos", "_carried", "_previous")

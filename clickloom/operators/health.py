@@ -35,12 +35,12 @@ def duplicate_keys(processed: DataFrame, key: str = "event_id") -> DataFrame:
     return merge.duplicate_keys(processed, [key])
 
 
-def file_layout(spark: SparkSession, path: str, partition: str = "event_date") -> DataFrame:
+def file_layout(spark: SparkSession, path: str, *partitions: str) -> DataFrame:
     """Files per partition and their sizes, from the listing alone: no data is read."""
     listing = (
         spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
     )
-    return listing.groupBy(partition).agg(
+    return listing.groupBy(*(partitions or ("event_date",))).agg(
         F.count(F.lit(1)).alias("files"),
         F.sum("length").alias("bytes"),
         F.avg("length").alias("mean_bytes"),

@@ -59,8 +59,13 @@ def with_row_index(df: DataFrame, order: Sequence[str] | None, name: str = "row_
 def first_n(
     df: DataFrame, order: Sequence[str], n: int, bounds: tuple[int, int] | None = None
 ) -> DataFrame:
-    """The first ``n`` rows in ``order`` (not sorted): a top-k, or else a ``split_at``."""
+    """The first ``n`` rows in ``order`` (not sorted): a top-k, or else a ``split_at``.
+
+    NULLs in the leading column are refused either way, unless its ``bounds`` say there are none.
+    """
     if n <= TOP_K:
+        if not bounds and not df.filter(F.col(order[0]).isNull()).isEmpty():
+            raise ValueError(f"{order[0]} holds NULLs, which have no place in the order")
         return df.orderBy(*order).limit(n)
     return split_at(df, order, n, bounds)[0]
 

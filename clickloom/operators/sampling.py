@@ -16,8 +16,9 @@ def sample_exact(df: DataFrame, size: int, key: str, seed: int = 42) -> DataFram
     """``size`` rows, each as likely as any other; all rows if there are no more.
 
     The rows with the lowest seeded digest of ``key`` are taken, so the sample
-    is the same however the table is partitioned. ``key`` should identify a
-    row; copies of one key are drawn together, and only the last may be split.
+    is the same however the table is partitioned. ``key`` must identify a row:
+    copies of one key are drawn together, so rows that may be alike need a
+    number of their own as the key.
     """
     digest = E.seeded_md5(F.col(key), seed)
     ranked = df.withColumns({"_draw": E.hex_prefix(digest, _DIGITS), "_digest": digest})

@@ -12,7 +12,7 @@ from clickloom import schemas
 from clickloom.operators import attribution_log as log
 from clickloom.operators import fanout, ranking, sampling, stats
 from clickloom.sinks import files, scratch
-from clickloom.sources.files import read_tsv, typed_events
+from clickloom.sources.files import FILE_ORDER, read_tsv, typed_events
 
 HEAD_ROWS = 1000
 TAIL_FROM = 0.8
@@ -57,17 +57,20 @@ def sampled_log(
     keep_categories: bool = False,
     read_partitions: int | None = None,
 ) -> DataFrame:
-    """A converted sample of a log, with the original ``_line``.
+    """A converted sample of a log, with the original ``_line`` and its number ``_row``.
 
     The log is parsed into a written table first: it is read several times, and
-    a single gzip file could be read by one task only, each time.
+    a single gzip file could be read by one task only, each time. Its rows get
+    their numbers there, by which they are drawn, so that equal lines are drawn
+    one by one. The same files read with the same settings give the same sample.
     """
-    lines = scratch.written(read_tsv(spark, path, read_partitions), "log")
+    parsed = read_tsv(spark, path, read_partitions)
+    lines = scratch.written(parsed.withColumn("_row", F.monotonically_increasing_id()), "log")
     leading = lines.columns[0]
     scan = stats.scan_stats(lines, leading).first()
     base = log.choose_base(scan.max_ts, base_datetime, preserve_relative)
-    sample = sampling.sample_exact(lines, size, "_line", seed)
-    return log.convert(sample, base, keep_categories, carry=("_line",))
+    sample = sampling.sample_exact(lines, size, "_row", seed)
+    return log.convert(sample, base, keep_categories, carry=("_line", "_row"))
 
 
 def convert_log(
@@ -93,10 +96,9 @@ def convert_log(
         keep_categories,
         read_partitions,
     )
-    # Equal lines differ in nothing but this number, which lets a sort split them.
-    numbered = sample.withColumn("_scan", F.monotonically_increasing_id())
-    sample = scratch.written(numbered, "sample")
-    parts = slices(sample, ["_line", "_scan"])
+    sample = scratch.written(sample, "sample")
+    # Equal lines differ in nothing but their number, which lets a sort split them.
+    parts = slices(sample, ["_line", "_row"])
     files.write_csv(parts.main, f"{output}/ad_events", columns)
     files.write_csv(parts.head, f"{output}/ad_events_sample", columns)
     files.write_csv(parts.tail, f"{output}/ad_events_batch2", columns)
@@ -123,23 +125,32 @@ def identified(
 def numbered_csv(
     events: DataFrame,
     prefix: str = "evt_",
-    by_time: bool = True,
+    by_time: bool = False,
     max_events: int | None = None,
+    campaign_text: bool = False,
 ) -> DataFrame:
-    """String-typed CSV rows as events numbered in time order, equal times as scanned.
+    """String-typed CSV rows as events numbered in the order given, or in time order.
 
-    Without ``by_time`` as scanned, which is file order if there is one file.
+    The order given is by file and position if the rows carry them (``position`` of
+    ``read_events_csv``), else as scanned; in time order it decides between equal times.
     """
-    typed = typed_events(events).withColumn("_scan", F.monotonically_increasing_id())
-    order = ["timestamp", "_scan"] if by_time else None
+    typed = typed_events(events, campaign_text)
+    order = [name for name in FILE_ORDER if name in events.columns]
+    if not order:
+        typed, order = typed.withColumn("_scan", F.monotonically_increasing_id()), ["_scan"]
+    if by_time:
+        order = ["timestamp", *order]
     return identified(scratch.written(typed, "typed"), order, prefix, max_events)
 
 
 def split_csv(
-    events: DataFrame, output: str, seed: int = 42, prefix: str = "evt_", by_time: bool = True
+    events: DataFrame, output: str, seed: int = 42, prefix: str = "evt_", by_time: bool = False
 ) -> DataFrame:
-    """Write the three feeds of a string-typed event CSV and return their summary."""
-    numbered = numbered_csv(events, prefix, by_time)
+    """Write the three feeds of a string-typed event CSV and return their summary.
+
+    The campaign is written as it was read, whatever it is.
+    """
+    numbered = numbered_csv(events, prefix, by_time, campaign_text=True)
     feed = scratch.written(fanout.split(numbered, seed), "feed")
     for kind, columns in (
         ("impression", schemas.IMPRESSION_COLUMNS),

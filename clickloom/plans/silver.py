@@ -14,6 +14,9 @@ from clickloom.operators.summary import recent
 
 _VERSION = ("kafka_timestamp", "kafka_partition", "kafka_offset")
 
+# Days by which a message's stated time may be ahead of the clock that lands it.
+CLOCK_DAYS = 1
+
 
 def project(raw: DataFrame, run_at: datetime | None = None) -> DataFrame:
     """The processed columns of each raw row, with the message position kept."""
@@ -34,8 +37,16 @@ def project(raw: DataFrame, run_at: datetime | None = None) -> DataFrame:
     )
 
 
-def transform(raw: DataFrame, keep: str = "latest", run_at: datetime | None = None) -> DataFrame:
-    """Processed rows, one per ``event_id``: the newest message, or with ``any`` some message."""
+def transform(
+    raw: DataFrame,
+    keep: str = "latest",
+    run_at: datetime | None = None,
+    versioned: bool = False,
+) -> DataFrame:
+    """Processed rows, one per ``event_id``: the newest message, or with ``any`` some message.
+
+    ``versioned`` adds the message's position as a ``version`` that can be compared.
+    """
     rows = project(raw, run_at)
     if keep == "latest":
         rows = dedup.latest_row(rows, ["event_id"], dedup.message_order())
@@ -43,6 +54,8 @@ def transform(raw: DataFrame, keep: str = "latest", run_at: datetime | None = No
         rows = dedup.any_row(rows, ["event_id"])
     else:
         raise ValueError(f"keep must be latest or any, not {keep!r}")
+    if versioned:
+        return rows.withColumn("version", _version()).select(schemas.VERSIONED_EVENTS.names)
     return rows.select(schemas.PROCESSED_EVENTS.names)
 
 
@@ -67,15 +80,19 @@ def transform_recent(
     and message positions of the other rows sent since the window's first
     message. ``assume_fixed_dates`` leaves that join out where an event never
     changes its date.
-    ``assume_ingested_later`` also skips the raw partitions of earlier days,
-    where no event arrives before its own time.
+    ``assume_ingested_later`` also skips raw partitions: of the window's rows
+    those of earlier days, where no event arrives before its own time, and of
+    the others those from before the window's first message was sent, less
+    CLOCK_DAYS.
+
+    Finding that first message runs one job over the window when the plan is
+    made. A raw zone that takes long to read should be handed in written.
     """
     today = F.current_date() if as_of is None else F.lit(as_of)
     first = F.date_sub(today, days)
-    inside = _from_day(first)
-    if assume_ingested_later:
-        inside = inside & (F.col("raw_date") >= first)
-    return _newest_inside(raw, inside, assume_fixed_dates, run_at)
+    return _newest_inside(
+        raw, _from_day(first), first, assume_fixed_dates, assume_ingested_later, run_at
+    )
 
 
 def transform_between(
@@ -83,11 +100,16 @@ def transform_between(
     first: date,
     last: date,
     assume_fixed_dates: bool = False,
+    assume_ingested_later: bool = False,
     run_at: datetime | None = None,
 ) -> DataFrame:
     """As ``transform_recent`` for the event dates ``first`` to ``last`` inclusive."""
     inside = _from_day(F.lit(first)) & ~_from_day(F.lit(last + timedelta(days=1)))
-    return _newest_inside(raw, inside, assume_fixed_dates, run_at)
+    # Nearly all later messages are of later events: their versions are of no use, and
+    # without them the grouping is as small as the range.
+    return _newest_inside(
+        raw, inside, F.lit(first), assume_fixed_dates, assume_ingested_later, run_at, only_own=True
+    )
 
 
 def _from_day(day: Column) -> Column:
@@ -96,9 +118,18 @@ def _from_day(day: Column) -> Column:
 
 
 def _newest_inside(
-    raw: DataFrame, inside: Column, assume_fixed_dates: bool, run_at: datetime | None
+    raw: DataFrame,
+    inside: Column,
+    first: Column,
+    assume_fixed_dates: bool,
+    assume_ingested_later: bool,
+    run_at: datetime | None,
+    only_own: bool = False,
 ) -> DataFrame:
-    rows = project(raw.filter(inside & F.col("event_id").isNotNull()), run_at)
+    chosen = raw.filter(inside & F.col("event_id").isNotNull())
+    if assume_ingested_later:
+        chosen = chosen.filter(F.col("raw_date") >= first)
+    rows = project(chosen, run_at)
     newest = dedup.latest_row(rows, ["event_id"], dedup.message_order())
     if not assume_fixed_dates:
         elsewhere = raw.filter(~F.coalesce(inside, F.lit(False)) & F.col("event_id").isNotNull())
@@ -112,6 +143,11 @@ def _newest_inside(
         if sent["first"] is not None and not sent.unknown:
             since = F.timestamp_micros(F.lit(sent["first"]))
             elsewhere = elsewhere.filter(F.col("kafka_timestamp") >= since)
+            if assume_ingested_later:
+                landed = F.date_sub(since.cast("date"), CLOCK_DAYS)
+                elsewhere = elsewhere.filter(F.col("raw_date") >= landed)
+        if only_own:
+            elsewhere = merge.semi_join(elsewhere, rows, ["event_id"])
         versions = elsewhere.groupBy("event_id").agg(F.max(_version()).alias("_version"))
         same_and_newer = (F.col("n.event_id") == F.col("v.event_id")) & (
             F.col("v._version") > F.col("n._version")
@@ -140,6 +176,7 @@ def run(
     truncate: bool = False,
     assume_fixed_dates: bool = False,
     run_at: datetime | None = None,
+    assume_ingested_later: bool = False,
 ) -> None:
     """Bring the processed table up to date with the raw zone.
 
@@ -150,18 +187,27 @@ def run(
     if mode == "full-refresh":
         table.overwrite_partitions(transform(raw, run_at=run_at), truncate)
     elif mode == "merge":
-        rows = transform_recent(raw, merge_window_days, as_of, assume_fixed_dates, run_at)
+        rows = transform_recent(
+            raw, merge_window_days, as_of, assume_fixed_dates, assume_ingested_later, run_at
+        )
         table.upsert(rows, unique=True, keys_move=not assume_fixed_dates)
     else:
         raise ValueError(f"mode must be merge or full-refresh, not {mode!r}")
 
 
 def backfill(
-    raw: DataFrame, table, first: date, last: date, run_at: datetime | None = None
+    raw: DataFrame,
+    table,
+    first: date,
+    last: date,
+    run_at: datetime | None = None,
+    assume_fixed_dates: bool = False,
+    assume_ingested_later: bool = False,
 ) -> None:
     """Merge the events of a date range again; running it twice changes nothing more."""
     table.ensure(raw.sparkSession)
-    table.upsert(transform_between(raw, first, last, run_at=run_at), unique=True)
+    rows = transform_between(raw, first, last, assume_fixed_dates, assume_ingested_later, run_at)
+    table.upsert(rows, unique=True, keys_move=not assume_fixed_dates)
 
 
 def recent_rows(processed: DataFrame, days: int = 7, as_of: date | None = None) -> DataFrame:

@@ -78,6 +78,17 @@ PROCESSED_EVENTS = StructType(
     ]
 )
 
+# Compares like the order of messages: time, then the lower partition, then offset.
+VERSION = StructType(
+    [
+        StructField("kafka_timestamp", TimestampType()),
+        StructField("partition", IntegerType()),
+        StructField("kafka_offset", LongType()),
+    ]
+)
+
+VERSIONED_EVENTS = StructType([*PROCESSED_EVENTS.fields, StructField("version", VERSION)])
+
 CAMPAIGN_SUMMARY = StructType(
     [
         StructField("summary_date", DateType()),
@@ -93,6 +104,7 @@ CAMPAIGN_SUMMARY = StructType(
     ]
 )
 
+# Column lists of the public files and messages.
 AD_EVENT_COLUMNS = (
     "timestamp",
     "uid",

@@ -21,5 +21,16 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str, columns, mode: str = "errorifexists") -> None:
-    """Headered CSV in the given column order; NULL and "" both come out blank."""
-    df.select(*columns).write.mode(mode).option("header", True).option("emptyValue", "").csv(path)
+    """Headered CSV in the given column order; NULL and "" both come out blank.
+
+    Quotes in a field are doubled, as standard readers expect.
+    """
+    (
+        df.select(*columns)
+        .write.mode(mode)
+        .option("header", True)
+        .option("emptyValue", "")
+        .option("quote", '"')
+        .option("escape", '"')
+        .csv(path)
+    )

@@ -22,6 +22,10 @@ from clickloom import schemas
 from clickloom.operators import merge
 from clickloom.sinks import files, scratch
 
+# Partitions one write may touch. Their values come to the driver as text, since
+# a payload's date may lie outside what Python's dates hold.
+MOST_PARTITIONS = 50_000
+
 
 @dataclass(frozen=True)
 class PathTable:
@@ -58,6 +62,7 @@ class PathTable:
         keys_move: bool = True,
         when_newer: str | None = None,
         delete_unmatched: Column | None = None,
+        within_days: int | None = None,
     ) -> None:
         """Update the rows whose keys ``source`` has, insert the rest.
 
@@ -66,6 +71,8 @@ class PathTable:
         these are found by a join on the key columns alone, within the source's
         key range; without it they are the source's own partitions. ``unique``
         skips the duplicate-key check for a source known to have none.
+        ``within_days`` promises that a date partition never changes by more for
+        a key; only partitions so near to the source's own are then looked at.
         ``delete_unmatched`` drops target rows it holds for that the source does
         not have.
         """
@@ -75,12 +82,14 @@ class PathTable:
                 merge.require_unique(rows, self.keys)
             target = self.read(spark)
             arriving, in_range = self._arriving(rows)
-            leaving: set = set()
+            leaving: set[str | None] = set()
             if keys_move and self.partition not in self.keys:
+                if within_days is not None:
+                    in_range = in_range & self.among(self._near(rows, within_days))
                 found = merge.matched(target.filter(in_range), rows, self.keys)
-                leaving |= self._values(found)
+                leaving |= self.values(found)
             if delete_unmatched is not None:
-                leaving |= self._values(target.filter(delete_unmatched))
+                leaving |= self.values(target.filter(delete_unmatched))
 
             touched = target.filter(self.among(arriving | leaving))
             merged = merge.merge_upsert(
@@ -94,7 +103,7 @@ class PathTable:
             # dynamic overwrite would keep its old ones.
             emptied = leaving - arriving
             if emptied:
-                emptied -= self._values(merged.filter(self.among(emptied)))
+                emptied -= self.values(merged.filter(self.among(emptied)))
             self.overwrite_partitions(merged)
             for value in emptied:
                 files.delete(spark, f"{self.path}/{self._folder(value)}")
@@ -102,47 +111,58 @@ class PathTable:
     def _writer(self, df: DataFrame, mode: str):
         # Rebalancing gives each partition files of the advisory size, splits a
         # hot partition over many tasks and puts small ones together.
+        # Within a file rows are sorted by key, so that row groups hold narrow key
+        # ranges and a later merge can skip them.
         rows = df.select(self.schema.names).hint("rebalance", self.partition)
+        rows = rows.sortWithinPartitions(self.partition, *self.keys)
         return rows.write.mode(mode).partitionBy(self.partition)
 
-    def _arriving(self, rows: DataFrame) -> tuple[set, Column]:
+    def _arriving(self, rows: DataFrame) -> tuple[set[str | None], Column]:
         """The source's partitions, and where its keys lie in the target.
 
         The range is made of literals, so for ids that grow with time the scan
         skips the row groups that cannot hold a match.
         """
         key = self.keys[0]
-        ranges = (
-            rows.groupBy(self.partition)
-            .agg(
-                F.min(key).alias("low"),
-                F.max(key).alias("high"),
-                F.count(F.when(F.col(key).isNull(), True)).alias("nulls"),
-            )
-            .collect()
-        )
-        keyed = [row for row in ranges if row.low is not None]
-        in_range = F.lit(False)
-        if keyed:
-            in_range = F.col(key).between(min(r.low for r in keyed), max(r.high for r in keyed))
-        if any(row.nulls for row in ranges):
+        low, high, nulls = rows.agg(
+            F.min(key), F.max(key), F.count(F.when(F.col(key).isNull(), True))
+        ).first()
+        in_range = F.lit(False) if low is None else F.col(key).between(low, high)
+        if nulls:
             in_range = in_range | F.col(key).isNull()
-        return {row[self.partition] for row in ranges}, in_range
-
-    def _values(self, df: DataFrame) -> set:
-        """Partition values present: one row per partition, so small enough to collect."""
-        return {row[0] for row in df.select(self.partition).distinct().collect()}
+        return self.values(rows), in_range
+
+    def _near(self, rows: DataFrame, days: int) -> set[str | None]:
+        """The dates of ``rows`` and those up to ``days`` before and after."""
+        day = F.col(self.partition)
+        around = F.sequence(F.date_sub(day, days), F.date_add(day, days))
+        near = F.when(day.isNull(), F.array(day)).otherwise(around)
+        dates = rows.select(self.partition).distinct()
+        return self.values(dates.select(F.explode(near).alias(self.partition)))
+
+    def values(self, df: DataFrame) -> set[str | None]:
+        """Partition values present, as text: one row for each, at most MOST_PARTITIONS."""
+        text = F.col(self.partition).cast("string").alias("value")
+        found = df.select(text).distinct().limit(MOST_PARTITIONS + 1).collect()
+        if len(found) > MOST_PARTITIONS:
+            ends = df.agg(F.min(self.partition).cast("string"), F.max(self.partition).cast("string"))
+            first, last = ends.first()
+            raise ValueError(
+                f"over {MOST_PARTITIONS} partitions of {self.partition} at once, "
+                f"from {first} to {last}: merge fewer at a time"
+            )
+        return {row.value for row in found}
 
-    def among(self, values: set) -> Column:
+    def among(self, values: set[str | None]) -> Column:
         """Rows of the given partitions, as literals that prune the scan."""
-        column = F.col(self.partition)
-        known = [value for value in values if value is not None]
-        tests = [column.isin(known)] if known else []
+        column, kind = F.col(self.partition), self.schema[self.partition].dataType
+        known = [F.lit(value).cast(kind) for value in sorted(v for v in values if v is not None)]
+        tests = [column.isin(*known)] if known else []
         if None in values:
             tests.append(column.isNull())
         return reduce(lambda a, b: a | b, tests, F.lit(False))
 
-    def _folder(self, value) -> str:
+    def _folder(self, value: str | None) -> str:
         return f"{self.partition}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
 
 
@@ -189,6 +209,7 @@ class CatalogTable:
         keys_move: bool = True,
         when_newer: str | None = None,
         delete_unmatched: Column | None = None,
+        within_days: int | None = None,
     ) -> None:
         """The catalog's own MERGE, which finds duplicate and moved keys itself."""
         rows = source.select(self.schema.names).alias("s")
@@ -221,6 +242,11 @@ def processed_events(base: str, name: str = "processed_events") -> PathTable:
     return PathTable(f"{base}/{name}", schemas.PROCESSED_EVENTS, "event_date", ("event_id",))
 
 
+def versioned_events(base: str, name: str = "versioned_events") -> PathTable:
+    """``processed_events`` that keep the position of the message each row comes from."""
+    return PathTable(f"{base}/{name}", schemas.VERSIONED_EVENTS, "event_date", ("event_id",))
+
+
 def campaign_summary(base: str, name: str = "campaign_summary") -> PathTable:
     return PathTable(
         f"{base}/{name}", schemas.CAMPAIGN_SUMMARY, "summary_date", ("summary_date", "campaign")

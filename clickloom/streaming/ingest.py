@@ -92,15 +92,26 @@ def upsert_stream(
     checkpoint: str,
     available_now: bool = False,
     interval: str | None = None,
+    within_days: int | None = None,
 ) -> StreamingQuery:
     """Merge each batch of messages into the processed table.
 
-    A batch repeated after a failure changes nothing, because the merge is by key.
+    A batch repeated after a failure changes nothing, because the merge is by
+    key. With a table of ``versioned_events`` the newest message wins in
+    whatever order they arrive; without versions the one that arrives last.
+    ``within_days`` as for ``upsert``: a batch then only looks at the
+    partitions near its own, however large the table.
     """
+    versioned = "version" in table.schema.names
 
     def merge_batch(batch: DataFrame, _batch_id: int) -> None:
-        rows = silver.with_id(silver.transform(parse(batch)))
-        table.upsert(rows.filter(F.col("event_date").isNotNull()), unique=True)
+        rows = silver.with_id(silver.transform(parse(batch), versioned=versioned))
+        table.upsert(
+            rows.filter(F.col("event_date").isNotNull()),
+            unique=True,
+            when_newer="version" if versioned else None,
+            within_days=within_days,
+        )
 
     table.ensure(messages.sparkSession)
     writer = messages.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from clickloom import schemas
 from clickloom.operators import attribution_log as log
-from clickloom.operators import fanout, stats
+from clickloom.operators import fanout, sampling, stats
 from clickloom.plans import prepare
 from clickloom.sinks import files as sink_files
 from clickloom.sinks import messages
@@ -224,6 +224,10 @@ def test_split_csv(spark, folder):
     found = prepare.split_csv(source, f"{folder}/out").first()
     assert (found.impressions, found.clicks, found.conversions) == (100, 50, 25)
     impressions = read_csvs(f"{folder}/out/events_impressions")
+    # Numbered as given, written by time.
+    assert [r["event_id"] for r in impressions] == [f"evt_{i:08d}" for i in reversed(range(100))]
+    prepare.split_csv(source, f"{folder}/by_time", by_time=True)
+    impressions = read_csvs(f"{folder}/by_time/events_impressions")
     assert [r["event_id"] for r in impressions] == [f"evt_{i:08d}" for i in range(100)]
     assert [int(r["timestamp"]) for r in impressions] == list(range(201, 301))
     clicks = [int(r["timestamp"]) for r in read_csvs(f"{folder}/out/events_clicks")]
@@ -232,6 +236,82 @@ def test_split_csv(spark, folder):
     assert {r.uid: r.event_id for r in as_scanned.collect()} == {f"u{i}": f"evt_{i:08d}" for i in range(10)}
 
 
+def test_columns_are_found_by_name_and_quotes_are_standard(spark, folder):
+    os.makedirs(f"{folder}/in")
+    with open(f"{folder}/in/a.csv", "w", newline="") as out:
+        writer = csv.writer(out)
+        writer.writerow(["uid", "note", "cost", "timestamp"])
+        writer.writerow(['a"b,c', "x, y", "1.5", "10"])
+        writer.writerow(["uid", "note", "cost", "timestamp"])
+    with open(f"{folder}/in/b.csv", "w", newline="") as out:
+        writer = csv.writer(out, quoting=csv.QUOTE_ALL)
+        writer.writerow(["timestamp", "campaign", "uid"])
+        writer.writerow(["20", "99999999999", 'say ""hi""'])
+    open(f"{folder}/in/c.csv", "w").close()
+    read = files.read_events_csv(spark, f"{folder}/in")
+    found = sorted(((r.timestamp, r.uid, r.campaign, r.cost) for r in read.collect()), key=str)
+    assert found == sorted(
+        [("10", 'a"b,c', None, "1.5"), ("timestamp", "uid", None, "cost"), ("20", 'say ""hi""', "99999999999", None)],
+        key=str,
+    )
+    sink_files.write_csv(read, f"{folder}/out", ["uid", "timestamp"])
+    assert {r["uid"] for r in read_csvs(f"{folder}/out")} == {'a"b,c', "uid", 'say ""hi""'}
+    assert files.read_events_csv(spark, f"{folder}/in/c.csv", position=True).collect() == []
+
+    with open(f"{folder}/lines.csv", "w", newline="") as out:
+        csv.writer(out).writerows([["uid", "timestamp"], ["two\nlines", "1"]])
+    rows = files.read_events_csv(spark, f"{folder}/lines.csv", multi_line=True).collect()
+    assert [(r.uid, r.timestamp) for r in rows] == [("two\nlines", "1")]
+
+
+def test_tsv_files_with_different_headers(spark, folder):
+    os.makedirs(f"{folder}/in")
+    write(f"{folder}/in/a.tsv", ["timestamp\tuid\tcost", "1\ta\t0.5", "timestamp\tuid\tcost"])
+    write(f"{folder}/in/b.tsv", ["uid\ttimestamp\tcat1", "b\t2\tx"])
+    rows = files.read_tsv(spark, f"{folder}/in")
+    assert rows.columns == ["timestamp", "uid", "cost", "cat1", "_line"]
+    assert sorted(tuple(r)[:4] for r in rows.collect()) == [
+        ("1", "a", "0.5", ""), ("2", "b", "", "x"), ("timestamp", "uid", "cost", ""),
+    ]
+
+
+def test_ids_and_limit_follow_the_files(spark, folder):
+    os.makedirs(f"{folder}/in")
+    for name, size in (("a", 300), ("b", 5), ("c", 900)):
+        with open(f"{folder}/in/{name}.csv", "w") as out:
+            out.write("timestamp,uid,campaign\n")
+            out.writelines(f"{1000 - n},{name}{n},c{n}\n" for n in range(size))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500b")
+    try:
+        rows = files.read_events_csv(spark, f"{folder}/in", position=True)
+        assert rows.rdd.getNumPartitions() > 5
+        numbered = prepare.numbered_csv(rows).orderBy("event_id").collect()
+        wanted = [f"{name}{n}" for name, size in (("a", 300), ("b", 5), ("c", 900)) for n in range(size)]
+        assert [r.uid for r in numbered] == wanted
+        first = prepare.numbered_csv(rows, max_events=307)
+        assert sorted(r.uid for r in first.collect()) == sorted(wanted[:307])
+        by_time = prepare.numbered_csv(rows, by_time=True).orderBy("event_id").first()
+        assert by_time.timestamp == 101
+        prepare.split_csv(rows, f"{folder}/out")
+        assert {r["campaign"] for r in read_csvs(f"{folder}/out/events_impressions")} == {f"c{n}" for n in range(900)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_the_share_of_copies_in_a_sample_is_fair(spark, folder):
+    lines = [HEADER.split("\t")] + [["7"] * 9 if n % 3 == 0 else [str(n)] * 9 for n in range(3000)]
+    write(f"{folder}/log.tsv", ["\t".join(line) for line in lines])
+    log_rows = files.read_tsv(spark, f"{folder}/log.tsv").withColumn("_row", F.monotonically_increasing_id()).cache()
+    # Hypergeometric: 300 of 3000 rows, of which 1000 are alike.
+    deviation = (300 * (1 / 3) * (2 / 3) * (2700 / 2999)) ** 0.5
+    for seed in range(20):
+        drawn = sampling.sample_exact(log_rows, 300, "_row", seed)
+        total, copies = drawn.agg(F.count("*"), F.count(F.when(F.col("uid") == "7", 1))).first()
+        assert total == 300 and abs(copies - 100) < 4 * deviation
+    log_rows.unpersist()
+
+
 def test_csv_roundtrip_keeps_blank_apart_from_zero(spark, folder):
     rows = spark.sql("SELECT 1L timestamp, '' uid, 2 campaign, 0 click, 0 conversion, CAST(NULL AS BIGINT) conversion_timestamp, 0.0D cost")
     sink_files.write_csv(rows, f"{folder}/x", schemas.AD_EVENT_COLUMNS)
