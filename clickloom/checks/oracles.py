@@ -192,12 +192,12 @@ def all_sql() -> dict[str, str]:
         "raw_projection": _with(_AD_EVENTS, f"SELECT {_RAW_COLUMNS} FROM ad"),
         "raw_scan": _with(
             _AD_EVENTS,
-            f"SELECT {_RAW_COLUMNS}, fmt FROM ad CROSS JOIN (VALUES ('parquet'), ('json')) f(fmt)",
+            f"SELECT {_RAW_COLUMNS}, fmt, TRUE AS landed_right FROM ad CROSS JOIN (VALUES ('parquet'), ('json')) f(fmt)",
         ),
         "csv_roundtrip": _with(
             _AD_EVENTS,
-            "SELECT timestamp, uid, campaign, click, conversion, conversion_timestamp, "
-            "round(cost, 4) AS cost FROM ad",
+            "SELECT timestamp, '\"a\", ' || uid || '\"' AS uid, campaign, click, conversion, "
+            "conversion_timestamp, round(cost, 4) AS cost FROM ad",
         ),
         "silver_transform": _with(_PROCESSED, "SELECT * FROM processed"),
         "silver_dedup_latest": _with(_CORRECTED, "SELECT * FROM newest"),
@@ -210,6 +210,13 @@ def all_sql() -> dict[str, str]:
         "campaign_summary": _with(_PROCESSED, _summary(_grouped("recent"))),
         "campaign_summary_all_days": _with(_PROCESSED, _summary(_grouped("processed"))),
         "merge_processed": _with(_PROCESSED, _merged("first_load", "recent")),
+        "merge_far_dates": _with(
+            _AD_EVENTS
+            + ", far AS (SELECT *, CASE WHEN n % 50 = 0 THEN timestamp * 1000 ELSE timestamp END AS t FROM ad)",
+            "SELECT event_id, CAST(t // 86400 AS INTEGER) AS event_day, uid, campaign, click, conversion, "
+            "CASE WHEN conversion = 1 THEN conversion_timestamp - t END AS conversion_delay_sec, "
+            "round(cost, 4) AS cost FROM far",
+        ),
         "merge_processed_plan": _with(_PROCESSED, _merged("first_load", "recent")),
         "merge_summary": _with(
             _PROCESSED
@@ -243,7 +250,15 @@ def all_sql() -> dict[str, str]:
             "SELECT count(*) AS total_rows, min(CASE WHEN click <> 0 THEN timestamp END) AS min_ts, "
             "max(CASE WHEN click <> 0 THEN timestamp END) AS max_ts FROM ad",
         ),
-        "fanout_all": _with(_FEED, f"SELECT *, {_ISO} FROM feed"),
+        "fanout_all": _with(
+            _FEED,
+            f"SELECT *, {_ISO} FROM feed "
+            # no time can be shown for the last second, and none be added to it
+            "UNION ALL SELECT 'x' || event_id, 'impression', 9223372036854775807, NULL, uid, campaign, "
+            "round(cost, 4), NULL, NULL FROM ad WHERE n % 500 = 0 "
+            "UNION ALL SELECT 'x' || event_id, 'click', NULL, 9223372036854775807, uid, campaign, "
+            "NULL, NULL, NULL FROM ad WHERE n % 500 = 0",
+        ),
         "fanout_impressions": _with(
             _FEED, "SELECT event_id, event_type, timestamp, uid, campaign, cost FROM impressions"
         ),
@@ -279,6 +294,14 @@ def all_sql() -> dict[str, str]:
             "SELECT 'ad-' || event_type || 's' AS topic, count(*) AS messages FROM feed "
             "GROUP BY event_type",
         ),
+        "feed_messages": _with(
+            _FEED,
+            f"""SELECT uid AS key, 'ad-' || event_type || 's' AS topic,
+            'event_id,event_type,timestamp,event_time,uid,campaign' ||
+              CASE event_type WHEN 'impression' THEN ',cost' WHEN 'click' THEN ''
+                              ELSE ',conversion_delay_sec' END AS fields,
+            event_id, event_type, timestamp, {_ISO}, uid, campaign, cost, conversion_delay_sec FROM feed""",
+        ),
         "relink_events": _with(
             _FEED,
             "SELECT i.event_id, i.timestamp, i.uid, i.campaign, i.cost, "
@@ -290,15 +313,28 @@ def all_sql() -> dict[str, str]:
         "dead_letters": _with(
             _AD_EVENTS,
             "SELECT CAST(n % 3 AS INTEGER) AS kafka_partition, n // 3 AS kafka_offset, "
-            "strftime(make_timestamp(timestamp * 1000000), '%Y-%m-%d %H:%M:%S') AS kafka_timestamp "
+            "strftime(make_timestamp(timestamp * 1000000), '%Y-%m-%d %H:%M:%S') AS kafka_timestamp, "
+            "'{\"event_id\":\"' || event_id || '\",\"event_type\":\"ad_event\",\"timestamp\":' || timestamp || "
+            "',\"event_time\":\"' || event_time || '\",\"uid\":\"' || uid || '\",\"campaign\":' || campaign || "
+            "',\"click\":0,\"conversion\":0,\"conversion_timestamp\":null,\"' AS payload "
             "FROM ad WHERE click = 0",
         ),
-        "tsv_prepare": _with(_AD_EVENTS, _REBASED),
+        "tsv_prepare": _with(
+            _AD_EVENTS,
+            f"SELECT * FROM ({_REBASED}) UNION ALL SELECT * REPLACE (NULL AS conversion_timestamp) "
+            f"FROM ({_REBASED}) WHERE conversion = 1",
+        ),
         "sample_exact": _with(
             _AD_EVENTS,
             f"SELECT {_EVENT_COLUMNS} FROM ad QUALIFY row_number() OVER "
             "(ORDER BY md5('42:' || event_id), event_id) <= (SELECT count(*) // 4 FROM ad)",
         ),
+        "sample_of_copies": _with(
+            _AD_EVENTS,
+            "SELECT event_id AS row, CASE WHEN n % 3 = 0 THEN 'the same line' ELSE uid END AS line FROM ad "
+            "QUALIFY row_number() OVER (ORDER BY md5('42:' || event_id), event_id) "
+            "<= (SELECT count(*) // 4 FROM ad)",
+        ),
         "row_index": _with(
             _AD_EVENTS, f"SELECT timestamp, event_id, {_NUMBERED} AS row_idx FROM ad"
         ),
@@ -321,10 +357,24 @@ def all_sql() -> dict[str, str]:
         "max_events": _with(
             _AD_EVENTS, f"SELECT {_EVENT_COLUMNS} FROM ad ORDER BY timestamp, event_id LIMIT 5000"
         ),
+        "max_events_as_given": _with(
+            _AD_EVENTS
+            + ", numbered AS (SELECT *, row_number() OVER (ORDER BY n % 3, n % 5, n DESC) - 1 AS i FROM ad)",
+            "SELECT printf('evt_%08d', i) AS event_id, event_type, timestamp, event_time, uid, "
+            "campaign, click, conversion, conversion_timestamp, round(cost, 4) AS cost FROM numbered "
+            "WHERE i < 5000",
+        ),
         "interevent_gap": _with(
-            _AD_EVENTS,
-            "SELECT event_id, uid, timestamp, timestamp - lag(timestamp) OVER "
-            "(PARTITION BY uid ORDER BY timestamp, event_id) AS gap_sec FROM ad",
+            _AD_EVENTS
+            + """, every AS (
+            SELECT event_id, uid, timestamp FROM ad UNION ALL
+            SELECT 'x' || event_id, uid, CASE WHEN n % 1000 = 0 THEN 9223372036854775807
+                                              ELSE -9223372036854775808 END FROM ad WHERE n % 500 = 0),
+            apart AS (
+            SELECT *, timestamp::HUGEINT - lag(timestamp) OVER
+              (PARTITION BY uid ORDER BY timestamp, event_id) AS gap FROM every)""",
+            "SELECT event_id, uid, timestamp, CASE WHEN gap BETWEEN -9223372036854775808 "
+            "AND 9223372036854775807 THEN gap::BIGINT END AS gap_sec FROM apart",
         ),
         "health_freshness": _with(
             _PROCESSED,
@@ -340,9 +390,16 @@ def all_sql() -> dict[str, str]:
             _CORRECTED,
             "SELECT event_id, count(*) AS copies FROM sent GROUP BY event_id HAVING count(*) > 1",
         ),
+        "health_files": _with(
+            _PROCESSED,
+            "SELECT DISTINCT event_date, TRUE AS has_files, TRUE AS mean_fits, TRUE AS largest_fits FROM processed",
+        ),
+        "compacted_summary": _with(_PROCESSED, _summary(_grouped("processed"))),
+        "compacted_raw": _with(_AD_EVENTS, f"SELECT {_RAW_COLUMNS}, TRUE AS landed_right FROM ad"),
         "compacted": _with(_PROCESSED, "SELECT * FROM first_load UNION ALL SELECT * FROM recent"),
-        "stream_ingest": _with(_AD_EVENTS, f"SELECT {_RAW_COLUMNS} FROM ad"),
-        "stream_resume": _with(_AD_EVENTS, f"SELECT {_RAW_COLUMNS} FROM ad"),
+        "stream_ingest": _with(_AD_EVENTS, f"SELECT {_RAW_COLUMNS}, TRUE AS landed_right FROM ad"),
+        "stream_resume": _with(_AD_EVENTS, f"SELECT {_RAW_COLUMNS}, TRUE AS landed_right FROM ad"),
         "stream_upsert": _with(_PROCESSED, "SELECT * FROM processed"),
+        "stream_upsert_out_of_order": _with(_CORRECTED, "SELECT * FROM newest"),
         "bronze_to_gold": _with(_PROCESSED, _summary(_grouped("recent"))),
     }

@@ -70,8 +70,23 @@ def _recent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stored_raw(rows: DataFrame) -> DataFrame:
-    """``rows`` as a raw zone on disk, the form in which later stages read them."""
-    return scratch.written(rows, "raw")
+    """``rows`` as a raw zone on disk, landed as they were sent, the form in which later stages read them."""
+    landed = rows.withColumns(
+        {
+            "ingest_ts": F.col("kafka_timestamp"),
+            "raw_date": F.to_date("kafka_timestamp"),
+            "raw_hour": F.hour("kafka_timestamp"),
+        }
+    )
+    path = scratch.new_path(rows.sparkSession, "raw")
+    landed.hint("rebalance", "raw_date").write.partitionBy("raw_date").parquet(path)
+    return files.read_raw(rows.sparkSession, path)
+
+
+def _with_landing(raw: DataFrame) -> DataFrame:
+    """Whether each row lies in the folders its time of arrival names."""
+    right = (F.to_date("ingest_ts") == F.col("raw_date")) & (F.hour("ingest_ts") == F.col("raw_hour"))
+    return raw.withColumn("landed_right", right).drop("ingest_ts", "raw_date", "raw_hour")
 
 
 def _first_known(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,7 +113,7 @@ def _loaded_table(spark: SparkSession, sf_dir: str) -> tables.PathTable:
 
 def _with_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows, and a day later each clicked event again with a higher cost and converted."""
-    raw = _stored_raw(_raw(spark, sf_dir))
+    raw = _raw(spark, sf_dir)
     corrected = raw.filter("click = 1").withColumns(
         {
             "kafka_timestamp": F.col("kafka_timestamp") + F.expr("INTERVAL 1 DAY"),
@@ -107,7 +122,7 @@ def _with_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
             "conversion_timestamp": F.col("timestamp") + 60,
         }
     )
-    return raw.unionByName(corrected)
+    return _stored_raw(raw.unionByName(corrected))
 
 
 def ad_events_adapter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,12 +142,19 @@ def raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows.write.partitionBy(*schemas.RAW_PARTITIONS).format(fmt).save(path)
         scans.append(files.read_raw(spark, path, fmt).withColumn("fmt", F.lit(fmt)))
     both = scans[0].unionByName(scans[1])
-    return _plain(both, ("ingest_ts", "raw_date", "raw_hour"))
+    return _plain(_with_landing(both))
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns in another order and one more, and users with quotes and commas in their names."""
     path = scratch.new_path(spark, "csv")
-    sink_files.write_csv(event_table.ad_events(spark, sf_dir), path, schemas.AD_EVENT_COLUMNS)
+    events = event_table.ad_events(spark, sf_dir).withColumns(
+        {
+            "uid": F.concat(F.lit('"a", '), F.col("uid"), F.lit('"')),
+            "note": F.lit('x,"y'),
+        }
+    )
+    sink_files.write_csv(events, path, [*reversed(schemas.AD_EVENT_COLUMNS), "note"])
     return _plain(files.typed_events(files.read_events_csv(spark, path)))
 
 
@@ -151,7 +173,8 @@ def silver_dedup_any(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_recent_prefiltered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(silver.transform_recent(_with_corrections(spark, sf_dir), 7, AS_OF))
+    raw = _with_corrections(spark, sf_dir)
+    return _plain(silver.transform_recent(raw, 7, AS_OF, assume_ingested_later=True))
 
 
 def recent_window(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,6 +196,19 @@ def merge_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(table.read(spark))
 
 
+def merge_far_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fiftieth event has its time in milliseconds, some 50,000 years ahead; merged twice."""
+    events = event_table.ad_events(spark, sf_dir)
+    far = F.pmod(event_table.number(events), F.lit(50)) == 0
+    time = F.when(far, F.col("timestamp") * 1000).otherwise(F.col("timestamp"))
+    rows = _project(events.withColumn("timestamp", time))
+    table = tables.processed_events(scratch.new_path(spark, "warehouse"))
+    table.ensure(spark)
+    for _ in range(2):
+        table.upsert(rows)
+    return _plain(table.read(spark).withColumn("event_day", F.unix_date("event_date"))).drop("event_date")
+
+
 def merge_processed_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same merge as one plan that writes nothing."""
     source = _recent(spark, sf_dir)
@@ -221,8 +257,22 @@ def _feed(spark: SparkSession, sf_dir: str, rule: str = "positive_delay") -> Dat
     return fanout.split(event_table.ad_events(spark, sf_dir), rule=rule)
 
 
+def _with_last_second(events: DataFrame) -> DataFrame:
+    """The events, and every five-hundredth again, clicked in the last second a BIGINT holds."""
+    chosen = events.filter(F.pmod(event_table.number(events), F.lit(500)) == 0)
+    extreme = chosen.withColumns(
+        {
+            "event_id": F.concat(F.lit("x"), F.col("event_id")),
+            "timestamp": F.lit(2**63 - 1),
+            "click": F.lit(1),
+            "conversion": F.lit(0),
+        }
+    )
+    return events.unionByName(extreme)
+
+
 def fanout_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(_feed(spark, sf_dir))
+    return _plain(fanout.split(_with_last_second(event_table.ad_events(spark, sf_dir))))
 
 
 def fanout_impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,11 +306,28 @@ def fanout_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topic_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed published as messages, counted per topic."""
-    path = scratch.new_path(spark, "topics")
-    message_sink.publish_files(message_sink.encode_feed(_feed(spark, sf_dir)), path)
-    sent = spark.read.schema(schemas.MESSAGE).json(path)
-    return sent.groupBy("topic").agg(F.count(F.lit(1)).alias("messages"))
+    """The feed published as messages, counted while it is written."""
+    feed, counters = fanout.observed(_feed(spark, sf_dir))
+    message_sink.publish_files(message_sink.encode_feed(feed), scratch.new_path(spark, "topics"))
+    counts = [(schemas.TOPICS[kind[:-1]], n) for kind, n in counters.get.items()]
+    return spark.createDataFrame(counts, "topic string, messages bigint")
+
+
+def feed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed's messages read back: key, topic, the names of the fields, and their values."""
+    sent = message_sink.encode_feed(_feed(spark, sf_dir))
+    fields = T.StructType(
+        [f for f in schemas.EVENT if f.name in schemas.IMPRESSION_MESSAGE]
+        + [T.StructField("conversion_delay_sec", T.LongType())]
+    )
+    return _plain(
+        sent.select(
+            "key",
+            "topic",
+            F.array_join(F.json_object_keys("value"), ",").alias("fields"),
+            F.inline(F.array(F.from_json("value", fields))),
+        )
+    )
 
 
 def relink_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -287,7 +354,7 @@ def message_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(ingest.dead_letters(_damaged_messages(spark, sf_dir))).drop("payload")
+    return _plain(ingest.dead_letters(_damaged_messages(spark, sf_dir)))
 
 
 def _tsv(spark: SparkSession, sf_dir: str) -> str:
@@ -300,6 +367,13 @@ def _tsv(spark: SparkSession, sf_dir: str) -> str:
         (F.col("conversion_timestamp") - LOG_START).cast("string"), F.lit("-1")
     )
     values["cat1"] = F.col("event_id")
+    # The converted ones again, with a conversion time no base can be added to.
+    events = events.unionByName(
+        events.filter("conversion = 1").withColumn("conversion_timestamp", F.lit(2**63 - 1))
+    )
+    values["conversion_timestamp"] = F.when(
+        F.col("conversion_timestamp") == 2**63 - 1, F.col("conversion_timestamp").cast("string")
+    ).otherwise(values["conversion_timestamp"])
     full = F.concat_ws("\t", *[values[name] for name in columns])
     short = F.concat_ws("\t", *[values[name] for name in columns[:3]])
     line = (
@@ -336,6 +410,15 @@ def sample_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(sampling.sample_exact(events, events.count() // 4, "event_id"))
 
 
+def sample_of_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the rows, of which every third holds the same line: rows are drawn, not lines."""
+    events = event_table.ad_events(spark, sf_dir)
+    same = F.pmod(event_table.number(events), F.lit(3)) == 0
+    line = F.when(same, "the same line").otherwise(F.col("uid"))
+    rows = events.select(F.col("event_id").alias("row"), line.alias("line"))
+    return sampling.sample_exact(rows, rows.count() // 4, "row")
+
+
 def row_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = event_table.ad_events(spark, sf_dir).select("timestamp", "event_id")
     return ranking.with_row_index(events, ["timestamp", "event_id"])
@@ -368,9 +451,28 @@ def max_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(prepare.first_events(events, 5000, ["event_id"]))
 
 
+def max_events_as_given(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 5,000 events in the order of files, blocks and places, numbered in it."""
+    events = event_table.ad_events(spark, sf_dir)
+    n = event_table.number(events)
+    text = events.select(
+        *(F.col(name).cast("string").alias(name) for name in schemas.AD_EVENT_COLUMNS),
+        F.concat(F.lit("file"), F.pmod(n, F.lit(3))).alias("_file"),
+        F.pmod(n, F.lit(5)).alias("_block"),
+        (-n).alias("_scan"),
+    )
+    return _plain(prepare.numbered_csv(text, max_events=5000))
+
+
 def interevent_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Also for users with events in the first and in the last second a BIGINT holds."""
     events = event_table.ad_events(spark, sf_dir).select("event_id", "uid", "timestamp")
-    return gaps.with_gap(events)
+    n = event_table.number(events)
+    ends = F.when(F.pmod(n, F.lit(1000)) == 0, F.lit(2**63 - 1)).otherwise(F.lit(-(2**63)))
+    extreme = events.filter(F.pmod(n, F.lit(500)) == 0).withColumns(
+        {"timestamp": ends, "event_id": F.concat(F.lit("x"), F.col("event_id"))}
+    )
+    return gaps.with_gap(events.unionByName(extreme))
 
 
 def health_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -387,8 +489,19 @@ def health_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def health_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = _loaded_table(spark, sf_dir)
-    return _plain(health.file_layout(spark, table.path))
+    """What must hold of the files of any table: how many and how large they are is Spark's choice."""
+    table = tables.processed_events(scratch.new_path(spark, "warehouse"))
+    table.ensure(spark)
+    table.overwrite_partitions(_processed(spark, sf_dir))
+    found = health.file_layout(spark, table.path)
+    return _plain(
+        found.select(
+            "event_date",
+            (F.col("files") >= 1).alias("has_files"),
+            (F.abs(F.col("mean_bytes") * F.col("files") - F.col("bytes")) < 1).alias("mean_fits"),
+            F.col("largest_bytes").between(F.col("mean_bytes"), F.col("bytes")).alias("largest_fits"),
+        )
+    )
 
 
 def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -399,6 +512,28 @@ def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(table.read(spark))
 
 
+def compacted_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary of all days, written campaign by campaign parity, after its compaction."""
+    table = tables.campaign_summary(scratch.new_path(spark, "warehouse"))
+    table.ensure(spark)
+    whole = campaign_days(_processed(spark, sf_dir)).withColumn("updated_at", F.lit(RUN_AT))
+    for parity in range(2):
+        table.append(whole.filter(F.pmod("campaign", F.lit(2)) == parity))
+    compact.run(spark, table)
+    return _plain(table.read(spark))
+
+
+def compacted_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A streamed raw zone, copied into files of the target size."""
+    source, raw, checkpoint = (scratch.new_path(spark, x) for x in ("topic", "raw", "offsets"))
+    for known in (True, False):
+        _published(spark, sf_dir, known, source)
+        _land(spark, source, raw, checkpoint)
+    copy = scratch.new_path(spark, "raw")
+    compact.raw_copy(spark, raw, copy)
+    return _plain(_with_landing(files.read_raw(spark, copy)))
+
+
 def _published(spark: SparkSession, sf_dir: str, known: bool, path: str) -> None:
     """Messages of the days before FIRST_LOAD, or of those from then on, into one folder."""
     first_load = F.lit(FIRST_LOAD).cast("timestamp")
@@ -416,7 +551,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, raw, checkpoint = (scratch.new_path(spark, x) for x in ("topic", "raw", "offsets"))
     message_sink.publish_files(event_table.messages(spark, sf_dir), source)
     _land(spark, source, raw, checkpoint)
-    return _plain(files.read_raw(spark, raw), ("ingest_ts", "raw_date", "raw_hour"))
+    return _plain(_with_landing(files.read_raw(spark, raw)))
 
 
 def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -427,7 +562,7 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     _land(spark, source, raw, checkpoint)
     _published(spark, sf_dir, False, source)
     _land(spark, source, raw, checkpoint)
-    return _plain(files.read_raw(spark, raw), ("ingest_ts", "raw_date", "raw_hour"))
+    return _plain(_with_landing(files.read_raw(spark, raw)))
 
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -441,6 +576,28 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(table.read(spark))
 
 
+def stream_upsert_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corrections arrive first and what they correct afterwards: the newest message wins all the same."""
+    source, checkpoint = (scratch.new_path(spark, x) for x in ("topic", "offsets"))
+    table = tables.versioned_events(scratch.new_path(spark, "warehouse"))
+    events = event_table.ad_events(spark, sf_dir)
+    corrected = events.filter("click = 1").withColumns(
+        {
+            "cost": F.col("cost") + 1,
+            "conversion": F.lit(1),
+            "conversion_timestamp": F.col("timestamp") + 60,
+        }
+    )
+    later = event_table.as_messages(corrected, F.col("timestamp") + 86_400)
+    for messages in (later, event_table.as_messages(events)):
+        message_sink.publish_files(messages, source)
+        stream = streams.file_messages(spark, source)
+        ingest.run_for(
+            ingest.upsert_stream(stream, table, checkpoint, available_now=True, within_days=1)
+        )
+    return _plain(table.read(spark).drop("version"))
+
+
 def bronze_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three layers as files: stream to raw, merge to processed, merge to summary."""
     source, raw, checkpoint = (scratch.new_path(spark, x) for x in ("topic", "raw", "offsets"))
@@ -448,7 +605,7 @@ def bronze_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     processed, summary = tables.processed_events(warehouse), tables.campaign_summary(warehouse)
     message_sink.publish_files(event_table.messages(spark, sf_dir), source)
     _land(spark, source, raw, checkpoint)
-    silver.run(files.read_raw(spark, raw), processed, as_of=AS_OF)
+    silver.run(files.read_raw(spark, raw), processed, as_of=AS_OF, assume_ingested_later=True)
     gold.run(processed.read(spark), summary, as_of=AS_OF)
     return _plain(summary.read(spark))
 
@@ -468,6 +625,7 @@ ALL: dict[str, Query] = {
         campaign_summary,
         campaign_summary_all_days,
         merge_processed,
+        merge_far_dates,
         merge_processed_plan,
         merge_summary,
         full_refresh_dynamic,
@@ -483,26 +641,32 @@ ALL: dict[str, Query] = {
         conversions_with_timestamp,
         fanout_summary,
         topic_counters,
+        feed_messages,
         relink_events,
         message_encode_decode,
         dead_letters,
         tsv_prepare,
         sample_exact,
+        sample_of_copies,
         row_index,
         numbered_events,
         time_order,
         head_slice,
         tail_slice,
         max_events,
+        max_events_as_given,
         interevent_gap,
         health_freshness,
         health_rows_per_day,
         health_duplicates,
         health_files,
         compacted,
+        compacted_summary,
+        compacted_raw,
         stream_ingest,
         stream_resume,
         stream_upsert,
+        stream_upsert_out_of_order,
         bronze_to_gold,
     )
 }

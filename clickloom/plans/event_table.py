@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom import schemas
@@ -43,15 +43,24 @@ def ad_events(spark: SparkSession, sf_dir: str, since: date | None = None) -> Da
     )
 
 
+def number(events: DataFrame) -> Column:
+    """The event table's own number, from the id."""
+    return F.substring("event_id", 5, 20).cast("bigint")
+
+
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same events as JSON messages of a topic with three partitions."""
-    events = ad_events(spark, sf_dir)
-    number = F.substring("event_id", 5, 20).cast("bigint")
+    return as_messages(ad_events(spark, sf_dir))
+
+
+def as_messages(events: DataFrame, sent: Column | None = None) -> DataFrame:
+    """Combined events as messages, sent at their own time or at ``sent`` seconds."""
+    n = number(events)
     return events.select(
         E.blank_to_null(F.col("uid")).alias("key"),
         F.to_json(F.struct(*schemas.EVENT.names), {"ignoreNullFields": "false"}).alias("value"),
         F.lit(schemas.TOPICS["ad_event"]).alias("topic"),
-        F.pmod(number, F.lit(3)).cast("int").alias("partition"),
-        F.floor(number / 3).cast("bigint").alias("offset"),
-        E.epoch_to_timestamp(F.col("timestamp")).alias("timestamp"),
+        F.pmod(n, F.lit(3)).cast("int").alias("partition"),
+        F.floor(n / 3).cast("bigint").alias("offset"),
+        E.epoch_to_timestamp(F.col("timestamp") if sent is None else sent).alias("timestamp"),
     )

@@ -124,10 +124,16 @@ class PathTable:
         skips the row groups that cannot hold a match.
         """
         key = self.keys[0]
+        kind = self.schema[key].dataType
+        # As text, for the same reason as the partitions.
         low, high, nulls = rows.agg(
-            F.min(key), F.max(key), F.count(F.when(F.col(key).isNull(), True))
+            F.min(key).cast("string"),
+            F.max(key).cast("string"),
+            F.count(F.when(F.col(key).isNull(), True)),
         ).first()
-        in_range = F.lit(False) if low is None else F.col(key).between(low, high)
+        in_range = F.lit(False)
+        if low is not None:
+            in_range = F.col(key).between(F.lit(low).cast(kind), F.lit(high).cast(kind))
         if nulls:
             in_range = in_range | F.col(key).isNull()
         return self.values(rows), in_range

@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from clickloom.checks import oracles
+from clickloom.checks import queries as checks
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -41,8 +43,8 @@ def test_query_matches_sql(spark, duck, name):
     assert _rows(result.columns, [tuple(row) for row in result.collect()]) == _rows(names, rows)
 
 
-def test_every_query_but_the_file_sizes_has_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"health_files"}
+def test_every_query_of_the_event_tables_has_sql():
+    assert set(checks.ALL) == set(oracles.all_sql())
 
 
 def test_entry(spark):

@@ -8,7 +8,6 @@ import __spark_entry__ as contract
 from clickloom.checks import queries as checks
 from clickloom.operators import fanout, merge
 from clickloom.plans import event_table, gold, silver
-from clickloom.sinks import scratch
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -39,7 +38,7 @@ def test_summary_prunes_partitions_and_shuffles_once(spark, table):
 
 
 def test_recent_events_reach_the_raw_scan_as_a_filter(spark):
-    raw = scratch.written(checks._raw(spark, SF_DIR), "raw")
+    raw = checks._stored_raw(checks._raw(spark, SF_DIR))
     text = plan(silver.transform_recent(raw, 7, date(2024, 1, 30)))
     scans = [line for line in text.splitlines() if "FileScan" in line]
     assert len(scans) == 2
@@ -47,6 +46,34 @@ def test_recent_events_reach_the_raw_scan_as_a_filter(spark):
     assert "WindowGroupLimit" in text and "partial_max" in text
 
 
+@pytest.mark.parametrize("job", ["recent", "between"])
+def test_both_raw_scans_are_pruned_by_day_of_arrival(spark, job):
+    raw = checks._with_corrections(spark, SF_DIR)
+    if job == "recent":
+        rows = silver.transform_recent(raw, 7, date(2024, 1, 30), assume_ingested_later=True)
+        pruned = 2
+    else:
+        rows = silver.transform_between(raw, date(2024, 1, 10), date(2024, 1, 20), assume_ingested_later=True)
+        pruned = 3  # and the ids of the range
+    scans = [line for line in plan(rows).splitlines() if "FileScan" in line]
+    filters = [line[line.index("PartitionFilters") :].split("]")[0] for line in scans]
+    assert len(scans) == pruned and all("raw_date" in text and ">=" in text for text in filters)
+    newest = silver.transform(raw).filter(
+        "event_date >= '2024-01-23'" if job == "recent" else "event_date BETWEEN '2024-01-10' AND '2024-01-20'"
+    )
+    drop = lambda df: sorted(map(str, df.drop("updated_at").collect()))
+    assert drop(rows) == drop(newest)
+
+
+def test_a_stream_looks_only_at_partitions_near_its_batch(spark, table):
+    source = checks._recent(spark, SF_DIR).filter("event_date = '2024-01-24'")
+    near = table._near(source, 1)
+    assert near == {"2024-01-23", "2024-01-24", "2024-01-25"}
+    found = plan(merge.matched(table.read(spark).filter(table.among(near)), source, table.keys))
+    filters = found[found.index("PartitionFilters") :].split("]")[0]
+    assert "2024-01-23" in filters or "19745" in filters
+
+
 def test_flagship_pushes_its_window(spark):
     assert "GreaterThanOrEqual(ts," in plan(contract.entry(spark))
 
@@ -60,7 +87,7 @@ def test_dedup_limits_each_key_before_the_shuffle(spark):
 
 def test_upsert_reads_only_touched_partitions(spark, table, no_broadcast):
     source = checks._recent(spark, SF_DIR)
-    target = table.read(spark).filter(table.among({date(2024, 1, 23), date(2024, 1, 24)}))
+    target = table.read(spark).filter(table.among({"2024-01-23", "2024-01-24"}))
     text = plan(merge.merge_upsert(target, source, table.keys))
     assert "LeftAnti" in text and "SortMergeJoin" in text
     assert "CartesianProduct" not in text and "NestedLoop" not in text

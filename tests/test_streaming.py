@@ -2,11 +2,13 @@
 
 import json
 import os
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from clickloom import schemas
+from clickloom.plans import gold
 from clickloom.sinks import tables
 from clickloom.sources import files, streams
 from clickloom.streaming import ingest
@@ -86,8 +88,10 @@ def test_unknown_format(spark, folder):
         files.read_raw(spark, folder, "orc")
 
 
-def test_stream_of_upserts(spark, folder):
-    table = tables.processed_events(folder)
+@pytest.mark.parametrize("versioned", [False, True])
+def test_stream_of_upserts(spark, folder, versioned):
+    of = tables.versioned_events if versioned else tables.processed_events
+    table = of(folder)
 
     def run(checkpoint="checkpoint"):
         stream = streams.file_messages(spark, f"{folder}/topic")
@@ -105,9 +109,32 @@ def test_stream_of_upserts(spark, folder):
     )
     assert run() == [("a", 2.0, None)]
     deliver(folder, "two", message(4, event("a", conversion=1, conversion_timestamp=1_704_067_260)), message(5, event("b")))
-    merged = [("a", 1.0, 60), ("b", 1.0, None)]
-    assert run() == merged
-    assert run("replayed") in (merged, [("a", 2.0, None), ("b", 1.0, None)])
+    # The later batch holds an older message of a: with versions it does not win.
+    newest, latest = [("a", 2.0, None), ("b", 1.0, None)], [("a", 1.0, 60), ("b", 1.0, None)]
+    assert run() == (newest if versioned else latest)
+    # Replayed in one batch the newest message wins either way.
+    assert run("replayed") == newest
+
+
+def test_far_dates_do_not_stop_stream_or_summary(spark, folder):
+    table = tables.processed_events(folder)
+    deliver(folder, "one", message(0, event("a")), message(1, event("far", timestamp=1_706_572_800_000)))
+    for checkpoint in ("one", "two"):
+        stream = streams.file_messages(spark, f"{folder}/topic")
+        ingest.run_for(ingest.upsert_stream(stream, table, f"{folder}/{checkpoint}", available_now=True))
+    rows = table.read(spark).select("event_id", F.col("event_date").cast("string").alias("day"))
+    assert sorted(map(tuple, rows.collect())) == [("a", "2024-01-01"), ("far", "+56049-02-20")]
+    summary = tables.campaign_summary(folder)
+    for _ in range(2):
+        gold.run(table.read(spark), summary, as_of=date(2024, 1, 2), retract=True)
+    days = summary.read(spark).select(F.col("summary_date").cast("string").alias("day"), "impressions")
+    assert sorted(map(tuple, days.collect())) == [("+56049-02-20", 1), ("2024-01-01", 1)]
+    # and a date that moves away leaves its folder empty, whatever it is called
+    deliver(folder, "two", message(2, event("far"), "2024-01-03T00:00:00Z"))
+    stream = streams.file_messages(spark, f"{folder}/topic")
+    ingest.run_for(ingest.upsert_stream(stream, table, f"{folder}/one", available_now=True))
+    assert table.read(spark).count() == 2
+    assert not any("+56049" in name for name in os.listdir(table.path))
 
 
 def test_rate_source_smoke(spark, folder):
