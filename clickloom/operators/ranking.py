@@ -179,6 +179,13 @@ def _cut(group: DataFrame, order: Sequence[str], n: int, rows: int) -> _Cut:
                 keys = parts.filter(F.col("_part") == part)
                 break
             n -= size
+        # A part is one shuffle task's load; runs of SMALL places in it narrow it down further.
+        run = F.floor(F.col("_pos") / SMALL)
+        for at, size in keys.groupBy(run.alias("run")).agg(F.sum("_copies")).orderBy("run").collect():
+            if n <= size:
+                keys = keys.filter(run == at)
+                break
+            n -= size
     running = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     found = (
         keys.withColumn("_upto", F.sum("_copies").over(running))

@@ -6,6 +6,7 @@ import pytest
 
 from clickloom import __main__ as cli
 from clickloom import session
+from clickloom.operators import health
 from clickloom.sinks import scratch, tables
 
 
@@ -53,6 +54,39 @@ def test_from_log_to_summary(spark, folder, capsys):
     assert tables.processed_events(f"{folder}/tables").read(spark).count() == 200
 
 
+def test_health_shows_everything(spark, folder, capsys):
+    table = tables.processed_events(folder)
+    rows = spark.range(1000).selectExpr(
+        "concat('e', if(id < 150, id % 50, id)) AS event_id", "date_add(date'2024-01-01', cast(id % 100 AS int)) AS event_date",
+        "'u' AS uid", "1 AS campaign", "0 AS click", "0 AS conversion", "cast(NULL AS bigint) AS conversion_delay_sec",
+        "0d AS cost", "timestamp'2024-05-01' AS updated_at",
+    )
+    table.ensure(spark)
+    table.append(rows)
+    cli.main(["health", "--base-path", folder])
+    out = capsys.readouterr().out
+    assert "rows_per_day: 100" in out and "duplicate_keys: 50" in out and "files: 100" in out
+    assert out.count("copies=3") == 50 and out.count("files=") == 100
+    assert "event_date=2024-04-09, rows=10" in out
+    cli.main(["health", "--base-path", folder, "--output", f"{folder}/report"])
+    assert spark.read.parquet(f"{folder}/report/duplicate_keys").count() == 50
+    assert spark.read.parquet(f"{folder}/report/files").count() == 100
+
+
+def test_compact_jobs(spark, folder):
+    table = tables.campaign_summary(folder)
+    rows = spark.range(300).selectExpr(
+        "date_add(date'2024-01-01', cast(id % 3 AS int)) AS summary_date", "cast(id AS int) AS campaign", "1L AS impressions",
+        "0L AS clicks", "0L AS conversions", "0d AS total_cost", "0d AS ctr", "0d AS cvr", "0d AS cpa", "timestamp'2024-05-01' AS updated_at",
+    )
+    table.ensure(spark)
+    for part in range(4):
+        table.append(rows.filter(f"campaign % 4 = {part}"))
+    cli.main(["compact", "--base-path", folder, "--table", "campaign_summary", "--summary"])
+    assert {r.files for r in health.file_layout(spark, table.path, "summary_date").collect()} == {1}
+    assert table.read(spark).count() == 300
+
+
 def test_smoke_job(spark, folder):
     cli.main(["smoke", "--output-path", f"{folder}/out", "--checkpoint-path", f"{folder}/c", "--duration-sec", "5", "--rows-per-second", "20"])
     assert spark.read.parquet(f"{folder}/out").columns == ["timestamp", "value", "ingest_ts"]

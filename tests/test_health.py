@@ -64,6 +64,26 @@ def test_compaction_keeps_rows_and_hits_the_target(spark, folder):
     assert compact.run(spark, table) == 0
 
 
+def test_files_of_a_partition_take_disjoint_key_ranges(spark, folder):
+    table = tables.PathTable(f"{folder}/t", StructType.fromDDL(SCHEMA), "event_date", ("event_id",))
+    rows = spark.range(4000).selectExpr(
+        "concat('e', lpad(id, 6, '0')) AS event_id", "date_add(date'2024-01-01', cast(id % 2 AS int)) AS event_date", "sha2(cast(id AS string), 256) AS note"
+    )
+    rows.repartition(9).write.partitionBy("event_date").parquet(table.path)
+    size = layout(spark, table)[date(2024, 1, 1)].bytes
+    compact.run(spark, table, target_bytes=size // 3)
+    ranges = (
+        spark.read.parquet(table.path)
+        .groupBy("event_date", F.input_file_name().alias("file"))
+        .agg(F.min("event_id").alias("low"), F.max("event_id").alias("high"))
+        .orderBy("event_date", "low")
+        .collect()
+    )
+    assert len(ranges) >= 6
+    for one, other in zip(ranges, ranges[1:], strict=False):
+        assert one.event_date != other.event_date or one.high < other.low
+
+
 def test_freshness(spark):
     rows = spark.createDataFrame(
         [(datetime(2024, 1, 30, 12), date(2024, 1, 29)), (datetime(2024, 1, 29), date(2024, 1, 30))],

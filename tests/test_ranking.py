@@ -114,6 +114,13 @@ def test_cut_refuses_nulls(spark):
         ranking.split_at(frame(spark, [(None, "a"), (1, "b")]), ["timestamp", "tie"], 1)
 
 
+@pytest.mark.parametrize("n", [100, 101])
+def test_first_n_refuses_nulls_at_any_size(spark, n):
+    rows = frame(spark, [(None, "a")] + [(i, "b") for i in range(200)])
+    with pytest.raises(ValueError, match="NULL"):
+        ranking.first_n(rows, ["timestamp", "tie"], n).collect()
+
+
 def test_cut_orders_null_ties_first(spark, tight):
     rows = [(1, None), (1, "a"), (1, "b"), (2, None)]
     first, rest = ranking.split_at(frame(spark, rows), ["timestamp", "tie"], 1)
