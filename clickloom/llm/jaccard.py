@@ -449,6 +449,8 @@ def classes(
     )
     named = scratch.written(named, "named")
     smallest = named.groupBy("component").agg(F.min(F.struct("copy_id")).alias("class"))
+    # Written for the same reason as the kept leaves: a hot class can be split.
+    smallest = scratch.written(smallest, "classes")
     return (
         drawn.select("doc_id", "text_key", "digest")
         .join(named.join(smallest, "component"), "digest")
