@@ -1,6 +1,10 @@
 """Every registered query against its SQL, on the whole tables."""
 
 import math
+import os
+import shutil
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -47,5 +51,14 @@ def test_every_query_of_the_event_tables_has_sql():
     assert set(checks.ALL) == set(oracles.all_sql())
 
 
+def test_entry_without_the_corpus_package(folder):
+    root = Path(contract.__file__).parent
+    without = shutil.ignore_patterns("llm", "corpus_pipeline.py", ".git", "__pycache__", "tests")
+    shutil.copytree(root, f"{folder}/repo", ignore=without)
+    check = "import __spark_entry__ as e; print(sorted(e.queries()) == sorted(e.oracle_sql()), len(e.queries()))"
+    found = subprocess.run([sys.executable, "-c", check], cwd=f"{folder}/repo", capture_output=True, text=True, env={"PATH": os.environ["PATH"]})
+    assert found.stdout.split() == ["True", str(len(checks.ALL))], found.stderr
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
