@@ -32,7 +32,8 @@ def _sha(text: str) -> str:
 
 
 def op1_html_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_diff.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    found = html_diff.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", "n_chars")
 
 
 def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

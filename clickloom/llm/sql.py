@@ -28,6 +28,27 @@ FROM urls
 """
 )
 
+# The articles by their markup; differencing itself is beyond SQL, what it must give is not.
+OP1 = r"""
+WITH parts AS (
+    SELECT page_id, url, regexp_split_to_array(
+        coalesce(regexp_extract(html, '(?s)<article>(.*)</article>', 1), ''),
+        '</?(?:p|h1|br)\b[^>]*>') AS blocks
+    FROM pages),
+plain AS (
+    SELECT page_id, i, regexp_replace(blocks[i], '<[^>]*>', '', 'g') AS block
+    FROM parts, LATERAL (SELECT unnest(generate_series(1, len(blocks))) AS i)),
+decoded AS (
+    SELECT page_id, i, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+        block, '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g'),
+        '\s+', ' ', 'g')) AS line
+    FROM plain),
+joined AS (
+    SELECT page_id, string_agg(line, ' ' ORDER BY i) FILTER (line <> '') AS text FROM decoded GROUP BY page_id)
+SELECT page_id, url, coalesce(text, '') AS text, length(coalesce(text, '')) AS n_chars
+FROM pages LEFT JOIN joined USING (page_id)
+"""
+
 OP9 = r"""
 WITH given AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -51,4 +72,33 @@ SELECT conv_id, count(*) AS n_turns,
 FROM running GROUP BY conv_id
 """
 
-ALL = {"op2_url_rules": OP2, "op9_chat": OP9}
+# Links by comparing all sets that share an n-gram; classes by following links.
+OP10 = r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '\S+') AS words FROM documents),
+grams AS (
+    SELECT DISTINCT doc_id, array_to_string(words[i : i + 4], ' ') AS gram
+    FROM split, LATERAL (SELECT unnest(generate_series(1, greatest(1, len(words) - 4))) AS i)
+    WHERE len(words) > 0),
+sizes AS (SELECT doc_id, count(*) AS size FROM grams GROUP BY doc_id),
+common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+    SELECT a, b, n = x.size AND n = y.size AS same
+    FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 9 * n >= 4 * (x.size + y.size)
+    UNION ALL
+    SELECT a.doc_id, b.doc_id, TRUE FROM split a JOIN split b ON a.doc_id <> b.doc_id
+    WHERE len(a.words) = 0 AND len(b.words) = 0),
+reached AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION
+    SELECT reached.doc_id, links.b FROM reached JOIN links ON links.a = reached.other),
+classes AS (SELECT doc_id, min(other) AS class_id FROM reached GROUP BY doc_id)
+SELECT doc_id, class_id, least(doc_id, min(b) FILTER (same)) AS copy_id,
+       1 + count(b) FILTER (same) AS n_copies, count(b) AS n_links
+FROM classes LEFT JOIN links ON links.a = doc_id GROUP BY doc_id, class_id
+"""
+
+ALL = {"op1_html_diff": OP1, "op2_url_rules": OP2, "op9_chat": OP9, "op10_jaccard": OP10}
