@@ -132,7 +132,7 @@ def read_tsv(spark: SparkSession, path: str, partitions: int | None = None) -> D
     # plain lines, of which Spark leaves out the first of every file.
     reader = (
         spark.read.option("header", True)
-        .option("sep", "\u0001")
+        .option("sep", "\u0001\u0002\u0001")
         .option("quote", "\u0000")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)

@@ -275,6 +275,13 @@ def test_tsv_files_with_different_headers(spark, folder):
     ]
 
 
+def test_tsv_lines_are_taken_as_they_are(spark, folder):
+    lines = ['a\tb', '"q" x\t\\"', "'\t\\\\n", '"open\t\u0001', " lead\t trail ", '"\t"', "#c\t,"]
+    rows = files.read_tsv(spark, write(f"{folder}/a.tsv", lines)).collect()
+    assert sorted((r.a, r.b) for r in rows) == sorted(tuple(line.split("\t")) for line in lines[1:])
+    assert sorted(r["_line"] for r in rows) == sorted(lines[1:])
+
+
 def test_ids_and_limit_follow_the_files(spark, folder):
     os.makedirs(f"{folder}/in")
     for name, size in (("a", 300), ("b", 5), ("c", 900)):
