@@ -29,15 +29,16 @@ _PROCESSED = (
            round(cost, 4) AS cost
     FROM ad
   ),
-  first_load AS (
+  first_state AS (
     SELECT event_id, strftime(make_timestamp(timestamp * 1000000), '%Y-%m-%d') AS event_date, uid,
            campaign, click,
            CASE WHEN conversion_timestamp < epoch(DATE '2024-01-25') THEN conversion ELSE 0 END AS conversion,
            CASE WHEN conversion_timestamp < epoch(DATE '2024-01-25')
                 THEN conversion_timestamp - timestamp END AS conversion_delay_sec,
            round(cost, 4) AS cost
-    FROM ad WHERE timestamp < epoch(DATE '2024-01-25')
+    FROM ad
   ),
+  first_load AS (SELECT * FROM first_state WHERE event_date < '2024-01-25'),
   recent AS (
     SELECT * FROM processed
     WHERE CAST(event_date AS DATE) >= DATE '2024-01-30' - INTERVAL 7 DAY
@@ -242,7 +243,7 @@ def all_sql() -> dict[str, str]:
             _PROCESSED
             + ", range_rows AS (SELECT * FROM processed "
             + "WHERE event_date BETWEEN '2024-01-10' AND '2024-01-20')",
-            _merged("first_load", "range_rows"),
+            _merged("first_state", "range_rows"),
         ),
         "dataset_stats": _with(_AD_EVENTS, _STATS),
         "scan_stats": _with(

@@ -89,11 +89,16 @@ def _with_landing(raw: DataFrame) -> DataFrame:
     return raw.withColumn("landed_right", right).drop("ingest_ts", "raw_date", "raw_hour")
 
 
-def _first_known(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Processed rows as of FIRST_LOAD: earlier events, without conversions still to come."""
+def _first_known(spark: SparkSession, sf_dir: str, all_days: bool = False) -> DataFrame:
+    """Processed rows as of FIRST_LOAD: earlier events, without conversions still to come.
+
+    With ``all_days`` later events are there too, likewise without conversions from then on.
+    """
     known = F.unix_timestamp(F.lit(FIRST_LOAD).cast("timestamp"))
     happened = F.col("conversion_timestamp") < known
-    events = event_table.ad_events(spark, sf_dir).filter(F.col("timestamp") < known)
+    events = event_table.ad_events(spark, sf_dir)
+    if not all_days:
+        events = events.filter(F.col("timestamp") < known)
     return _project(
         events.withColumns(
             {
@@ -104,10 +109,10 @@ def _first_known(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _loaded_table(spark: SparkSession, sf_dir: str) -> tables.PathTable:
+def _loaded_table(spark: SparkSession, sf_dir: str, all_days: bool = False) -> tables.PathTable:
     table = tables.processed_events(scratch.new_path(spark, "warehouse"))
     table.ensure(spark)
-    table.overwrite_partitions(_first_known(spark, sf_dir))
+    table.overwrite_partitions(_first_known(spark, sf_dir, all_days))
     return table
 
 
@@ -237,8 +242,10 @@ def append_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def backfill_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = _loaded_table(spark, sf_dir)
-    silver.backfill(_stored_raw(_raw(spark, sf_dir)), table, *BACKFILL, run_at=RUN_AT)
+    """Late conversions of eleven days, merged into a table of all days."""
+    table = _loaded_table(spark, sf_dir, all_days=True)
+    raw = _stored_raw(_raw(spark, sf_dir))
+    silver.backfill(raw, table, *BACKFILL, run_at=RUN_AT, assume_ingested_later=True)
     return _plain(table.read(spark))
 
 
