@@ -43,7 +43,7 @@ SAMPLED = 2
 #: Share of a bucket that one token may keep together before splitting counts as useless.
 DENSE = 0.5
 #: Members in memory on either side of a search.
-BLOCK = 256
+BLOCK = 512
 #: Equal coordinates from which a pair is looked at: one of the threshold falls below once in a hundred thousand.
 PLAUSIBLE_SIGMAS = 4.2
 
