@@ -15,8 +15,19 @@ from pyspark.sql.types import StructType
 ROWS = 512
 
 
+#: Bytes Spark hands to a Python worker at a time, unless the session says otherwise: long texts make
+#: batches of few rows, and neither side of the pipe holds many at once.
+BYTES = 8 << 20
+_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def importable(spark: SparkSession) -> None:
-    """Let Python workers find this package where the driver did. Clusters without that folder get it by ``--py-files``."""
+    """Let Python workers find this package where the driver did, and keep their batches small.
+
+    Clusters without that folder get the package by ``--py-files``.
+    """
+    if spark.conf.get(_LIMIT, None) is None:
+        spark.conf.set(_LIMIT, BYTES)
     environment = spark.sparkContext.environment
     top = str(Path(__file__).resolve().parents[2])
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)

@@ -11,6 +11,7 @@ in one task, and each number looks up its place in the plan.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections import Counter
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from clickloom.llm.arrow import importable, map_rows
-from clickloom.llm.bpe import PIECES, BytePairEncoder
+from clickloom.llm.bpe import PIECES, byte_symbols
 from clickloom.sinks import scratch
 
 CAPACITY = 2048
@@ -40,15 +41,23 @@ def _native_encoders(path: str):
     """
     import tiktoken
 
-    stored = BytePairEncoder(path)
-    ranks = {s: n for n, s in enumerate(stored.strings) if s and n not in stored.special.values()}
+    with open(path, encoding="utf-8") as file:
+        content = json.load(file)
+    of_symbol = {symbol: byte for byte, symbol in enumerate(byte_symbols())}
+    special = {added["content"]: added["id"] for added in content.get("added_tokens", [])}
+    ranks = {
+        bytes(of_symbol[symbol] for symbol in token): number
+        for token, number in content["model"]["vocab"].items()
+        if number not in special.values()
+    }
+    del content
     simple = PIECES.replace(r"|\s+(?!\S)", "")
     return [
         tiktoken.Encoding(
-            f"{path}#{n}", pat_str=pattern, mergeable_ranks=ranks, special_tokens=stored.special
+            f"{path}#{n}", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special
         )
         for n, pattern in enumerate((PIECES, simple))
-    ], list(stored.special)
+    ], list(special)
 
 
 _RUN = re.compile(r"\s\s")
