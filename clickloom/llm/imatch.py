@@ -2,9 +2,10 @@
 
 The lexicon is all terms within a band of inverse document frequency, counted over all documents. PARTS randomised lexicons share
 it out, and a document's sub-fingerprint in each is the hash of its sorted distinct terms there. The lexicons are
-nested in levels, each half as dense as the one before: a document uses the level at which it keeps TERMS terms or
-fewer, and the next, so that an edit leaves some parts untouched in long documents too, and the work for a document is
-bounded whatever its length. Two fingerprints are as alike as the share of sub-fingerprints they have in common.
+nested in levels, each half as dense as the one before: a document uses the level at which it keeps TERMS of its terms in
+the band or fewer, and the next, so that an edit leaves some parts untouched in long documents too. All distinct terms
+of a document are looked up in the lexicon before its level is chosen. Two fingerprints are as alike as the share of
+sub-fingerprints they have in common.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.arrow import importable, map_groups, map_rows
+from clickloom.llm.arrow import importable, map_rows
 from clickloom.sinks import scratch
 
 #: The band: terms of at least two documents, and of at most a tenth of all.
@@ -26,6 +27,11 @@ MOST_SHARE = 0.1
 #: Randomised lexicons at a level, and expected terms of a document in all of them together, at most.
 PARTS = 16
 TERMS = 16
+#: A document uses a denser level where chance leaves it fewer terms than this, and has more.
+LEAST_TERMS = TERMS // 4
+
+#: Terms in the band that tasks hold themselves, 8 bytes each. A larger lexicon is joined with all terms of all documents.
+HELD = 8_000_000
 
 #: Terms a task holds before it counts and hands them on.
 COUNTED = 4_000_000
@@ -52,6 +58,21 @@ def sampled(found: np.ndarray) -> tuple[int, list[int]]:
     return level, kept.astype(np.int64).tolist()
 
 
+def banded(found: np.ndarray) -> tuple[int, list[int]]:
+    """The level of a document by its terms in the band, and those of them in a lexicon of that level; none only if none are given."""
+    level, kept = sampled(found)
+    while level and len(kept) < LEAST_TERMS:
+        level -= 1
+        kept = found if level == 0 else found[found >> np.uint64(64 - level) == 0]
+        kept = kept.astype(np.int64).tolist()
+    return level, kept
+
+
+def written(found: np.ndarray, text_hash: int) -> str:
+    """The fingerprint of a document by all its terms in the band."""
+    return fingerprint(*banded(found), text_hash)
+
+
 def fingerprint(level: int, kept: list[int], text_hash: int) -> str:
     """The sub-fingerprints at ``level`` and the next. Without terms in the band it is the hash of the whole text."""
     if not kept:
@@ -126,8 +147,8 @@ def frequencies(docs: DataFrame) -> DataFrame:
 class Lexicon:
     """Terms in the band, and those too frequent for it.
 
-    The latter are few: with MOST_SHARE of a tenth at most ten times the mean number of terms in a document. So they may be
-    broadcast, and no frequent term is ever shuffled with the documents.
+    The latter are few: with MOST_SHARE of a tenth at most ten times the mean number of terms in a document. So tasks may hold
+    them, and no frequent term is ever shuffled with the documents. Tasks also hold a band of at most HELD terms.
     """
 
     def __init__(self, docs: DataFrame, documents: int) -> None:
@@ -136,36 +157,58 @@ class Lexicon:
             frequencies(docs).filter(F.col("n") >= LEAST_DOCUMENTS), "frequencies"
         )
         self.band = counted.filter(F.col("n") <= most).select("term")
-        self.frequent = counted.filter(F.col("n") > most).select("term")
+        #: Whether tasks know the band, so that ``known`` gives nothing else.
+        self.held = self.band.count() <= HELD
+        told = self.band if self.held else counted.filter(F.col("n") > most).select("term")
+        column = told.toArrow().column("term").to_numpy()
+        self.told = docs.sparkSession.sparkContext.broadcast(np.sort(column.astype(np.uint64)))
+
+    def reader(self) -> Callable[[np.ndarray], np.ndarray]:
+        """For tasks: of a document's terms, those in the band; if tasks do not hold it, all but the frequent ones."""
+        told, held = self.told, self.held
+
+        def known(found: np.ndarray) -> np.ndarray:
+            listed = told.value
+            if not len(listed):
+                return found[:0] if held else found
+            at = np.minimum(np.searchsorted(listed, found), len(listed) - 1)
+            return found[(listed[at] == found) == held]
+
+        return known
 
     def resolve(
         self,
         samples: DataFrame,
-        function: Callable[[list[dict]], list[dict]],
+        function: Callable[[dict, list[np.ndarray]], dict],
         schema: str,
     ) -> DataFrame:
-        """``function`` over the rows of each range of ``samples``, their terms reduced to the band.
+        """``function(row, terms)`` over the rows of ``samples``, with all terms in the band of its two texts.
 
-        ``samples`` is a written table with range, pos (a row's number in its range), and terms: an array of (term, mark). A
-        range is handled in one task, so ranges must be of bounded size.
+        ``samples`` is a written table with range and pos, which name a row, and terms: an array of (term, mark) as read by
+        ``reader``, where the bits of mark tell the texts that hold the term.
         """
-        pairs = samples.select("range", "pos", F.explode("terms").alias("t"))
-        known = (
-            pairs.select("range", "pos", F.col("t.term").alias("term"), F.col("t.mark").alias("mark"))
-            .join(F.broadcast(self.frequent), "term", "left_anti")
-            .join(self.band, "term")
-        )
-        rows = samples.drop("terms").unionByName(known, allowMissingColumns=True)
 
-        def ranges(group: list[dict]) -> list[dict]:
-            by_place: dict[int, list[tuple[int, int]]] = {}
-            for row in group:
-                if row["term"] is not None:
-                    by_place.setdefault(row["pos"], []).append((row["term"], row["mark"]))
-            bare = sorted((row for row in group if row["term"] is None), key=lambda row: row["pos"])
-            return function([row | {"terms": by_place.get(row["pos"], [])} for row in bare])
-
-        return map_groups(rows, ["range"], ranges, schema)
+        def rows(slice_: list[dict]) -> list[dict]:
+            made = []
+            for row in slice_:
+                pairs = row.pop("terms") or ()
+                texts = [
+                    np.array([t["term"] for t in pairs if t["mark"] & bit], np.int64).astype(np.uint64)
+                    for bit in (1, 2)
+                ]
+                made.append(function(row, texts))
+            return made
+
+        if not self.held:
+            pairs = samples.select("range", "pos", F.explode("terms").alias("t"))
+            known = (
+                pairs.select("range", "pos", F.col("t.term").alias("term"), F.col("t.mark").alias("mark"))
+                .join(self.band, "term")
+                .groupBy("range", "pos")
+                .agg(F.collect_list(F.struct("term", "mark")).alias("terms"))
+            )
+            samples = samples.drop("terms").join(known, ["range", "pos"], "left")
+        return map_rows(samples, rows, schema)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -175,20 +218,19 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     fingerprints, repeated rows included. Other columns are not read.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
+    lexicon = Lexicon(docs, docs.count())
+    known, held = lexicon.reader(), lexicon.held
 
     def rows(slice_: list[dict]) -> list[dict]:
         made = []
         for row in slice_:
-            level, kept = sampled(terms(row["text"]))
-            made.append(
-                {
-                    "pos": row["pos"],
-                    "doc_id": row["doc_id"],
-                    "level": level,
-                    "text_hash": text_hash(row["text"]),
-                    "terms": [{"term": term, "mark": 1} for term in kept],
-                }
-            )
+            found, hashed = known(terms(row["text"])), text_hash(row["text"])
+            out = {"range": 0, "pos": row["pos"], "doc_id": row["doc_id"], "text_hash": hashed}
+            if held:
+                out["fingerprint"] = written(found, hashed)
+            else:
+                out["terms"] = [{"term": term, "mark": 1} for term in found.astype(np.int64).tolist()]
+            made.append(out)
         return made
 
     source = docs.select(
@@ -199,20 +241,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     samples = map_rows(
         source,
         rows,
-        f"pos bigint, doc_id {kind}, level int, text_hash bigint, terms array<struct<term:bigint,mark:tinyint>>",
+        f"range int, pos bigint, doc_id {kind}, text_hash bigint, fingerprint string, "
+        "terms array<struct<term:bigint,mark:tinyint>>",
     )
-    samples = scratch.written(samples, "samples")
-    documents = samples.count()
-    shares = max(1, documents // 2_000)
-    samples = samples.withColumn("range", F.pmod("pos", F.lit(shares)))
-    return Lexicon(docs, documents).resolve(
-        samples,
-        lambda group: [
-            {
-                "doc_id": row["doc_id"],
-                "fingerprint": fingerprint(row["level"], [t for t, _ in row["terms"]], row["text_hash"]),
-            }
-            for row in group
-        ],
+    if held:
+        return samples.select("doc_id", "fingerprint")
+    return lexicon.resolve(
+        scratch.written(samples, "samples"),
+        lambda row, texts: {"doc_id": row["doc_id"], "fingerprint": written(texts[0], row["text_hash"])},
         f"doc_id {kind}, fingerprint string",
     )

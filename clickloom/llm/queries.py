@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import bpe, chat, graph_ann, html_diff, imatch, jaccard, neighbours, packing, pii, quality, sql, url_rules
+from clickloom.llm.arrow import map_groups
 from clickloom.sinks import scratch
 
 #: Part of the queries' contract, as are the rules below.
@@ -70,58 +71,66 @@ def edited(text: str, following: str) -> str:
 
 def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = imatch.Lexicon(docs, docs.count())
+    known, held = lexicon.reader(), lexicon.held
 
     def sample(row: dict, following: str | None) -> dict:
         text = row["text"]
-        level, kept = imatch.sampled(imatch.terms(text))
-        marks = dict.fromkeys(kept, 1)
         out = {k: row[k] for k in ("range", "pos", "guest", "doc_id")} | {
             "n_chars": len(text),
-            "level": level,
             "text_hash": imatch.text_hash(text),
         }
+        own, other = known(imatch.terms(text)), None
         if following is not None:
             changed = edited(text, following)
-            out["edited_level"], kept = imatch.sampled(imatch.terms(changed))
             out["edited_hash"] = imatch.text_hash(changed)
             out["edited_sha256"] = hashlib.sha256(changed.encode()).digest()
-            for term in kept:
-                marks[term] = marks.get(term, 0) | 2
-        out["terms"] = [{"term": term, "mark": mark} for term, mark in marks.items()]
-        return out
-
-    samples, rows = neighbours.with_next(
-        docs,
-        sample,
-        "range int, pos bigint, guest boolean, doc_id bigint, n_chars bigint, level int, text_hash bigint, "
-        "edited_level int, edited_hash bigint, edited_sha256 binary, "
-        "terms array<struct<term:bigint,mark:tinyint>>",
+            other = known(imatch.terms(changed))
+        if held:
+            return fingerprinted(out, [own, other])
+        marks = dict.fromkeys(own.astype("int64").tolist(), 1)
+        for term in [] if other is None else other.astype("int64").tolist():
+            marks[term] = marks.get(term, 0) | 2
+        return out | {"terms": [{"term": term, "mark": mark} for term, mark in marks.items()]}
+
+    def fingerprinted(row: dict, texts: list) -> dict:
+        row["fingerprint"] = imatch.written(texts[0], row["text_hash"])
+        if not row["guest"]:
+            row["edited_fingerprint"] = imatch.written(texts[1], row["edited_hash"])
+        return row
+
+    plain = (
+        "range int, pos bigint, guest boolean, doc_id bigint, n_chars bigint, edited_sha256 binary, "
+        "fingerprint string, edited_fingerprint string"
     )
-    samples = scratch.written(samples, "samples")
+    columns = plain if held else (
+        "range int, pos bigint, guest boolean, doc_id bigint, n_chars bigint, text_hash bigint, edited_hash bigint, "
+        "edited_sha256 binary, terms array<struct<term:bigint,mark:tinyint>>"
+    )
+    samples, _ = neighbours.with_next(docs, sample, columns)
+    if not held:
+        samples = lexicon.resolve(scratch.written(samples, "samples"), fingerprinted, plain)
 
     def finish(group: list[dict]) -> list[dict]:
-        for row in group:
-            own = [term for term, mark in row["terms"] if mark & 1]
-            row["fingerprint"] = imatch.fingerprint(row["level"], own, row["text_hash"])
+        group.sort(key=lambda row: row["pos"])
         made = []
         for row, following in zip(group, group[1:], strict=False):
-            other = [term for term, mark in row["terms"] if mark & 2]
-            changed = imatch.fingerprint(row["edited_level"], other, row["edited_hash"])
             made.append(
                 {
                     "doc_id": row["doc_id"],
                     "n_chars": row["n_chars"],
                     "edited_sha256": row["edited_sha256"].hex(),
                     "fingerprint": row["fingerprint"],
-                    "edited_fingerprint": changed,
-                    "near_edited": imatch.likeness(row["fingerprint"], changed),
+                    "edited_fingerprint": row["edited_fingerprint"],
+                    "near_edited": imatch.likeness(row["fingerprint"], row["edited_fingerprint"]),
                     "near_next": imatch.likeness(row["fingerprint"], following["fingerprint"]),
                 }
             )
         return made
 
-    return imatch.Lexicon(docs, rows).resolve(
+    return map_groups(
         samples,
+        ["range"],
         finish,
         "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "
         "edited_fingerprint string, near_edited double, near_next double",
