@@ -112,10 +112,11 @@ def _newton(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 40)
 
 
 def labelled(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> DataFrame:
-    """text, quality and toxic (0 or 1) of about ``most`` labelled documents at most.
+    """text, quality and toxic (0 or 1) of about ``most`` labelled documents at most, one row for each.
 
-    Labels with a null are left out; of several for a document the majority holds. The label side has a known bound, so
-    it may be broadcast and no text is shuffled.
+    Labels with a null are left out; of several for a document the majority holds. Of several rows with one doc_id the text with
+    the smallest hash stands for all. The label side has a known bound, so it may be broadcast; tasks reduce their rows to one
+    text for each chosen document, and only these are shuffled.
     """
     each = (
         labels.dropna(subset=["doc_id", *HEADS])
@@ -125,7 +126,10 @@ def labelled(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> DataFr
     share = min(1.0, most / max(1, each.count()))
     chosen = each.filter(F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1_000_000)) < share * 1_000_000)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id").select("text", *HEADS)
+    rows = texts.join(F.broadcast(chosen), "doc_id")
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))
+    single = rows.groupBy("doc_id", *HEADS).agg(least.alias("least"))
+    return single.select(F.col("least.text").alias("text"), *HEADS)
 
 
 def telling_terms(rows: DataFrame) -> dict[str, tuple[float, float]]:

@@ -55,3 +55,15 @@ def test_odd_rows(spark):
 def test_shape_of_any_text(text):
     words, distinct = quality.terms_of(text)
     assert all(abs(x) < 50 for x in quality.shape(text, words, len(distinct)))
+
+
+def test_a_repeated_document_is_one_row_of_the_sample(spark):
+    rows = [(n, f"text {n}") for n in range(50)] + [(7, f"again {n % 20}") for n in range(500)] + [(8, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(n, n % 2, 0) for n in range(60)], "doc_id long, quality int, toxic int")
+    found = [tuple(r) for r in quality.labelled(docs, labels).collect()]
+    assert len(found) == 50
+    kept = spark.createDataFrame([r for r in rows if r[0] == 7], "doc_id long, text string")
+    least = kept.orderBy(F.xxhash64("text")).first()["text"]
+    assert (least, 1, 0) in found
+    assert sorted(found) == sorted(tuple(r) for r in quality.labelled(docs.repartition(3), labels).collect())
