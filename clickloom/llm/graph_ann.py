@@ -251,7 +251,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, beam: int = SEA
             graph = Graph(lengthened(points), neighbours, row["start"])
             wanted = np.array([q["v"] for q in row["queries"]])
             flat = np.hstack([wanted, np.zeros((len(wanted), 1))]).astype(np.float32)
-            found, _ = graph.search(flat, min(beam, max(k + 1, row["n"])))
+            found, _ = graph.search(flat, min(row["n"], max(beam, k + 1)))
             for q, vector, nodes in zip(row["queries"], wanted, found, strict=True):
                 nodes = nodes[nodes >= 0]
                 scores = (points[nodes] * vector).sum(1)

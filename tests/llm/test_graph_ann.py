@@ -65,3 +65,11 @@ def test_pruning_keeps_diverse_neighbours():
     points = np.array([[0, 0], [1, 0], [1.1, 0], [0, 1.5], [-2, 0]], np.float32)
     kept = graph_ann.prune(points, np.array([0]), np.array([[0, 1, 2, 3, 4, -1]]), 4)[0]
     assert kept.tolist() == [1, 3, 4, -1]
+
+
+def test_more_neighbours_than_the_beam(spark):
+    points = np.random.default_rng(8).normal(size=(400, 8))
+    vectors = spark.createDataFrame([(n, v.tolist()) for n, v in enumerate(points)], "vec_id long, embedding array<double>")
+    rows = graph_ann.nearest(vectors, vectors.filter("vec_id < 5"), k=200).collect()
+    assert len(rows) == 5 * 200
+    assert _recall(rows, dict(enumerate(points)), range(5), 200) > 0.95
