@@ -32,9 +32,9 @@ def run(spark: SparkSession, table, target_bytes: int = schemas.TARGET_FILE_BYTE
         raise ValueError(f"{table.path} is a stream's folder, whose log names its files: use raw_copy")
     layout = health.file_layout(spark, table.path, table.partition)
     rewrite = scratch.written(candidates(layout, target_bytes), "layout")
-    chosen = table.values(rewrite)
+    chosen = rewrite.count()
     if chosen:
-        rows = table.read(spark).filter(table.among(chosen))
+        rows = table.within(table.read(spark), rewrite)
         packed = _packed(rows, rewrite, (table.partition,), table.keys)
         (
             packed.write.mode("overwrite")
@@ -42,7 +42,7 @@ def run(spark: SparkSession, table, target_bytes: int = schemas.TARGET_FILE_BYTE
             .partitionBy(table.partition)
             .parquet(table.path)
         )
-    return len(chosen)
+    return chosen
 
 
 def raw_copy(

@@ -11,6 +11,7 @@ gives the wanted table.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -22,8 +23,9 @@ from clickloom import schemas
 from clickloom.operators import merge
 from clickloom.sinks import files, scratch
 
-# Partitions one write may touch. Their values come to the driver as text, since
-# a payload's date may lie outside what Python's dates hold.
+# Partition values that come to the driver, to prune scans by literals; more are
+# joined. They come as text, since a payload's date may lie outside what Python's
+# dates hold.
 MOST_PARTITIONS = 50_000
 
 
@@ -81,33 +83,67 @@ class PathTable:
             if not unique:
                 merge.require_unique(rows, self.keys)
             target = self.read(spark)
-            arriving, in_range = self._arriving(rows)
-            leaving: set[str | None] = set()
+            sources = []
             if keys_move and self.partition not in self.keys:
+                near = target.filter(self._in_range(rows))
                 if within_days is not None:
-                    in_range = in_range & self.among(self._near(rows, within_days))
-                found = merge.matched(target.filter(in_range), rows, self.keys)
-                leaving |= self.values(found)
+                    near = self.within(near, self._near(rows, within_days))
+                sources.append(merge.matched(near, rows, self.keys))
             if delete_unmatched is not None:
-                leaving |= self.values(target.filter(delete_unmatched))
-
-            touched = target.filter(self.among(arriving | leaving))
-            merged = merge.merge_upsert(
-                touched,
-                rows,
-                self.keys,
-                when_newer=when_newer,
-                delete_unmatched=delete_unmatched,
-            )
+                sources.append(target.filter(delete_unmatched))
+
+            def merged(touched: DataFrame) -> DataFrame:
+                return merge.merge_upsert(
+                    touched,
+                    rows,
+                    self.keys,
+                    when_newer=when_newer,
+                    delete_unmatched=delete_unmatched,
+                )
+
+            arriving, *left = (self.values(df) for df in (rows, *sources))
+            if arriving is None or None in left:
+                self._overwrite_many(target, rows, sources, merged)
+                return
+            leaving: set[str | None] = set().union(*left)
+            result = merged(target.filter(self.among(arriving | leaving)))
             # A partition all of whose rows left gets no new files, so the
             # dynamic overwrite would keep its old ones.
             emptied = leaving - arriving
             if emptied:
-                emptied -= self.values(merged.filter(self.among(emptied)))
-            self.overwrite_partitions(merged)
+                emptied -= self.values(result.filter(self.among(emptied)))
+            self.overwrite_partitions(result)
             for value in emptied:
                 files.delete(spark, f"{self.path}/{self._folder(value)}")
 
+    def _overwrite_many(
+        self,
+        target: DataFrame,
+        rows: DataFrame,
+        sources: list[DataFrame],
+        merged: Callable[[DataFrame], DataFrame],
+    ) -> None:
+        """The end of ``upsert`` with partition values kept in tables, however many they are.
+
+        No literals prune the scan of the target, so all of it is read; only
+        touched partitions are written again.
+        """
+        spark, column = rows.sparkSession, [self.partition]
+        none = target.select(column).limit(0)
+        leaving = reduce(DataFrame.unionByName, [df.select(column) for df in sources], none)
+        with (
+            scratch.staged(rows.select(column).distinct(), "arriving") as arriving,
+            scratch.staged(leaving.distinct(), "leaving") as leaving,
+        ):
+            result = merged(merge.semi_join(target, arriving.unionByName(leaving), column))
+            emptied = merge.anti_join(leaving, arriving, column)
+            emptied = merge.anti_join(emptied, merge.semi_join(result, emptied, column), column)
+            text = F.col(self.partition).cast("string").alias("value")
+            with scratch.staged(emptied.select(text), "emptied") as emptied:
+                self.overwrite_partitions(result)
+                for row in emptied.toLocalIterator():
+                    files.delete(spark, f"{self.path}/{self._folder(row.value)}")
+
     def _writer(self, df: DataFrame, mode: str):
         # Rebalancing gives each partition files of the advisory size, splits a
         # hot partition over many tasks and puts small ones together.
@@ -117,8 +153,8 @@ class PathTable:
         rows = rows.sortWithinPartitions(self.partition, *self.keys)
         return rows.write.mode(mode).partitionBy(self.partition)
 
-    def _arriving(self, rows: DataFrame) -> tuple[set[str | None], Column]:
-        """The source's partitions, and where its keys lie in the target.
+    def _in_range(self, rows: DataFrame) -> Column:
+        """Where the source's keys lie in the target.
 
         The range is made of literals, so for ids that grow with time the scan
         skips the row groups that cannot hold a match.
@@ -136,27 +172,30 @@ class PathTable:
             in_range = F.col(key).between(F.lit(low).cast(kind), F.lit(high).cast(kind))
         if nulls:
             in_range = in_range | F.col(key).isNull()
-        return self.values(rows), in_range
+        return in_range
 
-    def _near(self, rows: DataFrame, days: int) -> set[str | None]:
+    def _near(self, rows: DataFrame, days: int) -> DataFrame:
         """The dates of ``rows`` and those up to ``days`` before and after."""
         day = F.col(self.partition)
         around = F.sequence(F.date_sub(day, days), F.date_add(day, days))
         near = F.when(day.isNull(), F.array(day)).otherwise(around)
         dates = rows.select(self.partition).distinct()
-        return self.values(dates.select(F.explode(near).alias(self.partition)))
-
-    def values(self, df: DataFrame) -> set[str | None]:
-        """Partition values present, as text: one row for each, at most MOST_PARTITIONS."""
+        return dates.select(F.explode(near).alias(self.partition)).distinct()
+
+    def within(self, df: DataFrame, partitions: DataFrame) -> DataFrame:
+        """Rows of ``df`` in one of ``partitions``: by literals, or by a join where they are many."""
+        values = self.values(partitions)
+        if values is None:
+            known = partitions.select(F.col(self.partition).cast(self.schema[self.partition].dataType))
+            return merge.semi_join(df, known, [self.partition])
+        return df.filter(self.among(values))
+
+    def values(self, df: DataFrame) -> set[str | None] | None:
+        """Partition values present, as text: one row for each. None if over MOST_PARTITIONS."""
         text = F.col(self.partition).cast("string").alias("value")
         found = df.select(text).distinct().limit(MOST_PARTITIONS + 1).collect()
         if len(found) > MOST_PARTITIONS:
-            ends = df.agg(F.min(self.partition).cast("string"), F.max(self.partition).cast("string"))
-            first, last = ends.first()
-            raise ValueError(
-                f"over {MOST_PARTITIONS} partitions of {self.partition} at once, "
-                f"from {first} to {last}: merge fewer at a time"
-            )
+            return None
         return {row.value for row in found}
 
     def among(self, values: set[str | None]) -> Column:
