@@ -1,7 +1,7 @@
 """Main text by differencing each page with the page of the nearest URL.
 
-Pages are sorted by host and path; of a page's two neighbours on its host the one with the longer common path is
-its pair. The lines of both are aligned by their longest common subsequence, and shared lines are deleted. A line is known by its
+Pages are sorted by host and path; of the nearest pages on either side on its host, exact copies passed over, the one
+with the longer common path is a page's pair. The lines of both are aligned by their longest common subsequence, and shared lines are deleted. A line is known by its
 text, except in furniture (menus, adverts, footers and the like, found by element or class name), where the words change from page to page
 but the place does not: there it is known by its slot and number. Two things differencing alone gets wrong, and are set
 right after it: an article line that the nearest page shares (a mirrored article, a repeated sentence) is restored, and furniture the
@@ -14,6 +14,7 @@ import json
 import os
 from bisect import bisect_left, bisect_right
 from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import xxhash
 import zstandard
@@ -95,15 +96,25 @@ def main_text(page: list[Line], pair: list[int] | None) -> dict:
     return {"text": " ".join(kept), **counts}
 
 
+def beyond(ends: Iterable[tuple]) -> Iterator[tuple]:
+    """For each range of ``ends`` (number, last place, last place with other lines or None), in order: the number, the nearest
+    place before the range, and the nearest with other lines than that one. A place ends with its content."""
+    near = other = None
+    for number, last, second in ends:
+        yield number, near, other
+        other = second or (near if near and near[-1] != last[-1] else other)
+        near = last
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars, and the counts of ``main_text``, for each row of ``pages`` (page_id, url, html).
 
     A null html is empty and gives the empty text. A null url, or one without ``://``, has an empty host and path; such pages are
     compared among themselves. Repeated rows are pages like others, but a page with all the same lines is never a pair, as
-    nothing would be left. A page alone on its host has no pair. Other columns are not read.
+    nothing would be left. A page without unlike pages on its host has no pair. Other columns are not read.
 
-    The sort order is cut into ranges; a range also gets the page before its first and the one after its last. The
-    lines travel once, compressed; a frequent host is cut between its paths and page ids.
+    The sort order is cut into ranges; a range also gets the page before its first and the one after its last, and the
+    nearest with other lines than these. The lines travel once, compressed; a frequent host is cut between its paths and page ids.
     """
     spark = pages.sparkSession
     kind = pages.schema["page_id"].dataType.simpleString()
@@ -114,11 +125,23 @@ def extract(pages: DataFrame) -> DataFrame:
         host_of(url).alias("host"),
         path_of(url).alias("path"),
         F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("tie"),
+        F.coalesce("html", F.lit("")).alias("html"),
+    )
+
+    def written(html: str) -> tuple[bytes, int]:
+        """The lines of a page, and what they are known by."""
+        made = json.dumps(lines(html)).encode()
+        return made, xxhash.xxh3_64_intdigest(made) - (1 << 63)
+
+    keyed = map_rows(
+        placed.select("host", "path", "tie", "html"),
+        lambda slice_: [r | {"content": written(r.pop("html"))[1]} for r in slice_],
+        "host string, path string, tie string, content bigint",
     )
-    keys = scratch.written(placed.select("host", "path", "tie"), "page-keys")
+    keys = scratch.written(keyed, "page-keys")
     ranges = max(1, RANGES * int(spark.conf.get("spark.sql.shuffle.partitions")))
     share = min(1.0, SAMPLED * ranges / max(1, keys.count()))
-    drawn = sorted(tuple(row) for row in keys.sample(share, seed=3).collect())
+    drawn = sorted(tuple(row) for row in keys.select("host", "path", "tie").sample(share, seed=3).collect())
     bounds = sorted({drawn[len(drawn) * n // ranges] for n in range(1, ranges)}) if drawn else []
 
     numbered = map_rows(
@@ -126,26 +149,45 @@ def extract(pages: DataFrame) -> DataFrame:
         lambda slice_: [
             r | {"range": bisect_right(bounds, (r["host"], r["path"], r["tie"]))} for r in slice_
         ],
-        "host string, path string, tie string, range int",
+        "host string, path string, tie string, content bigint, range int",
     )
-    key = F.struct("host", "path", "tie")
-    # One row for each range at most.
-    ends = sorted(
-        (row["range"], tuple(row["low"]), tuple(row["high"]))
-        for row in numbered.groupBy("range").agg(F.min(key).alias("low"), F.max(key).alias("high")).collect()
+    key = F.struct("host", "path", "tie", "content")
+    # One row for each range at most, here and below.
+    found = numbered.groupBy("range").agg(F.min(key).alias("low"), F.max(key).alias("high")).collect()
+    ends = {row["range"]: (tuple(row["low"]), tuple(row["high"])) for row in found}
+    contents = {at: (low[-1], high[-1]) for at, (low, high) in ends.items()}
+    unlike = map_rows(
+        numbered,
+        lambda slice_: [
+            r | {"l": r["content"] != contents[r["range"]][0], "h": r["content"] != contents[r["range"]][1]}
+            for r in slice_
+        ],
+        "host string, path string, tie string, content bigint, range int, l boolean, h boolean",
     )
+    others = {
+        row["range"]: [row[side] and tuple(row[side]) for side in ("low", "high")]
+        for row in unlike.groupBy("range")
+        .agg(F.min(F.when(F.col("l"), key)).alias("low"), F.max(F.when(F.col("h"), key)).alias("high"))
+        .collect()
+    }
     guests: dict[tuple, list[int]] = {}
-    for (before, _, high), (after, low, _) in zip(ends, ends[1:], strict=False):
-        guests.setdefault(high, []).append(after)
-        guests.setdefault(low, []).append(before)
+    for side, order in ((1, sorted(ends)), (0, sorted(ends, reverse=True))):
+        for at, *places in beyond((n, ends[n][side], others[n][side]) for n in order):
+            for place in filter(None, places):
+                guests.setdefault(place, []).append(at)
 
     def parsed(slice_: list[dict]) -> list[dict]:
         made, press = [], zstandard.ZstdCompressor(level=3)
+        sent: set[tuple] = set()
         for row in slice_:
             place = row["host"], row["path"], row["tie"]
-            row["packed"] = press.compress(json.dumps(lines(row.pop("html"))).encode())
+            plain, row["content"] = written(row.pop("html"))
+            row["packed"] = press.compress(plain)
             made.append(row | {"range": bisect_right(bounds, place), "guest": False})
-            made += [row | {"range": at, "guest": True} for at in guests.get(place, ())]
+            place = *place, row["content"]
+            if place not in sent:
+                made += [row | {"range": at, "guest": True} for at in guests.get(place, ())]
+                sent.add(place)
         return made
 
     source = pages.select(
@@ -159,34 +201,41 @@ def extract(pages: DataFrame) -> DataFrame:
     dealt = map_rows(
         source,
         parsed,
-        f"page_id {kind}, url string, host string, path string, tie string, packed binary, range int, guest boolean",
+        f"page_id {kind}, url string, host string, path string, tie string, content bigint, packed binary, range int, guest boolean",
     )
 
     def differences(group: list[dict]) -> list[dict]:
         open_ = zstandard.ZstdDecompressor()
-        group.sort(key=lambda row: (row["host"], row["path"], row["tie"], row["packed"]))
+        group.sort(key=lambda row: (row["host"], row["path"], row["tie"], row["content"]))
         made = []
         held: dict[int, list[Line]] = {}
 
         def read(n: int) -> list[Line]:
             if n not in held:
                 held[n] = [Line(*line) for line in json.loads(open_.decompress(group[n]["packed"]))]
-                held.pop(n - 3, None)
+                if len(held) > 4:
+                    held.pop(next(iter(held)))
             return held[n]
 
+        # The nearest pages with other lines, on either side.
+        size = len(group)
+        back, ahead = [-1] * size, [size] * size
+        for n in range(1, size):
+            m = size - 1 - n
+            back[n] = back[n - 1] if group[n]["content"] == group[n - 1]["content"] else n - 1
+            ahead[m] = ahead[m + 1] if group[m]["content"] == group[m + 1]["content"] else m + 1
+
         def alike(n: int, m: int) -> int:
-            """Characters of the common path, or -1 on another host, beyond the range, or for a copy."""
-            if not 0 <= m < len(group) or group[n]["host"] != group[m]["host"]:
-                return -1
-            if group[n]["packed"] == group[m]["packed"]:
+            """Characters of the common path, or -1 on another host or beyond the range."""
+            if not 0 <= m < size or group[n]["host"] != group[m]["host"]:
                 return -1
             return len(os.path.commonprefix([group[n]["path"], group[m]["path"]]))
 
         for n, row in enumerate(group):
             if row["guest"]:
                 continue
-            before, after = alike(n, n - 1), alike(n, n + 1)
-            pair = None if max(before, after) < 0 else n - 1 if before >= after else n + 1
+            before, after = alike(n, back[n]), alike(n, ahead[n])
+            pair = None if max(before, after) < 0 else back[n] if before >= after else ahead[n]
             found = main_text(read(n), None if pair is None else keys_of(read(pair)))
             made.append(
                 {"page_id": row["page_id"], "url": row["url"], "n_chars": len(found["text"])} | found
