@@ -83,9 +83,10 @@ class PathTable:
             if not unique:
                 merge.require_unique(rows, self.keys)
             target = self.read(spark)
+            arriving, in_range = self._arriving(rows)
             sources = []
             if keys_move and self.partition not in self.keys:
-                near = target.filter(self._in_range(rows))
+                near = target.filter(in_range)
                 if within_days is not None:
                     near = self.within(near, self._near(rows, within_days))
                 sources.append(merge.matched(near, rows, self.keys))
@@ -101,7 +102,7 @@ class PathTable:
                     delete_unmatched=delete_unmatched,
                 )
 
-            arriving, *left = (self.values(df) for df in (rows, *sources))
+            left = [self.values(df) for df in sources]
             if arriving is None or None in left:
                 self._overwrite_many(target, rows, sources, merged)
                 return
@@ -153,8 +154,8 @@ class PathTable:
         rows = rows.sortWithinPartitions(self.partition, *self.keys)
         return rows.write.mode(mode).partitionBy(self.partition)
 
-    def _in_range(self, rows: DataFrame) -> Column:
-        """Where the source's keys lie in the target.
+    def _arriving(self, rows: DataFrame) -> tuple[set[str | None] | None, Column]:
+        """The source's partitions, and where its keys lie in the target.
 
         The range is made of literals, so for ids that grow with time the scan
         skips the row groups that cannot hold a match.
@@ -172,7 +173,7 @@ class PathTable:
             in_range = F.col(key).between(F.lit(low).cast(kind), F.lit(high).cast(kind))
         if nulls:
             in_range = in_range | F.col(key).isNull()
-        return in_range
+        return self.values(rows), in_range
 
     def _near(self, rows: DataFrame, days: int) -> DataFrame:
         """The dates of ``rows`` and those up to ``days`` before and after."""
