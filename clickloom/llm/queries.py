@@ -9,7 +9,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import bpe, chat, graph_ann, html_diff, imatch, jaccard, neighbours, packing, pii, quality, sql, url_rules
+from clickloom.llm import (
+    bpe,
+    chat,
+    graph_ann,
+    html_diff,
+    imatch,
+    jaccard,
+    mixture,
+    neighbours,
+    packing,
+    pii,
+    quality,
+    spelling,
+    sql,
+    url_rules,
+    whitening,
+)
 from clickloom.llm.arrow import map_groups
 from clickloom.sinks import scratch
 
@@ -211,6 +227,21 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(_table(spark, sf_dir, "documents")).drop("text_key", "class_key")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with its near words' best form and the root of its forms."""
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on up to 16 whitened principal components."""
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 1024 tokens, each window in the proportions of the whole table's sources."""
+    return mixture.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_diff": op1_html_diff,
     "op2_url_rules": op2_url_rules,
@@ -222,6 +253,9 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_chat": op9_chat,
     "op10_jaccard": op10_jaccard,
+    "op11_spelling": op11_spelling,
+    "op12_whitening": op12_whitening,
+    "op13_mixture": op13_mixture,
 }
 
 SQL: dict[str, str] = dict(sql.ALL)
