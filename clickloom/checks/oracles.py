@@ -67,6 +67,17 @@ _CORRECTED = (
   )"""
 )
 
+_MOVED = (
+    _AD_EVENTS
+    + """,
+  moved AS (
+    SELECT strftime(make_timestamp((timestamp + CASE WHEN n % 7 = 0 THEN 86400 ELSE 0 END) * 1000000), '%Y-%m-%d')
+             AS event_date,
+           CAST(campaign + CASE WHEN n % 7 = 0 THEN 1000 ELSE 0 END AS INTEGER) AS campaign, click, conversion, cost
+    FROM ad
+  )"""
+)
+
 _FEED = (
     _AD_EVENTS
     + """,
@@ -402,5 +413,32 @@ def all_sql() -> dict[str, str]:
         "stream_resume": _with(_AD_EVENTS, f"SELECT {_RAW_COLUMNS}, TRUE AS landed_right FROM ad"),
         "stream_upsert": _with(_PROCESSED, "SELECT * FROM processed"),
         "stream_upsert_out_of_order": _with(_CORRECTED, "SELECT * FROM newest"),
+        "stream_deduplicated": _with(_AD_EVENTS, f"SELECT {_RAW_COLUMNS}, TRUE AS landed_right FROM ad"),
+        "stream_counters": _with(
+            _FEED,
+            "SELECT 'ad-' || event_type || 's' AS topic, count(*) AS messages FROM feed "
+            "GROUP BY event_type",
+        ),
+        "stream_relink": _with(
+            _FEED,
+            "SELECT i.event_id, i.timestamp, i.uid, i.campaign, i.cost, "
+            "c.timestamp AS click_timestamp, v.timestamp AS conversion_timestamp, "
+            "v.conversion_delay_sec FROM impressions i "
+            "LEFT JOIN clicks c USING (event_id) LEFT JOIN conversions v USING (event_id)",
+        ),
+        "stream_gold": _with(_MOVED, _summary(_grouped("moved"))),
+        "stream_gold_out_of_order": _with(_MOVED, _summary(_grouped("moved"))),
+        "merge_hashed_keys": _with(
+            _PROCESSED,
+            "SELECT md5(event_id) AS event_id, event_date, uid, campaign, click, conversion, conversion_delay_sec, "
+            "CASE WHEN CAST('0x' || substr(md5(event_id), 1, 4) AS INTEGER) % 100 = 0 "
+            "THEN round(cost + 1, 4) ELSE cost END AS cost FROM processed",
+        ),
+        "period_sketches": _with(
+            _PROCESSED,
+            "SELECT count(*) AS events, CAST(sum(click) AS BIGINT) AS clicks, "
+            "CAST(sum(conversion) AS BIGINT) AS conversions, TRUE AS users_near, TRUE AS campaigns_near "
+            "FROM processed WHERE event_date BETWEEN '2024-01-10' AND '2024-01-20'",
+        ),
         "bronze_to_gold": _with(_PROCESSED, _summary(_grouped("recent"))),
     }

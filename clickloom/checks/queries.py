@@ -15,14 +15,15 @@ from pyspark.sql import types as T
 
 from clickloom import schemas
 from clickloom.operators import attribution_log as log
-from clickloom.operators import dedup, fanout, gaps, health, ranking, sampling, stats
+from clickloom.operators import dedup, fanout, gaps, health, ranking, sampling, sketches, stats
 from clickloom.operators.summary import campaign_days
 from clickloom.plans import compact, event_table, gold, prepare, silver
 from clickloom.sinks import files as sink_files
 from clickloom.sinks import messages as message_sink
 from clickloom.sinks import scratch, tables
 from clickloom.sources import files, streams
-from clickloom.streaming import ingest
+from clickloom.streaming import counters, ingest, relink
+from clickloom.streaming import gold as streaming_gold
 
 # The tables cover January 2024. The first load sees it up to FIRST_LOAD, and
 # the later runs as it was known on AS_OF.
@@ -605,6 +606,137 @@ def stream_upsert_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(table.read(spark).drop("version"))
 
 
+def stream_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message delivered twice, the second time after a restart and at another offset: each lands once."""
+    source, raw, checkpoint = (scratch.new_path(spark, x) for x in ("topic", "raw", "offsets"))
+    messages = event_table.messages(spark, sf_dir)
+    for copy in range(2):
+        message_sink.publish_files(messages.withColumn("offset", F.col("offset") + copy * 10**9), source)
+        stream = ingest.to_raw(ingest.once(streams.file_messages(spark, source)))
+        ingest.run_for(ingest.land(stream, raw, checkpoint, available_now=True))
+    return _plain(_with_landing(files.read_raw(spark, raw)))
+
+
+def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fan-out as a stream in two runs, counted by batch while it is sent."""
+    names = ("events", "topics", "offsets", "counts")
+    source, topics, checkpoint, counts = (scratch.new_path(spark, x) for x in names)
+    listener = counters.BatchCounters(spark, counts)
+    spark.streams.addListener(listener)
+    try:
+        for known in (True, False):
+            _published(spark, sf_dir, known, source)
+            events = ingest.parse(streams.file_messages(spark, source))
+            feed = counters.observed(fanout.split(events))
+            query = ingest.land(
+                message_sink.encode_feed(feed), topics, checkpoint, "json", ("topic",), available_now=True
+            )
+            ingest.run_for(query)
+            counters.wait_for(spark, counts, query)
+    finally:
+        spark.streams.removeListener(listener)
+    found = counters.totals(spark, counts)
+    kinds = F.create_map(*(F.lit(x) for kind in fanout.KINDS for x in (f"{kind}s", schemas.TOPICS[kind])))
+    return found.select(kinds[F.col("kind")].alias("topic"), F.col("events").alias("messages"))
+
+
+def stream_relink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three topics linked as they arrive: days before FIRST_LOAD, the others, and last a message for each topic far ahead.
+
+    The last ones move the watermark past all impressions; they link to nothing.
+    """
+    feed = _feed(spark, sf_dir)
+    seconds = F.get_json_object("value", "$.timestamp").cast("bigint")
+    sent = message_sink.encode_feed(feed).withColumns(
+        {"partition": F.lit(0), "offset": seconds, "timestamp": F.timestamp_seconds(seconds)}
+    )
+    last = sent.groupBy("topic").agg(F.max("timestamp").alias("last"))
+    ahead = F.unix_seconds(F.col("last")) + 90 * 86_400
+    value = F.to_json(F.struct(F.concat(F.lit("last of "), F.col("topic")).alias("event_id"), ahead.alias("timestamp")))
+    closing = last.select(
+        F.lit(None).cast("string").alias("key"), value.alias("value"), "topic", F.lit(0).alias("partition"),
+        ahead.alias("offset"), F.timestamp_seconds(ahead).alias("timestamp"),
+    )
+    first_load = F.lit(FIRST_LOAD).cast("timestamp")
+    deliveries = [sent.filter(F.col("timestamp") < first_load), sent.filter(F.col("timestamp") >= first_load), closing]
+    topics, linked, checkpoint = (scratch.new_path(spark, x) for x in ("topics", "linked", "offsets"))
+    for delivery in deliveries:
+        for kind in fanout.KINDS:
+            topic = schemas.TOPICS[kind]
+            message_sink.publish_files(delivery.filter(F.col("topic") == topic), f"{topics}/{topic}")
+        feeds = [relink.feed(streams.file_messages(spark, f"{topics}/{schemas.TOPICS[kind]}")) for kind in fanout.KINDS]
+        rows = relink.relinked(*feeds, convert_within="4 days")
+        ingest.run_for(ingest.land(rows, linked, checkpoint, partition_by=(), available_now=True))
+    return _plain(spark.read.parquet(linked))
+
+
+def _moving_messages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All events, and every seventh again, sent later, with another campaign and a day on."""
+    events = event_table.ad_events(spark, sf_dir)
+    day = F.lit(86_400)
+    moved = events.filter(F.pmod(event_table.number(events), F.lit(7)) == 0).withColumns(
+        {
+            "campaign": F.col("campaign") + 1000,
+            "timestamp": F.col("timestamp") + day,
+            "conversion_timestamp": F.col("conversion_timestamp") + day,
+        }
+    )
+    return event_table.as_messages(events), event_table.as_messages(moved, F.col("timestamp") + day)
+
+
+def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary kept by batches in which events move to other groups, one batch twice."""
+    return _streamed_gold(spark, sf_dir, (0, 1, 0))
+
+
+def stream_gold_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the newer versions first."""
+    return _streamed_gold(spark, sf_dir, (1, 0))
+
+
+def _streamed_gold(spark: SparkSession, sf_dir: str, order: tuple[int, ...]) -> DataFrame:
+    source, checkpoint, warehouse = (scratch.new_path(spark, x) for x in ("topic", "offsets", "warehouse"))
+    processed, summary = tables.versioned_events(warehouse), tables.campaign_summary(warehouse)
+    messages = _moving_messages(spark, sf_dir)
+    for number in order:
+        message_sink.publish_files(messages[number], source)
+        stream = streams.file_messages(spark, source)
+        ingest.run_for(
+            streaming_gold.maintain(stream, processed, summary, checkpoint, available_now=True, within_days=1)
+        )
+    return _plain(summary.read(spark))
+
+
+def merge_hashed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids in no order, of which every hundredth comes again with a higher cost."""
+    rows = _processed(spark, sf_dir).withColumn("event_id", F.md5("event_id"))
+    table = tables.processed_events(scratch.new_path(spark, "warehouse"))
+    table.ensure(spark)
+    table.overwrite_partitions(rows)
+    again = F.conv(F.substring("event_id", 1, 4), 16, 10).cast("int") % 100 == 0
+    table.upsert(rows.filter(again).withColumn("cost", F.col("cost") + 1))
+    return _plain(table.read(spark))
+
+
+def period_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of eleven days from sketches kept by day, beside the exact figures: how far off they may be is known."""
+    events = event_table.ad_events(spark, sf_dir)
+    path = scratch.new_path(spark, "sketches")
+    sketches.by_day(events).write.parquet(path)
+    kept = sketches.over(spark.read.parquet(path), *BACKFILL)
+    day = F.to_date(F.timestamp_seconds("timestamp"))
+    exact = events.filter(day.between(*map(F.lit, BACKFILL))).agg(
+        F.count_distinct("uid").alias("exact_users"), F.count_distinct("campaign").alias("exact_campaigns")
+    )
+    both = kept.crossJoin(exact)  # one row each
+    def near(name: str):
+        return F.abs(F.col(name) - F.col(f"exact_{name}")) <= sketches.ERROR * F.col(f"exact_{name}") + 0.5
+    return both.select(
+        "events", "clicks", "conversions",
+        near("users").alias("users_near"), near("campaigns").alias("campaigns_near"),
+    )
+
+
 def bronze_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three layers as files: stream to raw, merge to processed, merge to summary."""
     source, raw, checkpoint = (scratch.new_path(spark, x) for x in ("topic", "raw", "offsets"))
@@ -674,6 +806,13 @@ ALL: dict[str, Query] = {
         stream_resume,
         stream_upsert,
         stream_upsert_out_of_order,
+        stream_deduplicated,
+        stream_counters,
+        stream_relink,
+        stream_gold,
+        stream_gold_out_of_order,
+        merge_hashed_keys,
+        period_sketches,
         bronze_to_gold,
     )
 }

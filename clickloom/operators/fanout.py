@@ -9,6 +9,8 @@ from clickloom import schemas
 from clickloom.functions import events as E
 from clickloom.operators import merge
 
+KINDS = ("impression", "click", "conversion")
+
 
 def _fields(kind: str, seed: int = 42) -> dict[str, Column]:
     """One kind of event from the columns of a combined row."""
@@ -124,7 +126,9 @@ def together(*feeds: DataFrame) -> DataFrame:
     return union
 
 
-def _counts() -> list[Column]:
+def counts() -> list[Column]:
+    """Events of each kind, as aggregates."""
+
     def of(kind: str) -> Column:
         return F.count(F.when(F.col("event_type") == kind, True))
 
@@ -138,7 +142,7 @@ def _counts() -> list[Column]:
 def summary(feed: DataFrame) -> DataFrame:
     """Events of each kind, their rates, and the mean conversion delay in hours."""
     totals = feed.agg(
-        *_counts(),
+        *counts(),
         F.coalesce(F.avg("conversion_delay_sec") / 3600, F.lit(0.0)).alias("avg_delay_hours"),
     )
     return totals.withColumns(
@@ -152,7 +156,7 @@ def summary(feed: DataFrame) -> DataFrame:
 def observed(feed: DataFrame, name: str = "sent") -> tuple[DataFrame, Observation]:
     """The feed, and its counts per kind once it has been written: no second pass."""
     counters = Observation(name)
-    return feed.observe(counters, *_counts()), counters
+    return feed.observe(counters, *counts()), counters
 
 
 def relink(

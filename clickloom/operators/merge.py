@@ -16,13 +16,15 @@ def merge_upsert(
     *,
     when_newer: str | None = None,
     delete_unmatched: Column | None = None,
+    replaces: DataFrame | None = None,
 ) -> DataFrame:
     """``target`` with the rows of ``source`` put over those with equal keys.
 
     ``source`` must hold each key once (see ``require_unique``). With
     ``when_newer`` a source row wins only if that column is not older than the
     target's. With ``delete_unmatched`` target rows it holds for are dropped
-    unless the source has their key. No join side is hinted: Spark broadcasts
+    unless the source has their key, and with ``replaces`` all target rows with
+    one of its keys. No join side is hinted: Spark broadcasts
     the source where its measured size allows and shuffles on the keys otherwise.
     """
     winners = source
@@ -32,6 +34,8 @@ def merge_upsert(
         winners = source.alias("l").join(held, beaten, "left_anti")
 
     survivors = anti_join(target, winners, keys)
+    if replaces is not None:
+        survivors = anti_join(survivors, replaces, keys)
     if delete_unmatched is not None:
         unmatched = F.coalesce(delete_unmatched, F.lit(False))
         if when_newer:

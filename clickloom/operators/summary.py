@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions import events as E
+from clickloom.functions.exact import exact_sum
 
 
 def recent(column: str, days: int, as_of: date | None = None) -> Column:
@@ -24,6 +25,7 @@ def recent(column: str, days: int, as_of: date | None = None) -> Column:
 def campaign_days(events: DataFrame) -> DataFrame:
     """Counts and ratios per date and campaign; every row is one impression.
 
+    Costs add up to the same bits in any order, so that summing again gives what is there.
     Rows are summed within each task first, so a campaign with most of the
     traffic sends no more to the shuffle than any other.
     """
@@ -31,7 +33,7 @@ def campaign_days(events: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("impressions"),
         F.sum("click").alias("clicks"),
         F.sum("conversion").alias("conversions"),
-        F.sum("cost").alias("total_cost"),
+        exact_sum("cost").alias("total_cost"),
     )
     return with_ratios(totals)
 

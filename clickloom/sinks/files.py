@@ -20,6 +20,16 @@ def delete(spark: SparkSession, path: str) -> None:
     file_system.delete(hadoop_path, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file written from the driver; an existing one is replaced."""
+    file_system, hadoop_path = _resolve(spark, path)
+    out = file_system.create(hadoop_path, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+
+
 def write_csv(df: DataFrame, path: str, columns, mode: str = "errorifexists") -> None:
     """Headered CSV in the given column order; NULL and "" both come out blank.
 

@@ -17,7 +17,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from clickloom import schemas
 from clickloom.operators import merge
@@ -28,6 +28,15 @@ from clickloom.sinks import files, scratch
 # dates hold.
 MOST_PARTITIONS = 50_000
 
+# Keys of a merge source that become literals, which the scan looks up in the key
+# filters of the row groups. Beyond them the source touches most row groups anyway, and
+# only the range of its keys is pushed.
+MOST_KEYS = 10_000
+# Spark pushes a list as a chain of comparisons, which the reader walks recursively: longer
+# ones are several lists.
+_LIST = 256
+_PUSHED_KEYS = "spark.sql.parquet.pushdown.inFilterThreshold"
+
 
 @dataclass(frozen=True)
 class PathTable:
@@ -65,6 +74,7 @@ class PathTable:
         when_newer: str | None = None,
         delete_unmatched: Column | None = None,
         within_days: int | None = None,
+        replaces: DataFrame | None = None,
     ) -> None:
         """Update the rows whose keys ``source`` has, insert the rest.
 
@@ -76,7 +86,7 @@ class PathTable:
         ``within_days`` promises that a date partition never changes by more for
         a key; only partitions so near to the source's own are then looked at.
         ``delete_unmatched`` drops target rows it holds for that the source does
-        not have.
+        not have, ``replaces`` those whose key it holds.
         """
         spark = source.sparkSession
         with scratch.staged(source.select(self.schema.names), "upsert-source") as rows:
@@ -86,12 +96,11 @@ class PathTable:
             arriving, in_range = self._arriving(rows)
             sources = []
             if keys_move and self.partition not in self.keys:
-                near = target.filter(in_range)
-                if within_days is not None:
-                    near = self.within(near, self._near(rows, within_days))
-                sources.append(merge.matched(near, rows, self.keys))
+                sources.append(self._holding(rows, in_range, within_days))
             if delete_unmatched is not None:
                 sources.append(target.filter(delete_unmatched))
+            if replaces is not None:
+                sources.append(replaces.select(self.partition))
 
             def merged(touched: DataFrame) -> DataFrame:
                 return merge.merge_upsert(
@@ -100,6 +109,7 @@ class PathTable:
                     self.keys,
                     when_newer=when_newer,
                     delete_unmatched=delete_unmatched,
+                    replaces=replaces,
                 )
 
             left = [self.values(df) for df in sources]
@@ -152,7 +162,55 @@ class PathTable:
         # ranges and a later merge can skip them.
         rows = df.select(self.schema.names).hint("rebalance", self.partition)
         rows = rows.sortWithinPartitions(self.partition, *self.keys)
-        return rows.write.mode(mode).partitionBy(self.partition)
+        writer = rows.write.mode(mode).partitionBy(self.partition)
+        if self._filtered():
+            # Bloom filters of the size the keys of a row group need.
+            writer = writer.options(
+                **{
+                    f"parquet.bloom.filter.enabled#{self.keys[0]}": "true",
+                    "parquet.bloom.filter.adaptive.enabled": "true",
+                }
+            )
+        return writer
+
+    def _filtered(self) -> bool:
+        return self.keys[0] != self.partition and isinstance(self.schema[self.keys[0]].dataType, StringType)
+
+    def holding(self, rows: DataFrame, within_days: int | None = None) -> DataFrame:
+        """The table's rows with keys of ``rows``, which is read repeatedly.
+
+        The scan skips the row groups that cannot hold a match, by the range of the
+        keys (ids that grow with time) and, for up to MOST_KEYS, by the keys themselves
+        in the row groups' filters (ids in no order).
+        """
+        return self._holding(rows, self._arriving(rows)[1], within_days)
+
+    def _holding(self, rows: DataFrame, in_range: Column, within_days: int | None) -> DataFrame:
+        near = self.read(rows.sparkSession).filter(in_range & self._listed(rows))
+        if within_days is not None:
+            near = self.within(near, self._near(rows, within_days))
+        return merge.matched(near, rows, self.keys)
+
+    def _listed(self, rows: DataFrame) -> Column:
+        """Rows of the table that have one of the keys of ``rows``, if these are few enough for literals."""
+        spark, key = rows.sparkSession, self.keys[0]
+        if not self._filtered():
+            return F.lit(True)
+        known = [row[0] for row in rows.select(key).distinct().limit(MOST_KEYS + 1).collect()]
+        if len(known) > MOST_KEYS:
+            return F.lit(True)
+        # Lists above this are pushed as their range only.
+        if int(spark.conf.get(_PUSHED_KEYS)) < _LIST:
+            spark.conf.set(_PUSHED_KEYS, _LIST)
+        there = sorted(value for value in known if value is not None)
+        tests = [F.col(key).isin(there[i : i + _LIST]) for i in range(0, len(there), _LIST)]
+        if len(there) < len(known):
+            tests.append(F.col(key).isNull())
+        # Joined in pairs, so that the condition is no deeper than it must be.
+        while len(tests) > 1:
+            pairs = [a | b for a, b in zip(tests[::2], tests[1::2], strict=False)]
+            tests = pairs + tests[len(pairs) * 2 :]
+        return tests[0] if tests else F.lit(False)
 
     def _arriving(self, rows: DataFrame) -> tuple[set[str | None] | None, Column]:
         """The source's partitions, and where its keys lie in the target.
@@ -256,14 +314,15 @@ class CatalogTable:
         when_newer: str | None = None,
         delete_unmatched: Column | None = None,
         within_days: int | None = None,
+        replaces: DataFrame | None = None,
     ) -> None:
         """The catalog's own MERGE, which finds duplicate and moved keys itself."""
+        if replaces is not None:
+            # Keys the source does not have go first; the rest is an update.
+            gone = merge.anti_join(replaces, source, self.keys).alias("s")
+            gone.mergeInto(self.name, self._same()).whenMatched().delete().merge()
         rows = source.select(self.schema.names).alias("s")
-        same = reduce(
-            lambda a, b: a & b,
-            [F.col(f"{self.name}.{key}").eqNullSafe(F.col(f"s.{key}")) for key in self.keys],
-        )
-        plan = rows.mergeInto(self.name, same)
+        plan = rows.mergeInto(self.name, self._same())
         if when_newer:
             newer = F.col(f"s.{when_newer}") >= F.col(f"{self.name}.{when_newer}")
             plan = plan.whenMatched(newer).updateAll()
@@ -274,6 +333,20 @@ class CatalogTable:
             plan = plan.whenNotMatchedBySource(delete_unmatched).delete()
         plan.merge()
 
+    def holding(self, rows: DataFrame, within_days: int | None = None) -> DataFrame:
+        """The table's rows with keys of ``rows``; what can be skipped is the format's business."""
+        return merge.matched(self.read(rows.sparkSession), rows, self.keys)
+
+    def within(self, df: DataFrame, partitions: DataFrame) -> DataFrame:
+        """Rows of ``df`` in one of ``partitions``."""
+        return merge.semi_join(df, partitions, [self.partition])
+
+    def _same(self) -> Column:
+        return reduce(
+            lambda a, b: a & b,
+            [F.col(f"{self.name}.{key}").eqNullSafe(F.col(f"s.{key}")) for key in self.keys],
+        )
+
 
 # Public Iceberg table properties.
 COPY_ON_WRITE = {

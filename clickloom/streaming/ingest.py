@@ -58,6 +58,28 @@ def with_ingest_time(stream: DataFrame) -> DataFrame:
     return stream.withColumn("ingest_ts", F.current_timestamp())
 
 
+def once(messages: DataFrame, within: str = "1 day", by: str = "content") -> DataFrame:
+    """Messages without the copies that a redelivery brings, to be landed.
+
+    ``content`` takes messages with the same key and value for one, whatever their
+    position; ``position`` those with the same topic, partition and offset. Of copies
+    the first to arrive stays. What has been seen is state, kept for ``within`` after it
+    arrived, over restarts, and then forgotten: a copy that comes later lands again, and
+    silver keeps one version. The clock is that of arrival, so no message is ever behind the
+    watermark and none is lost, however old the event in it.
+    """
+    if by == "content":
+        text = F.struct(F.col("key").cast("string"), F.col("value").cast("string"))
+        same = {"_same": F.sha2(F.to_json(text), 256)}
+    elif by == "position":
+        same = {f"_{name}": F.col(name) for name in ("topic", "partition", "offset")}
+    else:
+        raise ValueError(f"by must be content or position, not {by!r}")
+    seen = messages.withColumns({**same, "_arrived": F.current_timestamp()})
+    fresh = seen.withWatermark("_arrived", within).dropDuplicatesWithinWatermark([*same])
+    return fresh.drop(*same, "_arrived")
+
+
 def land(
     stream: DataFrame,
     path: str,
@@ -83,7 +105,7 @@ def land(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return _trigger(writer, available_now, interval).start()
+    return triggered(writer, available_now, interval).start()
 
 
 def upsert_stream(
@@ -115,7 +137,7 @@ def upsert_stream(
 
     table.ensure(messages.sparkSession)
     writer = messages.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
-    return _trigger(writer, available_now, interval).start()
+    return triggered(writer, available_now, interval).start()
 
 
 def run_for(query: StreamingQuery, seconds: float | None = None) -> None:
@@ -127,7 +149,7 @@ def run_for(query: StreamingQuery, seconds: float | None = None) -> None:
     query.stop()
 
 
-def _trigger(writer, available_now: bool, interval: str | None):
+def triggered(writer, available_now: bool, interval: str | None):
     if available_now:
         return writer.trigger(availableNow=True)
     return writer.trigger(processingTime=interval) if interval else writer

@@ -1,0 +1,103 @@
+"""Stream-stream links: order, watermarks, state, and messages that fit nowhere."""
+
+import json
+import os
+from datetime import UTC, datetime
+
+from clickloom.operators import fanout
+from clickloom.sources import streams
+from clickloom.streaming import ingest, relink
+
+START = 1_704_067_200
+KINDS = ("impressions", "clicks", "conversions")
+
+
+def deliver(folder, kind, *events):
+    """(id, seconds after START, and more fields); sent at the event's own time unless ``sent`` says otherwise."""
+    os.makedirs(f"{folder}/{kind}", exist_ok=True)
+    name = f"{folder}/{kind}/{len(os.listdir(f'{folder}/{kind}'))}.json"
+    with open(name, "w") as out:
+        for event_id, at, *more in events:
+            fields = more[0] if more else {}
+            time = START + fields.get("sent", at)
+            value = {"event_id": event_id, "timestamp": None if at is None else START + at, "uid": "u", "campaign": 1}
+            value |= {k: v for k, v in fields.items() if k != "sent"}
+            sent = datetime.fromtimestamp(time, UTC).isoformat().replace("+00:00", "Z")
+            out.write(json.dumps({"key": "u", "value": json.dumps(value), "topic": kind, "partition": 0, "offset": 0, "timestamp": sent}) + "\n")
+
+
+def feeds(spark, folder):
+    return [relink.feed(streams.file_messages(spark, f"{folder}/{kind}"), late="10 minutes") for kind in KINDS]
+
+
+def run(spark, folder):
+    rows = relink.relinked(*feeds(spark, folder), click_within="1 hour", convert_within="2 hours")
+    query = ingest.land(rows, f"{folder}/linked", f"{folder}/checkpoint", partition_by=(), available_now=True)
+    ingest.run_for(query)
+    found = spark.read.parquet(f"{folder}/linked").collect()
+    return {r.event_id: (r.click_timestamp, r.conversion_timestamp, r.conversion_delay_sec) for r in found}, query
+
+
+def ahead(folder, seconds):
+    for kind in KINDS:
+        deliver(folder, kind, (f"last-{kind}-{seconds}", seconds))
+
+
+def test_links_in_any_order_and_unmatched_rows_after_the_watermark(spark, folder):
+    deliver(folder, "clicks", ("b", 65))
+    deliver(folder, "impressions", ("a", 0), ("b", 60))
+    deliver(folder, "conversions", ("b", 3000, {"conversion_delay_sec": 2940}))
+    found, _ = run(spark, folder)
+    assert found == {"b": (START + 65, START + 3000, 2940)}
+    # a waits for its conversion until the slowest topic has passed two hours
+    deliver(folder, "impressions", ("x", 9000))
+    deliver(folder, "clicks", ("y", 9000))
+    assert run(spark, folder)[0].keys() == {"b"}
+    ahead(folder, 9100)
+    found, query = run(spark, folder)
+    assert found["a"] == (None, None, None) and found.keys() == {"a", "b"}
+    # and what was given out, or can no longer be matched, is not kept
+    ahead(folder, 40_000)
+    ahead(folder, 80_000)
+    found, query = run(spark, folder)
+    assert found.keys() >= {"a", "b", "x"}
+    kept = [state.numRowsTotal for state in query.lastProgress.stateOperators]
+    assert len(kept) == 2 and sum(kept) <= 8
+
+
+def test_beyond_the_interval_nothing_links(spark, folder):
+    deliver(folder, "impressions", ("a", 0), ("b", 0), ("c", 100))
+    deliver(folder, "clicks", ("a", 3600), ("b", 3601), ("c", 99))
+    deliver(folder, "conversions", ("a", 7200), ("b", 7201))
+    ahead(folder, 50_000)
+    found, _ = run(spark, folder)
+    assert found["a"][:2] == (START + 3600, START + 7200)
+    assert found["b"] == found["c"] == (None, None, None)
+
+
+def test_late_bad_and_absurd_messages(spark, folder):
+    ahead(folder, 50_000)
+    run(spark, folder)
+    far = 50_000 * 365 * 86_400
+    deliver(folder, "impressions", ("late", 0), (None, 50_100), ("timeless", None, {"sent": 50_100}), ("far", far, {"sent": 50_100}))
+    deliver(folder, "impressions", ("good", 50_200))
+    deliver(folder, "clicks", ("good", 50_210))
+    deliver(folder, "conversions", ("good", 50_220))
+    found, _ = run(spark, folder)
+    # The far one moves no watermark, so what comes after it is linked all the same.
+    assert found == {"good": (START + 50_210, START + 50_220, None)}
+
+
+def test_same_rows_as_the_batch_form(spark, folder):
+    events = [(f"e{i}", i * 37 % 5000) for i in range(200)]
+    deliver(folder, "impressions", *events)
+    deliver(folder, "clicks", *((e, at + 20) for e, at in events[::3]))
+    deliver(folder, "conversions", *((e, at + 500, {"conversion_delay_sec": 500}) for e, at in events[::6]))
+    ahead(folder, 50_000)
+    found, _ = run(spark, folder)
+    batch = [
+        relink.feed(spark.read.schema(streams.file_messages(spark, f"{folder}/{kind}").schema).json(f"{folder}/{kind}"))
+        for kind in KINDS
+    ]
+    rows = fanout.relink(*batch).filter("event_id LIKE 'e%'").collect()
+    assert found == {r.event_id: (r.click_timestamp, r.conversion_timestamp, r.conversion_delay_sec) for r in rows}
