@@ -48,7 +48,7 @@ def relinked(
     The same rows as the batch ``relink`` of feeds that hold each id once. A row
     comes out when both partners are there or, without them, when the watermark, that
     of the slowest topic, is so far past the impression that none can come any more. Until then it
-    is state, which is all that is kept: of an impression for ``convert_within`` at most.
+    is state, which is all that is kept: of an impression for both intervals at most.
     After a restart the watermark moves on once every topic has brought a message.
     What arrives behind the watermark is dropped and counted in the query's progress; the raw
     zone has it, and the batch form links it.

@@ -49,11 +49,11 @@ def test_links_in_any_order_and_unmatched_rows_after_the_watermark(spark, folder
     deliver(folder, "conversions", ("b", 3000, {"conversion_delay_sec": 2940}))
     found, _ = run(spark, folder)
     assert found == {"b": (START + 65, START + 3000, 2940)}
-    # a waits for its conversion until the slowest topic has passed two hours
-    deliver(folder, "impressions", ("x", 9000))
-    deliver(folder, "clicks", ("y", 9000))
+    # a waits for its conversion until the slowest topic has passed both intervals
+    deliver(folder, "impressions", ("x", 11_500))
+    deliver(folder, "clicks", ("y", 11_500))
     assert run(spark, folder)[0].keys() == {"b"}
-    ahead(folder, 9100)
+    ahead(folder, 12_000)
     found, query = run(spark, folder)
     assert found["a"] == (None, None, None) and found.keys() == {"a", "b"}
     # and what was given out, or can no longer be matched, is not kept
