@@ -61,10 +61,35 @@ def _native_encoders(path: str):
 
 
 _RUN = re.compile(r"\s\s")
+#: Runs of white space (Unicode's property) from this length on are encoded apart: the engine's look-ahead
+#: holds one entry for each character of a run, and gives up at a million.
+LONG_RUN = 10_000
+_LONG_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN)
 
 
 def token_ids(text: str, path: str) -> np.ndarray:
     """What the tokenizers library gives for ``text``, several times as fast."""
+    if len(text) < LONG_RUN:
+        return _token_ids(text, path)
+    special = tuple(_native_encoders(path)[1])
+    parts, place = [], 0
+    for run in _LONG_RUN.finditer(text):
+        # The last character of a run belongs to the word that follows it; the others are one piece, before and after which
+        # pieces end whatever stands there.
+        followed = run.end() < len(text) and not text.startswith(special, run.end())
+        end = run.end() - followed
+        parts += [_token_ids(text[place : run.start()], path), _run_ids(text[run.start() : end], path)]
+        place = end
+    parts.append(_token_ids(text[place:], path))
+    return np.concatenate(parts)
+
+
+def _run_ids(run: str, path: str) -> np.ndarray:
+    (_, simple), _ = _native_encoders(path)
+    return simple.encode_to_numpy(run, disallowed_special=())
+
+
+def _token_ids(text: str, path: str) -> np.ndarray:
     (general, simple), special = _native_encoders(path)
     chosen = general if _RUN.search(text) else simple
     if any(token in text for token in special):

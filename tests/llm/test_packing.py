@@ -1,6 +1,7 @@
 """Packing: every piece once, nothing overlaps, few sequences."""
 
 import math
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from clickloom.llm import packing, queries
+from clickloom.llm import bpe, packing, queries
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -119,3 +120,23 @@ def test_small_capacity_with_many_equal_pieces(spark):
     rows = [row.asDict() for row in packing.pack(made, capacity=10).collect()]
     assert len(rows) == 3000
     assert _check(rows, 10) == 1000
+
+
+@pytest.mark.parametrize("space", [" ", "\n", "\t", " \n", "\u3000", "\x1c"])
+def test_long_white_space_has_the_librarys_ids(space):
+    library = Tokenizer.from_file(PATH)
+    for before, after in (("a", "b"), ("", ""), ("x ", " y"), ("q", "\n"), ("<|endoftext|>", "<|endoftext|>")):
+        for n in (packing.LONG_RUN - 1, packing.LONG_RUN, packing.LONG_RUN + 1, 30_000):
+            text = before + (space * n)[:n] + after
+            assert packing.token_ids(text, PATH).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("space", [" ", "\n", "\t"])
+def test_two_million_blanks_do_not_stop_a_job(spark, space):
+    text = "a" + space * 2_000_000 + "b"
+    started = time.monotonic()
+    ids = packing.token_ids(text, PATH)
+    assert time.monotonic() - started < 30
+    assert ids.tolist() == bpe.encoder(PATH).encode(text)
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert sum(row["length"] for row in packing.pack(packing.pieces(docs, PATH)).collect()) == len(ids) + 1
