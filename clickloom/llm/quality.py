@@ -194,7 +194,7 @@ def _features_udf(model: Model):
     return features
 
 
-def evidence(docs: DataFrame, model: Model) -> DataFrame:
+def evidence(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``__evidence``: log odds of both heads and the number of words of each text."""
     importable(docs.sparkSession)
 
@@ -207,7 +207,7 @@ def evidence(docs: DataFrame, model: Model) -> DataFrame:
                 parts.append(pd.DataFrame({"quality": logits[:, 0], "toxic": logits[:, 1], "words": words}))
             yield pd.concat(parts) if parts else pd.DataFrame({"quality": [], "toxic": [], "words": []})
 
-    return docs.withColumn("__evidence", scores(F.coalesce("text", F.lit(""))))
+    return docs.withColumn("__evidence", scores(F.coalesce(text, F.lit(""))))
 
 
 def _probability(logit: Column) -> Column:
@@ -268,42 +268,63 @@ def sites(scored: DataFrame, host: str, path: str) -> DataFrame:
     return both.select("__host", "__path", "n", *names)
 
 
+VERDICT = ("__quality", "__toxic", "__keep")
+
+
 def judged(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang") -> DataFrame:
     """``docs`` with __quality, __toxic (posterior probabilities) and __keep.
 
     A document is rejected if good quality is less likely than not, or toxicity at least as likely as not; or if its text, null or
     empty, has no words. A null host or path is a site like others. Repeated rows are judged alike. Without labels no document with
-    words is rejected. All other columns come back as they are.
+    words is rejected. All other columns come back as they are, whatever their names; only columns that have the
+    names of the three new ones are replaced by these.
 
     The texts are read twice, once for the sites and once for the verdicts, and never shuffled as long as Spark finds the table
     of sites small enough to broadcast; beyond that it joins by shuffle.
     """
-    model = train(docs, labels)
-    scored = evidence(docs, model)
-    prior = sites(scored.select(host, path, "__evidence"), host, path)
+    rest = [name for name in docs.columns if name.lower() not in VERDICT]
+    return _judged(docs.select(*map(_quoted, rest)), labels, host, path)
+
+
+def _quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _judged(docs: DataFrame, labels: DataFrame, host: str, path: str) -> DataFrame:
+    # Inside, the input's columns are called by number, and so clash with nothing.
+    names = [name.lower() for name in docs.columns]
+    numbered = docs.toDF(*(f"c{n}" for n in range(len(names))))
+
+    def own(name: str) -> str:
+        return f"c{names.index(name.lower())}"
+
+    texts = numbered.select(F.col(own("doc_id")).alias("doc_id"), F.col(own("text")).alias("text"))
+    model = train(texts, labels)
+    scored = evidence(numbered, model, own("text"))
+    prior = sites(scored.select(own(host), own(path), "__evidence"), own(host), own(path))
     met = scored.join(
         prior,
-        scored[host].eqNullSafe(prior["__host"]) & scored[path].eqNullSafe(prior["__path"]),
+        scored[own(host)].eqNullSafe(prior["__host"]) & scored[own(path)].eqNullSafe(prior["__path"]),
     )
     out = {}
     for head, p in zip(HEADS, model.prior, strict=True):
-        own = F.col(f"__evidence.{head}")
+        logit = F.col(f"__evidence.{head}")
         strength = F.col(f"strength_{head}")
-        others = F.greatest(F.col(f"s_{head}") - _probability(own), F.lit(0.0))
+        others = F.greatest(F.col(f"s_{head}") - _probability(logit), F.lit(0.0))
         rate = (others + strength * F.col(f"rate_{head}")) / (F.col("n") - 1 + strength)
         rate = F.least(F.greatest(rate, F.lit(1e-4)), F.lit(1 - 1e-4))
-        out[f"__{head}"] = _probability(own + _logit(rate) - math.log(p / (1 - p)))
+        out[f"__{head}"] = _probability(logit + _logit(rate) - math.log(p / (1 - p)))
     keep = (F.col("__quality") >= 0.5) & (F.col("__toxic") < 0.5) & (F.col("__evidence.words") > 0)
     if not model.weights.any():
         keep = F.col("__evidence.words") > 0
-    return (
-        met.withColumns(out)
-        .withColumn("__keep", keep)
-        .select(*(F.col(f"`{name}`") for name in docs.columns), "__quality", "__toxic", "__keep")
-    )
+    found = met.withColumns(out).withColumn("__keep", keep)
+    return found.select(*numbered.columns, *VERDICT).toDF(*docs.columns, *VERDICT)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang") -> DataFrame:
     """The rows of ``docs`` that ``judged`` keeps, all columns as they are."""
-    found = judged(docs, labels, host, path).filter("__keep")
-    return found.select(*(F.col(f"`{name}`") for name in docs.columns))
+    names = [name.lower() for name in docs.columns]
+    used = {"doc_id", "text", host.lower(), path.lower()}
+    numbered = docs.toDF(*(name if name in used else f"__c{n}" for n, name in enumerate(names)))
+    found = _judged(numbered, labels, host, path).filter("__keep")
+    return found.select(*numbered.columns).toDF(*docs.columns)

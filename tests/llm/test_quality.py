@@ -1,5 +1,8 @@
 """Quality: held-out accuracy, shrinkage, and odd inputs."""
 
+import math
+from collections import defaultdict
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,3 +70,73 @@ def test_a_repeated_document_is_one_row_of_the_sample(spark):
     least = kept.orderBy(F.xxhash64("text")).first()["text"]
     assert (least, 1, 0) in found
     assert sorted(found) == sorted(tuple(r) for r in quality.labelled(docs.repartition(3), labels).collect())
+
+
+CLASHING = ("n", "s_quality", "__host", "__path", "__evidence", "host_n", "rate_toxic", "strength_quality", "c0", "__c1", "a.b", "all_toxic")
+
+
+def test_columns_of_any_name_come_back(spark):
+    rows = [(n, f"some words here {n}", "s", "en", *range(len(CLASHING))) for n in range(6)]
+    schema = "doc_id long, text string, source string, lang string, " + ", ".join(f"`{name}` int" for name in CLASHING)
+    docs = spark.createDataFrame(rows, schema)
+    labels = spark.createDataFrame([(n, n % 2, 0, 1) for n in range(6)], "doc_id long, quality int, toxic int, n int")
+    found = quality.judged(docs, labels)
+    assert found.columns == [*docs.columns, *quality.VERDICT]
+    assert sorted(map(tuple, found.drop(*quality.VERDICT).collect())) == rows
+    kept = quality.keep_good(docs.withColumn("__keep", F.lit("x")).withColumn("__toxic", F.lit("y")), labels)
+    assert kept.columns == [*docs.columns, "__keep", "__toxic"]
+    assert {(r["__keep"], r["__toxic"]) for r in kept.collect()} <= {("x", "y")}
+    assert quality.judged(docs.withColumn("__keep", F.lit("x")), labels).columns == found.columns
+
+
+def _posteriors(model, docs):
+    """doc_id to posterior of each head, worked out row by row: evidence, then what its path, its host and all others say."""
+    def p_of(logit):
+        return 1 / (1 + math.exp(-logit))
+
+    def logit_of(p):
+        return math.log(p / (1 - p))
+
+    logits = model.logits([r["text"] or "" for r in docs])[0]
+    found = {r["doc_id"]: [] for r in docs}
+    for head in range(2):
+        own = [p_of(row[head]) for row in logits]
+        paths, hosts = defaultdict(list), defaultdict(list)
+        for r, p in zip(docs, own, strict=True):
+            paths[r["source"], r["lang"]].append(p)
+            hosts[r["source"]].append(p)
+        whole = (sum(own) + 0.5) / (len(own) + 1)
+
+        def strength(groups, mean_of):
+            weight = sum(len(g) for g in groups.values())
+            spread = 0
+            for key, g in groups.items():
+                mean = mean_of(key)
+                spread += len(g) * (sum(g) / len(g) - mean) ** 2 - mean * (1 - mean)
+            variance = max(spread / weight, 1e-9)
+            return min(1e4, max(1.0, whole * (1 - whole) / variance - 1))
+
+        s = strength(hosts, lambda key: whole)
+        rate = {host: (sum(g) + s * whole) / (len(g) + s) for host, g in hosts.items()}
+        t = strength(paths, lambda key: rate[key[0]])
+        for r, row, p in zip(docs, logits, own, strict=True):
+            group = paths[r["source"], r["lang"]]
+            site = (max(sum(group) - p, 0.0) + t * rate[r["source"]]) / (len(group) - 1 + t)
+            site = min(max(site, 1e-4), 1 - 1e-4)
+            found[r["doc_id"]].append(p_of(row[head] + logit_of(site) - logit_of(model.prior[head])))
+    return found
+
+
+def test_posteriors_against_plain_python(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    model = quality.train(docs, labels)
+    expected = _posteriors(model, docs.collect())
+    rows = quality.judged(docs, labels).collect()
+    assert len(rows) == len(expected)
+    for r in rows:
+        q, x = expected[r["doc_id"]]
+        assert r["__quality"] == pytest.approx(q, abs=1e-6)
+        assert r["__toxic"] == pytest.approx(x, abs=1e-6)
+        assert r["__keep"] == (r["__quality"] >= 0.5 and r["__toxic"] < 0.5 and bool((r["text"] or "").split()))
