@@ -26,6 +26,10 @@ IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
+#: IP's matches in time linear in the text: none starts within a run of digits, since a run that no dot follows has
+#: none at any place, and each run is taken whole.
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+
 #: Kinds only the method finds.
 FURTHER = ["secret", "ssn", "iban"]
 ALL_KINDS = [*KINDS, *FURTHER]
@@ -89,7 +93,7 @@ def _small(part: str) -> bool:
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) by the fixed patterns, by kind, then start."""
     found = [(0, start, end) for start, end in emails(text)]
-    for m in IP.finditer(text):
+    for m in _IP.finditer(text):
         if all(map(_small, m[0].split("."))):
             found.append((1, *m.span()))
     for m in CARD.finditer(text):

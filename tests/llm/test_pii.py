@@ -2,7 +2,9 @@
 
 import hashlib
 import re
+import time
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -107,3 +109,22 @@ def test_redact(spark):
     assert found[None, "k"]["text"] == clean
     assert pii.redact(docs).schema == docs.schema
     assert pii.redact(docs.limit(0)).collect() == []
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="0123.. a+", max_size=60))
+def test_ip_matches_are_those_of_the_pattern(text):
+    assert [m.span() for m in pii._IP.finditer(text)] == [m.span() for m in pii.IP.finditer(text)]
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["1" * 2_000_000, "1." * 1_000_000, "1 " * 1_000_000, "1-" * 1_000_000, "a" * 2_000_000, "+1" * 1_000_000, "+1(" + "(" * 2_000_000,
+     "a.b@" * 500_000, "A1" * 1_000_000, "é" * 2_000_000],
+    ids=range(10),
+)
+def test_two_million_characters_take_seconds(text):
+    started = time.monotonic()
+    base = pii.base_spans(text)
+    pii.further_spans(text, base)
+    assert time.monotonic() - started < 20
