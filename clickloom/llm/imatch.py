@@ -1,11 +1,11 @@
 """I-Match fingerprints over randomised lexicons.
 
-The lexicon is all terms within a band of inverse document frequency, counted over all documents. PARTS randomised lexicons share
-it out, and a document's sub-fingerprint in each is the hash of its sorted distinct terms there. The lexicons are
-nested in levels, each half as dense as the one before: a document uses the level at which it keeps TERMS of its terms in
-the band or fewer, and the next, so that an edit leaves some parts untouched in long documents too. All distinct terms
-of a document are looked up in the lexicon before its level is chosen. Two fingerprints are as alike as the share of
-sub-fingerprints they have in common.
+The lexicon is all terms within a band of inverse document frequency, counted over all documents. At each level it is dealt at
+random over a number of lexicons, twice as many as at the level before, and a document's sub-fingerprint in
+each is the hash of its sorted distinct terms there. Every term in the band counts, at every level. A document uses the first level at which
+its lexicons hold TERMS of its terms or fewer on average, and the one before, with twice as many in each: so a part of the
+text can change and leave lexicons untouched, however long it is. Two fingerprints are as alike as the share of
+sub-fingerprints they have in common, at the levels both use.
 """
 
 from __future__ import annotations
@@ -24,11 +24,11 @@ from clickloom.sinks import scratch
 #: The band: terms of at least two documents, and of at most a tenth of all.
 LEAST_DOCUMENTS = 2
 MOST_SHARE = 0.1
-#: Randomised lexicons at a level, and expected terms of a document in all of them together, at most.
-PARTS = 16
-TERMS = 16
-#: A document uses a denser level where chance leaves it fewer terms than this, and has more.
-LEAST_TERMS = TERMS // 4
+#: Randomised lexicons at level 0, and terms of a document in a lexicon of its finer level, on average and at most.
+LEXICONS = 8
+TERMS = 2
+#: Hexadecimal digits of a sub-fingerprint.
+DIGITS = 6
 
 #: Terms in the band that tasks hold themselves, 8 bytes each. A larger lexicon is joined with all terms of all documents.
 HELD = 8_000_000
@@ -47,49 +47,31 @@ def terms(text: str) -> np.ndarray:
 
 
 def level_of(n: int) -> int:
-    """The least level that leaves TERMS of ``n`` terms, or fewer."""
-    return max(0, (max(1, n) - 1) // TERMS).bit_length()
+    """The coarser of the two levels of a document with ``n`` terms in the band."""
+    return max(0, ((max(1, n) - 1) // (2 * TERMS * LEXICONS)).bit_length())
 
 
-def sampled(found: np.ndarray) -> tuple[int, list[int]]:
-    """The level of a set of terms, and those of them that belong to a lexicon of that level, as signed numbers."""
-    level = level_of(len(found))
-    kept = found if level == 0 else found[found >> np.uint64(64 - level) == 0]
-    return level, kept.astype(np.int64).tolist()
+def fingerprint(found: np.ndarray, text_hash: int) -> str:
+    """The fingerprint of a document by all its terms in the band: its coarser level, and the sub-fingerprints there and at the next.
 
-
-def banded(found: np.ndarray) -> tuple[int, list[int]]:
-    """The level of a document by its terms in the band, and those of them in a lexicon of that level; none only if none are given."""
-    level, kept = sampled(found)
-    while level and len(kept) < LEAST_TERMS:
-        level -= 1
-        kept = found if level == 0 else found[found >> np.uint64(64 - level) == 0]
-        kept = kept.astype(np.int64).tolist()
-    return level, kept
-
-
-def written(found: np.ndarray, text_hash: int) -> str:
-    """The fingerprint of a document by all its terms in the band."""
-    return fingerprint(*banded(found), text_hash)
-
-
-def fingerprint(level: int, kept: list[int], text_hash: int) -> str:
-    """The sub-fingerprints at ``level`` and the next. Without terms in the band it is the hash of the whole text."""
-    if not kept:
+    Without terms in the band it is the hash of the whole text.
+    """
+    if not len(found):
         return f"text:{text_hash & 0xFFFFFFFFFFFFFFFF:016x}"
-    values = sorted(term & 0xFFFFFFFFFFFFFFFF for term in kept)
+    values = np.sort(found.astype(np.uint64))
+    level = level_of(len(values))
     written = [str(level)]
     for at in (level, level + 1):
-        parts: list[list[int]] = [[] for _ in range(PARTS)]
-        for term in values:
-            if term >> (64 - at) == 0:
-                parts[term % PARTS].append(term)
-        written.append(
-            ".".join(
-                xxhash.xxh32_hexdigest(b"".join(t.to_bytes(8, "big") for t in part)) if part else ""
-                for part in parts
-            )
-        )
+        lexicon = values % np.uint64(LEXICONS << at)
+        order = np.argsort(lexicon, kind="stable")
+        lexicon, data = lexicon[order], values[order].astype(">u8").tobytes()
+        starts = np.flatnonzero(np.diff(lexicon, prepend=lexicon[:1] + np.uint64(1)))
+        parts = [""] * (LEXICONS << at)
+        for part, start, stop in zip(
+            lexicon[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(lexicon)], strict=True
+        ):
+            parts[part] = xxhash.xxh32_hexdigest(data[8 * start : 8 * stop])[:DIGITS]
+        written.append(".".join(parts))
     return "|".join(written)
 
 
@@ -147,12 +129,12 @@ def frequencies(docs: DataFrame) -> DataFrame:
 class Lexicon:
     """Terms in the band, and those too frequent for it.
 
-    The latter are few: with MOST_SHARE of a tenth at most ten times the mean number of terms in a document. So tasks may hold
+    In a table too small for the band, the terms of LEAST_DOCUMENTS documents are in it. The latter are few: with MOST_SHARE of a tenth at most ten times the mean number of terms in a document. So tasks may hold
     them, and no frequent term is ever shuffled with the documents. Tasks also hold a band of at most HELD terms.
     """
 
     def __init__(self, docs: DataFrame, documents: int) -> None:
-        most = MOST_SHARE * documents
+        most = max(MOST_SHARE * documents, LEAST_DOCUMENTS)
         counted = scratch.written(
             frequencies(docs).filter(F.col("n") >= LEAST_DOCUMENTS), "frequencies"
         )
@@ -227,7 +209,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             found, hashed = known(terms(row["text"])), text_hash(row["text"])
             out = {"range": 0, "pos": row["pos"], "doc_id": row["doc_id"], "text_hash": hashed}
             if held:
-                out["fingerprint"] = written(found, hashed)
+                out["fingerprint"] = fingerprint(found, hashed)
             else:
                 out["terms"] = [{"term": term, "mark": 1} for term in found.astype(np.int64).tolist()]
             made.append(out)
@@ -248,6 +230,6 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         return samples.select("doc_id", "fingerprint")
     return lexicon.resolve(
         scratch.written(samples, "samples"),
-        lambda row, texts: {"doc_id": row["doc_id"], "fingerprint": written(texts[0], row["text_hash"])},
+        lambda row, texts: {"doc_id": row["doc_id"], "fingerprint": fingerprint(texts[0], row["text_hash"])},
         f"doc_id {kind}, fingerprint string",
     )

@@ -110,9 +110,9 @@ def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
         return out | {"terms": [{"term": term, "mark": mark} for term, mark in marks.items()]}
 
     def fingerprinted(row: dict, texts: list) -> dict:
-        row["fingerprint"] = imatch.written(texts[0], row["text_hash"])
+        row["fingerprint"] = imatch.fingerprint(texts[0], row["text_hash"])
         if not row["guest"]:
-            row["edited_fingerprint"] = imatch.written(texts[1], row["edited_hash"])
+            row["edited_fingerprint"] = imatch.fingerprint(texts[1], row["edited_hash"])
         return row
 
     plain = (
