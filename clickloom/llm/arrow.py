@@ -65,11 +65,13 @@ def map_groups(
     keys: list[str],
     function: Callable[[list[dict]], list[dict]],
     schema: str | StructType,
+    unique: str | None = None,
 ) -> DataFrame:
     """``function`` over the rows of each group, as a list of dicts.
 
     Like a grouped map, but thousands of small groups cost little: a task gets its groups sorted and cuts
-    them apart itself. One group is in memory at a time, so groups must be bounded.
+    them apart itself. One group is in memory at a time, so groups must be bounded. Of a group's rows with the same value in
+    the column ``unique`` only the first is held.
     """
     wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     target = to_arrow_schema(wanted)
@@ -77,6 +79,7 @@ def map_groups(
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made: list[dict] = []
         group: list[dict] = []
+        held: set = set()
         current = None
         for batch in source:
             for start in range(0, batch.num_rows, ROWS):
@@ -85,10 +88,14 @@ def map_groups(
                     if key != current:
                         if group:
                             made += function(group)
-                        group, current = [], key
+                        group, held, current = [], set(), key
                         if len(made) >= ROWS:
                             yield pa.RecordBatch.from_pylist(made, schema=target)
                             made = []
+                    if unique is not None:
+                        if row[unique] in held:
+                            continue
+                        held.add(row[unique])
                     group.append(row)
         if group:
             made += function(group)
@@ -97,3 +104,29 @@ def map_groups(
 
     importable(df.sparkSession)
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(batches, wanted)
+
+
+#: Keys a task remembers in looking for repeated rows.
+REMEMBERED = 500_000
+
+
+def without_repeats(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` without most rows whose ``keys`` an earlier row of the same task has.
+
+    A narrow step ahead of a shuffle, so that a row that is repeated many times arrives once from each task. A task remembers REMEMBERED
+    keys at a time: what must be unique in the end is still to be made so.
+    """
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
+        for batch in source:
+            fresh = []
+            for key in zip(*(batch.column(name).to_pylist() for name in keys), strict=True):
+                fresh.append(key not in seen)
+                seen.add(key)
+            yield batch.filter(pa.array(fresh, pa.bool_()))
+            if len(seen) > REMEMBERED:
+                seen.clear()
+
+    importable(df.sparkSession)
+    return df.mapInArrow(batches, df.schema)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from clickloom.llm.arrow import map_groups, map_rows
+from clickloom.llm.arrow import map_groups, map_rows, without_repeats
 from clickloom.llm.components import components
 from clickloom.sinks import scratch
 
@@ -335,8 +335,6 @@ def _verify(threshold: float):
     p, q = part.numerator, part.denominator
 
     def search(group: list[dict]) -> list[dict]:
-        # A repeated row of the documents may have brought a set twice.
-        group = list({row["digest"]: row for row in group}.values())
         if len(group) < 2:
             return []
         sets = [np.frombuffer(row["grams"], np.uint64) for row in group]
@@ -368,6 +366,8 @@ def _with_grams(docs: DataFrame, active: DataFrame, words: int) -> DataFrame:
     texts = docs.select(
         F.col("doc_id"), _text_key().alias("text_key"), F.coalesce("text", F.lit("")).alias("text")
     )
+    # Repeated rows arrive once from each task, and once in each group.
+    texts = without_repeats(texts, ["doc_id", "text_key"])
     wanted = active.withColumnRenamed("doc_id", "rep_id")
     met = texts.join(
         wanted, texts["doc_id"].eqNullSafe(wanted["rep_id"]) & (texts["text_key"] == wanted["text_key"])
@@ -432,6 +432,7 @@ def classes(
         ["leaf", "i", "j"],
         _verify(threshold),
         "digest binary, root binary, links bigint",
+        unique="digest",
     )
     linked = scratch.written(linked, "links")
     labels = components(linked.select(F.col("digest").alias("a"), F.col("root").alias("b")))
@@ -469,20 +470,29 @@ def classes(
 def one_of_each(docs: DataFrame, **parameters) -> DataFrame:
     """``docs`` with one document of each class of ``classes``: that with the smallest doc_id, all columns as they are.
 
-    Of rows alike in doc_id and text one stays.
+    Of rows alike in doc_id and text the one stays whose columns have the smallest hash, maps aside. Columns of any name come back.
     """
     found = classes(docs, **parameters)
     kept = found.groupBy("class_key").agg(F.min(F.struct("doc_id", "text_key")).alias("kept"))
     kept = scratch.written(
         kept.select(F.col("kept.doc_id").alias("__id"), F.col("kept.text_key").alias("__key")), "kept"
     )
-    keyed = docs.withColumn("__text_key", _text_key())
+    # Inside, the input's columns are called by number, and so clash with nothing.
+    names = [name.lower() for name in docs.columns]
+    numbered = docs.toDF(*(f"c{n}" for n in range(len(names))))
+    own_id, own_text = (f"c{names.index(name)}" for name in ("doc_id", "text"))
+    hashed = [f.name for f in numbered.schema if "map<" not in f.dataType.simpleString()]
+    keyed = numbered.withColumns(
+        {"__text_key": F.xxhash64(F.coalesce(own_text, F.lit(""))), "__row": F.xxhash64(*hashed)}
+    )
+    keyed = without_repeats(keyed, [own_id, "__text_key", "__row"])
     met = keyed.join(
-        kept, keyed["doc_id"].eqNullSafe(kept["__id"]) & (keyed["__text_key"] == kept["__key"])
+        kept, keyed[own_id].eqNullSafe(kept["__id"]) & (keyed["__text_key"] == kept["__key"])
     )
-    order = Window.partitionBy("__id", "__key").orderBy(F.lit(0))
+    order = Window.partitionBy("__id", "__key").orderBy("__row")
     return (
         met.withColumn("__copy", F.row_number().over(order))
         .filter("__copy = 1")
-        .select(*(F.col(f"`{name}`") for name in docs.columns))
+        .select(*numbered.columns)
+        .toDF(*docs.columns)
     )

@@ -131,3 +131,28 @@ def test_components_of_paths_and_cycles(spark):
     found = {row["node"]: row["component"] for row in components(frame).collect()}
     assert found == dict.fromkeys(range(41), 0) | dict.fromkeys((100, 101, 102), 100) | {200: 200, 300: 200}
     assert components(frame.limit(0)).collect() == []
+
+
+def test_a_third_of_all_rows_alike(spark, monkeypatch):
+    base = " ".join(f"w{n}" for n in range(60))
+    rows = [(7, base, n % 5, "x") for n in range(3000)] + [(8, base + " more", 1, "x"), (9, base, 2, "y")]
+    rows += [(100 + n, " ".join(f"v{n}x{k}" for k in range(30)), 0, "z") for n in range(3000)]
+    schema = "doc_id long, text string, n int, __id string"
+    docs = spark.createDataFrame(rows, schema).repartition(6)
+    groups = []
+    given = jaccard._with_grams
+
+    def seen(*args):
+        made = given(*args)
+        groups.append(made.groupBy("leaf", "i", "j", "digest").count().agg({"count": "max"}).first()[0])
+        return made
+
+    monkeypatch.setattr(jaccard, "_with_grams", seen)
+    found = {(r["doc_id"], r["class_id"], r["n_copies"], r["n_links"]) for r in jaccard.classes(docs).collect()}
+    assert groups[0] <= 6
+    assert found >= {(7, 7, 3001, 3001), (9, 7, 3001, 3001), (8, 7, 1, 3001), (100, 100, 1, 0)}
+    kept = jaccard.one_of_each(docs)
+    assert kept.columns == docs.columns
+    first = sorted(map(tuple, kept.collect()))
+    assert len(first) == 3001 and first[0][:2] == (7, base)
+    assert sorted(map(tuple, jaccard.one_of_each(docs.repartition(3)).collect())) == first
