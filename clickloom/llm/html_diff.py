@@ -12,10 +12,11 @@ from __future__ import annotations
 
 import json
 import os
-from bisect import bisect_left, bisect_right
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -44,30 +45,54 @@ def keys_of(page: list[Line]) -> list[int]:
     return keys
 
 
+def _lengths(one: list[int], other: list[int]) -> np.ndarray:
+    """Length of a longest common subsequence of ``one`` and every start of ``other``, by bits of one long number."""
+    places: dict[int, int] = {}
+    for n, key in enumerate(other):
+        places[key] = places.get(key, 0) | 1 << n
+    full = (1 << len(other)) - 1
+    unmatched = full
+    for key in one:
+        if hits := places.get(key, 0):
+            found = unmatched & hits
+            unmatched = (unmatched + found | unmatched - found) & full
+    data = (full ^ unmatched).to_bytes(len(other) // 8 + 1, "little")
+    bits = np.unpackbits(np.frombuffer(data, np.uint8), bitorder="little")[: len(other)]
+    return np.concatenate([[0], np.cumsum(bits, dtype=np.int64)])
+
+
 def shared(one: list[int], other: list[int]) -> set[int]:
     """Indices in ``one`` of a longest common subsequence with ``other``.
 
-    By the longest increasing run of matching places, so that lines without a match cost nothing.
+    Equal lines at both ends are taken off, lines the other side lacks cost nothing, and the rest is halved until it is
+    trivial: memory is linear, and time a small part of a second for thousands of equal lines.
     """
-    places: dict[int, list[int]] = {}
-    for n, key in enumerate(other):
-        places.setdefault(key, []).append(n)
-    ends: list[int] = []  # the least place in ``other`` at which a run of each length ends
-    links: list[tuple[int, tuple | None]] = []  # that run: its last index in ``one`` and the run before
-    for n, key in enumerate(one):
-        for place in reversed(places.get(key, ())):
-            at = bisect_left(ends, place)
-            link = (n, links[at - 1] if at else None)
-            if at == len(ends):
-                ends.append(place)
-                links.append(link)
-            else:
-                ends[at], links[at] = place, link
+    there, here = set(other), set(one)
+    first = [(n, key) for n, key in enumerate(one) if key in there]
     found: set[int] = set()
-    run = links[-1] if links else None
-    while run:
-        found.add(run[0])
-        run = run[1]
+    waiting = [(first, [key for key in other if key in here])]
+    while waiting:
+        left, right = waiting.pop()
+        start, stop, end = 0, len(left), len(right)
+        while start < min(stop, end) and left[start][1] == right[start]:
+            found.add(left[start][0])
+            start += 1
+        while stop > start and end > start and left[stop - 1][1] == right[end - 1]:
+            stop, end = stop - 1, end - 1
+            found.add(left[stop][0])
+        left, right = left[start:stop], right[start:end]
+        if not left or not right:
+            continue
+        if len(left) == 1:
+            if left[0][1] in right:
+                found.add(left[0][0])
+            continue
+        half = len(left) // 2
+        keys = [key for _, key in left]
+        ahead = _lengths(keys[:half], right)
+        behind = _lengths(keys[half:][::-1], right[::-1])[::-1]
+        cut = int(np.argmax(ahead + behind))
+        waiting += [(left[:half], right[:cut]), (left[half:], right[cut:])]
     return found
 
 

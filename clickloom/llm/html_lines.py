@@ -20,6 +20,8 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 OPAQUE = set(
     "audio button canvas datalist iframe math noscript object script select style svg template textarea title video".split()
 )
+#: Of these, those whose content is never markup: without an end tag they take the rest of the page. Others then end at the next block.
+RAW = set("iframe noscript script style textarea title".split())
 FURNITURE_ELEMENTS = set("aside dialog footer form header menu nav".split())
 FURNITURE_ROLES = set("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 FURNITURE_NAMES = set(
@@ -36,6 +38,7 @@ _TAG = re.compile(
     r"|[a-zA-Z/!?][^>]*(?:>|\Z))",
     re.DOTALL,
 )
+_BLOCK = re.compile(rf"</?(?:{'|'.join(sorted(BLOCKS | {'article', 'main', 'p'}))})(?=[\s/>])", re.IGNORECASE)
 _NAMES = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.IGNORECASE)
 _WORDS = re.compile(r"[a-z]+")
 
@@ -71,8 +74,16 @@ def lines(page: str) -> list[Line]:
     pieces: list[str] = []
     #: Open elements: name, part, slot.
     stack: list[tuple[str, int, str]] = []
+    #: Where each name stands in it, so that a closing tag need not look for its element.
+    open_at: dict[str, list[int]] = {}
+    #: Names without a closing tag in what is left of the page.
+    unclosed: set[str] = set()
     part, slot = ANYWHERE, ""
 
+    def close_to(depth: int) -> None:
+        while len(stack) > depth:
+            open_at[stack.pop()[0]].pop()
+
     def end_line() -> None:
         if pieces:
             text = "".join(pieces)
@@ -97,10 +108,9 @@ def lines(page: str) -> list[Line]:
         if found["close"]:
             if name in BLOCKS:
                 end_line()
-            depth = next((n for n in range(len(stack) - 1, -1, -1) if stack[n][0] == name), None)
-            if depth is not None:
+            if open_at.get(name):
                 end_line()
-                del stack[depth:]
+                close_to(open_at[name][-1])
                 _, part, slot = stack[-1] if stack else ("", ANYWHERE, "")
             continue
         if name in OPAQUE or name == "head":
@@ -108,13 +118,20 @@ def lines(page: str) -> list[Line]:
                 end_line()
             if not found["rest"].endswith("/"):
                 end = r"<body\b|</head\s*>" if name == "head" else rf"</{re.escape(name)}\s*>"
-                closing = re.compile(end, re.IGNORECASE).search(page, place)
-                place = size if closing is None else closing.start() if name == "head" else closing.end()
+                closing = None if name in unclosed else re.compile(end, re.IGNORECASE).search(page, place)
+                if closing is not None:
+                    place = closing.start() if name == "head" else closing.end()
+                elif name in RAW or name == "head":
+                    place = size
+                else:
+                    unclosed.add(name)
+                    block = _BLOCK.search(page, place)
+                    place = size if block is None else block.start()
             continue
         if name in BLOCKS:
             end_line()
             while stack and stack[-1][0] == "p":
-                stack.pop()
+                close_to(len(stack) - 1)
                 _, part, slot = stack[-1] if stack else ("", ANYWHERE, "")
         if name in VOID:
             continue
@@ -133,6 +150,7 @@ def lines(page: str) -> list[Line]:
                 new = (name, ARTICLE, "")
         if new[1:] != (part, slot):
             end_line()
+        open_at.setdefault(name, []).append(len(stack))
         stack.append(new)
         _, part, slot = new
     end_line()

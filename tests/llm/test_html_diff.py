@@ -1,7 +1,9 @@
 """Main text: the article of every page, and differencing itself."""
 
 import html
+import random
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -107,3 +109,44 @@ def test_shared_lines_are_a_longest_common_subsequence(a, b):
 @given(st.text(alphabet=st.sampled_from("<>/!-ap \"'=&;x\n"), max_size=60))
 def test_any_markup_ends(page):
     assert all(line.text == " ".join(line.text.split()) != "" for line in html_lines.lines(page))
+
+
+def _longest(one, other):
+    row = [0] * (len(other) + 1)
+    for x in one:
+        before = row
+        row = [0]
+        for j, y in enumerate(other):
+            row.append(before[j] + 1 if x == y else max(before[j + 1], row[j]))
+    return row[-1]
+
+
+def test_alignment_is_longest():
+    draw = random.Random(1)
+    for _ in range(500):
+        one = [draw.randrange(5) for _ in range(draw.randrange(30))]
+        other = [draw.randrange(6) for _ in range(draw.randrange(30))]
+        found = sorted(html_diff.shared(one, other))
+        assert len(found) == _longest(one, other)
+        rest = iter(other)
+        assert all(one[n] in rest for n in found)
+
+
+def test_thousands_of_equal_lines_and_deep_nesting_take_seconds():
+    started = time.monotonic()
+    assert len(html_diff.shared([1] * 20_000, [1] * 20_000)) == 20_000
+    assert len(html_diff.shared([1, 2] * 10_000, [2, 2, 1] * 10_000)) >= 10_000
+    assert [line.text for line in html_lines.lines("<div>" * 50_000 + "x" + "</div>" * 50_000)] == ["x"]
+    html_lines.lines("<div>" * 50_000 + "x" + "</span>" * 50_000)
+    html_lines.lines("<p><button>a" * 50_000)
+    assert time.monotonic() - started < 20
+
+
+def test_elements_without_an_end_tag():
+    def texts(page):
+        return [line.text for line in html_lines.lines(page)]
+
+    assert texts("<button>go<article><p>The story</p></article>") == ["The story"]
+    assert texts("<div><video src=x>no video</div><p>after</p>") == ["after"]
+    assert texts("<object>a<object>b</object>c<p>d") == ["c", "d"]
+    assert texts("<p>before<script>var x = '<p>no</p>'") == ["before"]
