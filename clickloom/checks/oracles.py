@@ -426,6 +426,26 @@ def all_sql() -> dict[str, str]:
             "v.conversion_delay_sec FROM impressions i "
             "LEFT JOIN clicks c USING (event_id) LEFT JOIN conversions v USING (event_id)",
         ),
+        "stream_gaps": _with(
+            _AD_EVENTS,
+            "SELECT event_id, uid, timestamp, timestamp - lag(timestamp) OVER "
+            "(PARTITION BY uid ORDER BY timestamp, event_id) AS gap_sec FROM ad",
+        ),
+        "stream_from_offsets": _with(
+            _AD_EVENTS
+            + """,
+  sent AS (
+    SELECT event_id, CAST(n % 3 AS INTEGER) AS kafka_partition, n // 3 AS kafka_offset,
+           timestamp < epoch(DATE '2024-01-25') AS early
+    FROM ad
+  )""",
+            "SELECT 'earliest' AS start, event_id, kafka_partition, kafka_offset FROM sent "
+            "UNION ALL SELECT 'offsets', event_id, kafka_partition, kafka_offset FROM sent "
+            "WHERE kafka_offset >= CASE kafka_partition WHEN 0 THEN 100 WHEN 2 THEN 250 ELSE 0 END "
+            "UNION ALL SELECT 'latest', s.event_id, s.kafka_partition, s.kafka_offset FROM sent s JOIN "
+            "(SELECT kafka_partition, max(kafka_offset) FILTER (early) AS last FROM sent GROUP BY kafka_partition) e "
+            "ON s.kafka_partition = e.kafka_partition AND NOT s.early AND s.kafka_offset > coalesce(e.last, -1)",
+        ),
         "stream_gold": _with(_MOVED, _summary(_grouped("moved"))),
         "stream_gold_out_of_order": _with(_MOVED, _summary(_grouped("moved"))),
         "merge_hashed_keys": _with(

@@ -21,8 +21,9 @@ from clickloom.plans import compact, event_table, gold, prepare, silver
 from clickloom.sinks import files as sink_files
 from clickloom.sinks import messages as message_sink
 from clickloom.sinks import scratch, tables
-from clickloom.sources import files, streams
+from clickloom.sources import files, segments, streams
 from clickloom.streaming import counters, ingest, relink
+from clickloom.streaming import gaps as streaming_gaps
 from clickloom.streaming import gold as streaming_gold
 
 # The tables cover January 2024. The first load sees it up to FIRST_LOAD, and
@@ -670,6 +671,40 @@ def stream_relink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(spark.read.parquet(linked))
 
 
+def stream_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gaps on a stream in two deliveries, each in no order, and a last event far ahead, of a user with no other."""
+    events = event_table.ad_events(spark, sf_dir)
+    last = events.groupBy().agg((F.max("timestamp") + 90 * 86_400).alias("timestamp"))
+    blank = {name: F.lit(None).cast(events.schema[name].dataType) for name in events.columns if name != "timestamp"}
+    closing = last.withColumns(blank | {"event_id": F.lit("evt_00000000"), "uid": F.lit("last")}).select(events.columns)
+    known = F.col("timestamp") < F.unix_timestamp(F.lit(FIRST_LOAD).cast("timestamp"))
+    source, found, checkpoint = (scratch.new_path(spark, x) for x in ("topic", "gaps", "offsets"))
+    for delivery in (events.filter(known), events.filter(~known), closing):
+        message_sink.publish_files(event_table.as_messages(delivery).orderBy(F.xxhash64("value")), source)
+        rows = streaming_gaps.with_gap(ingest.parse(streams.file_messages(spark, source)))
+        ingest.run_for(ingest.land(rows, found, checkpoint, partition_by=(), available_now=True))
+    return _plain(spark.read.parquet(found))
+
+
+def stream_from_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streams over one topic from its beginning, from given offsets and from its end, each run before and after the later days arrive."""
+    topic = scratch.new_path(spark, "topic")
+    messages = event_table.messages(spark, sf_dir)
+    first_load = F.lit(FIRST_LOAD).cast("timestamp")
+    starts = {"earliest": "earliest", "offsets": {0: 100, 2: 250}, "latest": "latest"}
+    places = {name: (scratch.new_path(spark, "raw"), scratch.new_path(spark, "offsets")) for name in starts}
+    # Each part of the topic is one delivery with the offsets that follow the last one's.
+    for known in (True, False):
+        early = F.col("timestamp") < first_load
+        segments.publish(messages.filter(early if known else ~early), topic, span=200)
+        for name, (raw, checkpoint) in places.items():
+            stream = segments.messages(spark, topic, starts[name], checkpoint, span=200)
+            ingest.run_for(ingest.land(ingest.to_raw(stream), raw, checkpoint, available_now=True))
+    found = [files.read_raw(spark, raw).withColumn("start", F.lit(name)) for name, (raw, _) in places.items()]
+    rows = found[0].unionByName(found[1]).unionByName(found[2])
+    return rows.select("start", "event_id", "kafka_partition", "kafka_offset")
+
+
 def _moving_messages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """All events, and every seventh again, sent later, with another campaign and a day on."""
     events = event_table.ad_events(spark, sf_dir)
@@ -809,6 +844,8 @@ ALL: dict[str, Query] = {
         stream_deduplicated,
         stream_counters,
         stream_relink,
+        stream_gaps,
+        stream_from_offsets,
         stream_gold,
         stream_gold_out_of_order,
         merge_hashed_keys,

@@ -20,6 +20,12 @@ def delete(spark: SparkSession, path: str) -> None:
     file_system.delete(hadoop_path, True)
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What lies directly in a folder, in order."""
+    file_system, hadoop_path = _resolve(spark, path)
+    return sorted(status.getPath().getName() for status in file_system.listStatus(hadoop_path))
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file written from the driver; an existing one is replaced."""
     file_system, hadoop_path = _resolve(spark, path)

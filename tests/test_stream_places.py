@@ -1,0 +1,140 @@
+"""Gaps on a stream, and streams that start at an offset."""
+
+import os
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from clickloom.operators import gaps as batch_gaps
+from clickloom.sources import files, segments, streams
+from clickloom.streaming import gaps, ingest
+from tests.test_streaming import deliver, event, message
+
+START = 1_704_067_200
+
+
+def _sent(at):
+    return f"2024-01-{1 + at // 86_400:02d}T{at // 3600 % 24:02d}:{at // 60 % 60:02d}:{at % 60:02d}Z"
+
+
+def gap_rows(spark, folder):
+    rows = gaps.with_gap(ingest.parse(streams.file_messages(spark, f"{folder}/topic")), late="1 hour")
+    query = ingest.land(rows, f"{folder}/gaps", f"{folder}/checkpoint", partition_by=(), available_now=True)
+    ingest.run_for(query)
+    return spark.read.parquet(f"{folder}/gaps").collect(), query
+
+
+def test_gaps_of_shuffled_batches(spark, folder):
+    draw = random.Random(4)
+    events = [(f"e{n}", draw.choice(["a", "b", "c", None]), draw.randrange(40_000)) for n in range(300)]
+    for start in range(0, 40_000, 10_000):
+        some = [e for e in events if start <= e[2] < start + 10_000]
+        draw.shuffle(some)
+        lines = [message(0, event(name, uid=uid, timestamp=START + at), _sent(at)) for name, uid, at in some]
+        deliver(folder, f"from{start}", *lines)
+        found, _ = gap_rows(spark, folder)
+        assert len(found) < len(events)
+    deliver(folder, "last", message(0, event("last", uid="z", timestamp=START + 80_000), _sent(80_000)))
+    found, query = gap_rows(spark, folder)
+    rows = spark.createDataFrame([(n, u, START + at) for n, u, at in events], "event_id string, uid string, timestamp long")
+    expected = batch_gaps.with_gap(rows).collect()
+    assert sorted(map(repr, ((r.event_id, r.uid, r.timestamp, r.gap_sec) for r in found))) == sorted(
+        map(repr, ((r.event_id, r.uid, r.timestamp, r.gap_sec) for r in expected))
+    )
+    assert query.lastProgress.stateOperators[0].numRowsTotal == 5
+
+
+def test_late_and_absurd_events_leave_the_gaps_alone(spark, folder):
+    deliver(folder, "one", *(message(0, event(f"a{at}", uid="u", timestamp=START + at), _sent(at)) for at in (0, 100, 20_000)))
+    gap_rows(spark, folder)
+    far = START + 10**9
+    deliver(
+        folder, "two",
+        message(0, event("late", uid="u", timestamp=START + 50), _sent(20_001)),
+        message(0, event("far", uid="u", timestamp=far), _sent(20_001)),
+        message(0, event("never", uid="u", timestamp=None), _sent(20_001)),
+        message(0, "bad", _sent(20_001)),
+        message(0, event("b", uid="u", timestamp=START + 20_060), _sent(20_060)),
+    )
+    deliver(folder, "last", message(0, event("last", uid="z", timestamp=START + 80_000), _sent(80_000)))
+    found, _ = gap_rows(spark, folder)
+    assert {r.event_id: r.gap_sec for r in found} == {"a0": None, "a100": 100, "a20000": 19_900, "b": 60}
+
+
+def _messages(spark, rows):
+    given = spark.createDataFrame(rows, "partition int, offset long, value string")
+    return given.select(
+        F.lit("k").alias("key"), "value", F.lit("t").alias("topic"), "partition", "offset",
+        F.lit("2024-01-02 03:04:05").cast("timestamp").alias("timestamp"),
+    )
+
+
+def _run(spark, folder, start, name):
+    stream = segments.messages(spark, f"{folder}/topic", start, f"{folder}/{name}-offsets", span=10)
+    query = ingest.land(ingest.to_raw(stream), f"{folder}/{name}", f"{folder}/{name}-offsets", available_now=True)
+    ingest.run_for(query)
+    rows = files.read_raw(spark, f"{folder}/{name}").collect()
+    return sorted((r.kafka_partition, r.kafka_offset) for r in rows)
+
+
+def test_starts_and_restarts(spark, folder):
+    first = [(p, o, event(f"{p}-{o}")) for p in (0, 1, 12) for o in range(25)]
+    segments.publish(_messages(spark, first), f"{folder}/topic", span=10)
+    everything = [(p, o) for p, o, _ in first]
+    assert _run(spark, folder, "earliest", "all") == everything
+    chosen = [(p, o) for p, o in everything if o >= {0: 7, 1: 20}.get(p, 0)]
+    assert _run(spark, folder, {0: 7, 1: 20}, "some") == chosen
+    assert _run(spark, folder, "latest", "new") == []
+    more = [(p, o, event(f"{p}-{o}")) for p in (0, 1, 2, 12) for o in range(25, 31)]
+    segments.publish(_messages(spark, more), f"{folder}/topic", span=10)
+    added = [(p, o) for p, o, _ in more]
+    assert _run(spark, folder, "earliest", "all") == sorted(everything + added)
+    # A restart goes on where it was, whatever start it is given now.
+    assert _run(spark, folder, "latest", "some") == sorted(chosen + added)
+    assert _run(spark, folder, "latest", "new") == added
+    assert _run(spark, folder, "latest", "new") == added
+    assert segments.ends(spark, f"{folder}/topic") == {0: 31, 1: 31, 2: 31, 12: 31}
+
+
+def test_earlier_segments_are_not_listed(spark, folder):
+    segments.publish(_messages(spark, [(0, o, event(f"{o}")) for o in range(100)]), f"{folder}/topic", span=10)
+    stream = segments.messages(spark, f"{folder}/topic", {0: 75}, span=10)
+    query = ingest.land(ingest.to_raw(stream), f"{folder}/raw", f"{folder}/offsets", available_now=True)
+    ingest.run_for(query)
+    sources = "".join(
+        open(os.path.join(path, name)).read()
+        for path, _, names in os.walk(f"{folder}/offsets/sources") for name in names if not name.endswith(".crc")
+    )
+    read = {int(s) for s in re.findall(r"segment=(\d+)", sources)}
+    assert read == {70, 80, 90}
+    assert files.read_raw(spark, f"{folder}/raw").count() == 25
+
+
+def test_odd_starts(spark, folder):
+    assert segments.ends(spark, f"{folder}/nothing") == {}
+    with pytest.raises(ValueError):
+        segments.messages(spark, folder, "latest")
+    with pytest.raises(ValueError):
+        segments.starting(spark, folder, "middle", f"{folder}/checkpoint")
+    with pytest.raises(Exception, match="below 0"):
+        segments.publish(_messages(spark, [(0, -1, "x")]), f"{folder}/topic")
+
+
+@pytest.mark.parametrize("start", [0, 7, 10, 95, 1000, 12_345, 10**18])
+def test_patterns_are_exactly_the_later_segments(start):
+    patterns = [re.compile("^" + p.replace("?", "[0-9]") + "$") for p in segments.from_segment(start, 10)]
+    draw = random.Random(start)
+    for _ in range(2000):
+        first = draw.choice([start + draw.randrange(-100, 100), draw.randrange(10 ** draw.randrange(1, 19))]) // 10 * 10
+        if first >= 0:
+            name = str(first).zfill(19)
+            assert sum(bool(p.match(name)) for p in patterns) == (first >= start // 10 * 10)
+
+
+@pytest.mark.parametrize("named", [{0: 1}, {0: 1, 1: 1, 12: 5}, {7: 0, 10: 0, 11: 0, 19: 0, 120: 0}])
+def test_other_partitions(named):
+    patterns = [re.compile("^" + p.replace("*", "[0-9]*") + "$") for p in segments._other_numbers(named)]
+    for number in range(2000):
+        assert sum(bool(p.match(str(number))) for p in patterns) == (number not in named)
