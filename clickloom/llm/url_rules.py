@@ -100,6 +100,23 @@ def _bounds(keys: DataFrame, ranges: int) -> list[str]:
     return sorted({drawn[len(drawn) * n // ranges] for n in range(1, ranges)}) if drawn else []
 
 
+def keyed(pages: DataFrame) -> DataFrame:
+    """page_id, host, path, the key of the host, and the key by which rows are cut into ranges, which none share."""
+    urls = pages.select(
+        "page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")
+    ).withColumn("key", host_key(F.col("host")))
+    return urls.withColumn(
+        "sort_key",
+        F.concat_ws(
+            "\0",
+            "key",
+            "path",
+            F.coalesce(F.col("page_id").cast("string"), F.lit("")),
+            F.lpad(F.hex(F.xxhash64(F.monotonically_increasing_id())), 16, "0"),
+        ),
+    )
+
+
 def judge(
     pages: DataFrame, rules: DataFrame, default: str = "allow", ranges: int | None = None
 ) -> DataFrame:
@@ -109,19 +126,14 @@ def judge(
     own; of those that fit the one with the longest host and path together wins, then the one with the longer host;
     where one host and path has both verdicts, block wins. Rules with a null count as absent. Without a rule
     ``rule`` is null and the verdict ``default``. A null URL, or one without ``://``, has an empty host and path. Repeated rows are judged
-    one by one; other columns are not read. A frequent host is cut between its paths and page ids. A rule reaches
+    one by one; other columns are not read. A frequent host is cut between its paths and page ids, and rows alike in all of them
+    by a number of their own. A rule reaches
     each range its interval meets: its own, and of the broader ones at most one chain of parents a range.
     """
     importable(pages.sparkSession)
     ranges = ranges or int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kind = pages.schema["page_id"].dataType.simpleString()
-    urls = pages.select(
-        "page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")
-    ).withColumn("key", host_key(F.col("host")))
-    urls = urls.withColumn(
-        "sort_key",
-        F.concat_ws("\0", "key", "path", F.coalesce(F.col("page_id").cast("string"), F.lit(""))),
-    )
+    urls = keyed(pages)
     bounds = _bounds(urls, ranges)
 
     @F.pandas_udf("int")

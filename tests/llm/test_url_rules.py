@@ -1,8 +1,12 @@
 """URL rules against trying every rule."""
 
 import random
+from bisect import bisect_right
+from collections import Counter
 
-from clickloom.llm import url_rules
+from pyspark.sql import functions as F
+
+from clickloom.llm import queries, url_rules
 
 
 def _host_path(url):
@@ -67,3 +71,16 @@ def test_sweep_leaves_closed_hosts():
     assert [pair and pair[1] for pair in url_rules.sweep(urls, rules)] == [
         "block", "allow", "allow", "block", "allow", None,
     ]
+
+
+def test_copies_of_one_page_are_spread(spark):
+    rows = [(7, "http://example.net/en/a")] * 3000 + [(n, f"http://h{n % 9}.org/fr/{n}") for n in range(250)]
+    pages = spark.createDataFrame(rows, "page_id long, url string").repartition(5)
+    rules = spark.createDataFrame(queries.RULES, "host string, path string, verdict string")
+    found = url_rules.judge(pages, rules, ranges=8)
+    verdicts = Counter((r["page_id"] == 7, r["rule"], r["verdict"]) for r in found.collect())
+    assert verdicts == {(True, "example.net/en/", "allow"): 3000, (False, "org/fr/", "allow"): 250}
+    sort_keys = url_rules.keyed(pages)
+    bounds = url_rules._bounds(sort_keys, 8)
+    held = Counter(bisect_right(bounds, r["sort_key"]) for r in sort_keys.collect())
+    assert len(held) == 8 and max(held.values()) < 1000
