@@ -4,21 +4,25 @@ Vectors are lengthened by one component so that all of a shard have the same nor
 the one with the largest inner product. A shard's graph is built in batches that double in size: greedy beam
 searches in the graph so far propose neighbours, and relaxed pruning keeps a neighbour only if no kept one is
 nearer to it by the factor ALPHA, which leaves short and long edges in diverse directions. A query searches every shard
-by a beam, and the shards' best are merged by their exact inner products. Queries travel in blocks.
+by a beam, and the shards' best are merged by their exact inner products. Queries travel in blocks, to tasks that hold one graph at a time.
 
 Equal vectors are one node with the ids that can matter: the k + 1 smallest.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
-from clickloom.llm.arrow import map_groups, map_rows
+from clickloom.llm.arrow import importable, map_groups
 from clickloom.sinks import scratch
 
 #: Vectors in a shard, on average.
@@ -221,15 +225,29 @@ def index(vectors: DataFrame, k: int) -> tuple[DataFrame, int]:
     return scratch.written(made, "graphs"), shards
 
 
-def _blocks(queries: DataFrame, shards: int) -> DataFrame:
-    """Queries in blocks of about QUERIES, each block once for every shard."""
+def _visits(queries: DataFrame, graphs: DataFrame, shards: int) -> DataFrame:
+    """Graphs and blocks of about QUERIES queries, laid out so that a task meets each graph once, and after it its blocks.
+
+    Where there are fewer shards than tasks, a shard's blocks are dealt over several, each with a copy of the graph.
+    """
+    spark = queries.sparkSession
+    slices = max(1, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // shards))
     blocks = max(1, -(-queries.count() // QUERIES))
-    return (
+
+    def each(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    asked = (
         queries.withColumn("dim", F.size("v"))
-        .groupBy("dim", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block"))
+        .groupBy("dim", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"))
         .agg(F.collect_list(F.struct("vec_id", "v")).alias("queries"))
-        .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+        .withColumn("slice", F.pmod("block", F.lit(slices)))
+        .withColumn("shard", each(shards))
     )
+    held = graphs.withColumn("slice", each(slices)).withColumn("block", F.lit(-1))
+    both = held.unionByName(asked, allowMissingColumns=True)
+    keys = ["dim", "shard", "slice"]
+    return both.repartition(*keys).sortWithinPartitions(*keys, "block")
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, beam: int = SEARCH_BEAM) -> DataFrame:
@@ -237,40 +255,51 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, beam: int = SEA
 
     Both tables have vec_id and embedding. Rows with a null vec_id, and vectors that are null or zero or hold a null or a
     non-finite component, take no part. Vectors of different lengths are never compared. A query's own vec_id is no candidate;
-    repeated rows are one. Equal scores are ordered by vec_id. The score is the inner product in double precision.
+    repeated rows are one. Of several vectors of one query id the smallest, compared number by number, is searched for; as
+    candidates all of them count. Equal scores are ordered by vec_id. The score is the inner product in double precision.
     """
     graphs, shards = index(valid(vectors), k)
-    asked = scratch.written(valid(queries).dropDuplicates(["vec_id"]), "queries")
-    pairs = _blocks(asked, shards).join(graphs, ["dim", "shard"])
+    asked = scratch.written(valid(queries).groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
+    schema = T.StructType.fromDDL("query_id bigint, vec_id bigint, score double")
+    target = to_arrow_schema(schema)
 
-    def search(slice_: list[dict]) -> list[dict]:
+    def search(row: dict, graph: Graph, points: np.ndarray, ids: list[list[int]]) -> list[dict]:
         made = []
-        for row in slice_:
-            points = np.frombuffer(row["vectors"]).reshape(row["n"], row["dim"])
-            neighbours = np.frombuffer(row["neighbours"], "i4").astype(np.int64).reshape(-1, DEGREE)
-            graph = Graph(lengthened(points), neighbours, row["start"])
-            wanted = np.array([q["v"] for q in row["queries"]])
-            flat = np.hstack([wanted, np.zeros((len(wanted), 1))]).astype(np.float32)
-            found, _ = graph.search(flat, min(row["n"], max(beam, k + 1)))
-            for q, vector, nodes in zip(row["queries"], wanted, found, strict=True):
-                nodes = nodes[nodes >= 0]
-                scores = (points[nodes] * vector).sum(1)
-                best = [
-                    (-score, number)
-                    for node, score in zip(nodes.tolist(), scores.tolist(), strict=True)
-                    for number in row["ids"][node]
-                    if number != q["vec_id"]
-                ]
-                best.sort()
-                made += [
-                    {"query_id": q["vec_id"], "vec_id": number, "score": -score}
-                    for score, number in best[:k]
-                ]
+        wanted = np.array([q["v"] for q in row["queries"]])
+        flat = np.hstack([wanted, np.zeros((len(wanted), 1))]).astype(np.float32)
+        found, _ = graph.search(flat, min(len(points), max(beam, k + 1)))
+        for q, vector, nodes in zip(row["queries"], wanted, found, strict=True):
+            nodes = nodes[nodes >= 0]
+            scores = (points[nodes] * vector).sum(1)
+            best = [
+                (-score, number)
+                for node, score in zip(nodes.tolist(), scores.tolist(), strict=True)
+                for number in ids[node]
+                if number != q["vec_id"]
+            ]
+            best.sort()
+            made += [{"query_id": q["vec_id"], "vec_id": number, "score": -score} for score, number in best[:k]]
         return made
 
+    def batches(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in given:
+            for n in range(batch.num_rows):
+                row = batch.slice(n, 1).to_pylist()[0]
+                place = row["dim"], row["shard"], row["slice"]
+                if row["block"] < 0:
+                    points = np.frombuffer(row["vectors"]).reshape(row["n"], row["dim"])
+                    neighbours = np.frombuffer(row["neighbours"], "i4").astype(np.int64).reshape(-1, DEGREE)
+                    held = place, Graph(lengthened(points), neighbours, row["start"]), points, row["ids"]
+                # A shard may hold no vector of a query's length.
+                elif held is not None and held[0] == place and (made := search(row, *held[1:])):
+                    yield pa.RecordBatch.from_pylist(made, schema=target)
+
+    importable(vectors.sparkSession)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
-        map_rows(pairs, search, "query_id bigint, vec_id bigint, score double", rows=1)
+        _visits(asked, graphs, shards)
+        .mapInArrow(batches, schema)
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
