@@ -3,6 +3,7 @@
     python -m clickloom ingest --bootstrap-servers host:9092 --raw-path R --checkpoint-path C
     python -m clickloom silver --raw-path R --base-path B
     python -m clickloom gold --base-path B
+    python -m clickloom stream-gold --bootstrap-servers host:9092 --base-path B --checkpoint-path C
 """
 
 from __future__ import annotations
@@ -15,13 +16,14 @@ from pyspark.sql import functions as F
 from clickloom import schemas, session
 from clickloom.operators import health
 from clickloom.operators.attribution_log import BASE_DATETIME
-from clickloom.operators.fanout import observed, split
+from clickloom.operators.fanout import KINDS, observed, split
 from clickloom.operators.stats import for_display
 from clickloom.plans import compact, gold, prepare, silver
 from clickloom.sinks import messages as message_sink
 from clickloom.sinks import scratch, tables
-from clickloom.sources import files, streams
-from clickloom.streaming import ingest
+from clickloom.sources import files, segments, streams
+from clickloom.streaming import gold as streaming_gold
+from clickloom.streaming import ingest, relink
 
 
 def _table_options(parser: argparse.ArgumentParser) -> None:
@@ -60,23 +62,25 @@ def _parser() -> argparse.ArgumentParser:
     jobs = parser.add_subparsers(dest="job", required=True)
 
     job = jobs.add_parser("ingest", help="message topic to raw files")
-    job.add_argument("--bootstrap-servers", default="localhost:9092")
-    job.add_argument("--topic", default=schemas.TOPICS["ad_event"])
-    job.add_argument("--starting-offsets", default="earliest")
-    job.add_argument(
-        "--source-option",
-        action="append",
-        default=[],
-        metavar="KEY=VALUE",
-        help="such as maxOffsetsPerTrigger=1000000",
-    )
-    job.add_argument("--messages-path", help="read message files from here instead of a broker")
+    _source_options(job)
     job.add_argument("--raw-path", required=True)
-    job.add_argument("--checkpoint-path", required=True)
     job.add_argument("--output-format", choices=["parquet", "json"], default="parquet")
-    job.add_argument("--interval", help="time between batches, such as '5 minutes'")
-    job.add_argument("--available-now", action="store_true")
-    job.add_argument("--duration-sec", type=float)
+    job.add_argument("--once-within", metavar="TIME", help="land a message once, if its copy comes within such as '1 day'")
+    job.add_argument("--once-by", choices=["content", "position"], default="content")
+
+    job = jobs.add_parser("stream-gold", help="message topic to processed_events and campaign_summary")
+    _source_options(job)
+    job.add_argument("--within-days", type=int, help="an event's date never moves further")
+    job.add_argument("--processed-table", default="versioned_events")
+    job.add_argument("--summary-table", default="campaign_summary")
+    job.add_argument("--base-path", required=True)
+
+    job = jobs.add_parser("relink", help="impression, click and conversion topics to linked rows")
+    _source_options(job, topic=False)
+    job.add_argument("--output-path", required=True)
+    job.add_argument("--click-within", default=relink.CLICK_WITHIN)
+    job.add_argument("--convert-within", default=relink.CONVERT_WITHIN)
+    job.add_argument("--late", default=relink.LATE)
 
     job = jobs.add_parser("smoke", help="rate source to parquet files")
     job.add_argument("--output-path", required=True)
@@ -148,6 +152,31 @@ def _parser() -> argparse.ArgumentParser:
     return parser
 
 
+def _source_options(job, topic: bool = True) -> None:
+    job.add_argument("--bootstrap-servers", default="localhost:9092")
+    if topic:
+        job.add_argument("--topic", default=schemas.TOPICS["ad_event"])
+    job.add_argument("--starting-offsets", default="earliest")
+    job.add_argument(
+        "--source-option",
+        action="append",
+        default=[],
+        metavar="KEY=VALUE",
+        help="such as maxOffsetsPerTrigger=1000000",
+    )
+    job.add_argument("--messages-path", help="read message files from here instead of a broker")
+    if topic:
+        job.add_argument(
+            "--by-position",
+            action="store_true",
+            help="the message files lie in folders by position; starting offsets may then be latest or such as 0:100,2:250",
+        )
+    job.add_argument("--checkpoint-path", required=True)
+    job.add_argument("--interval", help="time between batches, such as '5 minutes'")
+    job.add_argument("--available-now", action="store_true")
+    job.add_argument("--duration-sec", type=float)
+
+
 def _pairs(items: list[str]) -> dict[str, str]:
     return dict(item.split("=", 1) for item in items)
 
@@ -182,14 +211,22 @@ def main(argv: list[str] | None = None) -> None:
         scratch.clear(spark)
 
 
-def _ingest(spark, args) -> None:
+def _source(spark, args, topic: str, folder: str = ""):
     options = _pairs(args.source_option)
-    if args.messages_path:
-        source = streams.file_messages(spark, args.messages_path, options=options)
-    else:
-        source = streams.kafka_messages(
-            spark, args.bootstrap_servers, args.topic, args.starting_offsets, options
-        )
+    if not args.messages_path:
+        return streams.kafka_messages(spark, args.bootstrap_servers, topic, args.starting_offsets, options)
+    if getattr(args, "by_position", False):
+        start = args.starting_offsets
+        if ":" in start:
+            start = {int(p): int(offset) for p, offset in (pair.split(":") for pair in start.split(","))}
+        return segments.messages(spark, args.messages_path, start, args.checkpoint_path)
+    return streams.file_messages(spark, args.messages_path + folder, options=options)
+
+
+def _ingest(spark, args) -> None:
+    source = _source(spark, args, args.topic)
+    if args.once_within:
+        source = ingest.once(source, args.once_within, args.once_by)
     query = ingest.land(
         ingest.to_raw(source),
         args.raw_path,
@@ -201,6 +238,36 @@ def _ingest(spark, args) -> None:
     ingest.run_for(query, args.duration_sec)
 
 
+def _stream_gold(spark, args) -> None:
+    query = streaming_gold.maintain(
+        _source(spark, args, args.topic),
+        tables.versioned_events(args.base_path, args.processed_table),
+        tables.campaign_summary(args.base_path, args.summary_table),
+        args.checkpoint_path,
+        available_now=args.available_now,
+        interval=args.interval,
+        within_days=args.within_days,
+    )
+    ingest.run_for(query, args.duration_sec)
+
+
+def _relink(spark, args) -> None:
+    """The folders of message files are named like the topics."""
+    feeds = [
+        relink.feed(_source(spark, args, topic, f"/{topic}"), args.late)
+        for topic in (schemas.TOPICS[kind] for kind in KINDS)
+    ]
+    query = ingest.land(
+        relink.relinked(*feeds, args.click_within, args.convert_within),
+        args.output_path,
+        args.checkpoint_path,
+        partition_by=(),
+        available_now=args.available_now,
+        interval=args.interval,
+    )
+    ingest.run_for(query, args.duration_sec)
+
+
 def _smoke(spark, args) -> None:
     rows = ingest.with_ingest_time(streams.rate(spark, args.rows_per_second))
     query = ingest.land(rows, args.output_path, args.checkpoint_path, partition_by=())
@@ -309,6 +376,8 @@ def _compact(spark, args) -> None:
 
 _JOBS = {
     "ingest": _ingest,
+    "stream-gold": _stream_gold,
+    "relink": _relink,
     "smoke": _smoke,
     "silver": _silver,
     "backfill": _backfill,

@@ -398,6 +398,9 @@ def all_sql() -> dict[str, str]:
         "health_rows_per_day": _with(
             _PROCESSED, "SELECT event_date, count(*) AS rows FROM processed GROUP BY event_date"
         ),
+        "health_rows_from_footers": _with(
+            _PROCESSED, "SELECT event_date, count(*) AS rows FROM processed GROUP BY event_date"
+        ),
         "health_duplicates": _with(
             _CORRECTED,
             "SELECT event_id, count(*) AS copies FROM sent GROUP BY event_id HAVING count(*) > 1",

@@ -493,6 +493,13 @@ def health_rows_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(health.rows_per_day(_processed(spark, sf_dir)))
 
 
+def health_rows_from_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = tables.processed_events(scratch.new_path(spark, "warehouse"))
+    table.ensure(spark)
+    table.overwrite_partitions(_processed(spark, sf_dir))
+    return _plain(health.rows_per_day_from_footers(spark, table.path))
+
+
 def health_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return health.duplicate_keys(_with_corrections(spark, sf_dir))
 
@@ -832,6 +839,7 @@ ALL: dict[str, Query] = {
         interevent_gap,
         health_freshness,
         health_rows_per_day,
+        health_rows_from_footers,
         health_duplicates,
         health_files,
         compacted,

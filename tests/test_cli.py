@@ -1,13 +1,16 @@
 """The command line, from log to summary, on local files."""
 
+import json
 import os
+from datetime import datetime
 
 import pytest
 
 from clickloom import __main__ as cli
-from clickloom import session
+from clickloom import schemas, session
 from clickloom.operators import health
 from clickloom.sinks import scratch, tables
+from clickloom.sources import segments
 
 
 def test_from_log_to_summary(spark, folder, capsys):
@@ -112,3 +115,38 @@ def test_scratch_is_the_shared_folder(spark):
     (path,) = {file.rsplit("/", 1)[0] for file in scratch.written(spark.range(3), "x").inputFiles()}
     scratch.clear(spark)
     assert not os.path.exists(path.removeprefix("file:"))
+
+
+def _messages(spark, path, rows, topic):
+    """(offset, fields) as message files, each sent at its own time."""
+    lines = [(o, json.dumps(fields), datetime.fromtimestamp(fields["timestamp"])) for o, fields in rows]
+    frame = spark.createDataFrame(lines, "offset long, value string, timestamp timestamp")
+    frame.selectExpr("'k' AS key", "value", f"'{topic}' AS topic", "0 AS partition", "offset", "timestamp").write.mode("append").json(path)
+
+
+def test_stream_jobs(spark, folder):
+    start = 1_704_067_200
+    events = [(n, {"event_id": f"e{n}", "timestamp": start + n, "campaign": n % 3, "click": n % 2, "conversion": 0, "cost": 1.0}) for n in range(30)]
+    _messages(spark, f"{folder}/topic", events, "ad-events")
+    _messages(spark, f"{folder}/topic", [(100 + n, fields) for n, fields in events], "ad-events")
+    given = ["--messages-path", f"{folder}/topic", "--available-now"]
+    cli.main(["ingest", *given, "--raw-path", f"{folder}/raw", "--checkpoint-path", f"{folder}/c1", "--once-within", "1 day"])
+    assert spark.read.parquet(f"{folder}/raw").count() == 30
+
+    cli.main(["stream-gold", *given, "--base-path", f"{folder}/tables", "--checkpoint-path", f"{folder}/c2"])
+    summary = tables.campaign_summary(f"{folder}/tables").read(spark)
+    assert sorted((r.campaign, r.impressions, r.clicks) for r in summary.collect()) == [(0, 10, 5), (1, 10, 5), (2, 10, 5)]
+
+    far = start + 90 * 86_400
+    for topic, shift in (("ad-impressions", 0), ("ad-clicks", 9), ("ad-conversions", 70)):
+        rows = [(n, {"event_id": f"e{n}", "timestamp": start + n + shift}) for n in range(0, 30, 1 + shift // 9)]
+        _messages(spark, f"{folder}/three/{topic}", [*rows, (99, {"event_id": f"last {topic}", "timestamp": far})], topic)
+    cli.main(["relink", "--messages-path", f"{folder}/three", "--available-now", "--output-path", f"{folder}/linked", "--checkpoint-path", f"{folder}/c3"])
+    linked = spark.read.parquet(f"{folder}/linked")
+    assert linked.count() == 30
+    assert linked.filter("click_timestamp = timestamp + 9").count() == 15
+    assert linked.filter("conversion_timestamp = timestamp + 70").count() == 4
+
+    segments.publish(spark.read.schema(schemas.MESSAGE).json(f"{folder}/topic"), f"{folder}/placed")
+    cli.main(["ingest", "--messages-path", f"{folder}/placed", "--by-position", "--starting-offsets", "0:110", "--available-now", "--raw-path", f"{folder}/raw2", "--checkpoint-path", f"{folder}/c4"])
+    assert spark.read.parquet(f"{folder}/raw2").count() == 20

@@ -101,3 +101,20 @@ def test_duplicates_and_rows_per_day(spark):
     )
     assert [tuple(r) for r in health.duplicate_keys(rows).collect()] == [("a", 2)]
     assert {r.event_date.day: r.rows for r in health.rows_per_day(rows).collect()} == {1: 1, 2: 2}
+
+
+def test_rows_per_day_come_from_footers(spark, folder):
+    table = tables.processed_events(folder)
+    table.ensure(spark)
+    rows = spark.range(1000).selectExpr(
+        "concat('e', id) AS event_id", "if(id < 900, date_add(date'2024-01-01', cast(id % 7 AS int)), null) AS event_date",
+        "'u' AS uid", "1 AS campaign", "0 AS click", "0 AS conversion", "CAST(NULL AS bigint) AS conversion_delay_sec", "1.0D AS cost",
+        "current_timestamp() AS updated_at",
+    )
+    table.append(rows)
+    table.append(rows.limit(10))
+    found = health.rows_per_day_from_footers(spark, table.path)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)]" in plan and "PushedGroupBy: [event_date]" in plan
+    expected = health.rows_per_day(table.read(spark))
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
