@@ -74,7 +74,7 @@ def test_sweep_leaves_closed_hosts():
 
 
 def test_copies_of_one_page_are_spread(spark):
-    rows = [(7, "http://example.net/en/a")] * 3000 + [(n, f"http://h{n % 9}.org/fr/{n}") for n in range(250)]
+    rows = [(7, "http://example.net/en/a")] * 3000 + [(n, f"http://h{n % 9}.org/fr/{n}") for n in range(100, 350)]
     pages = spark.createDataFrame(rows, "page_id long, url string").repartition(5)
     rules = spark.createDataFrame(queries.RULES, "host string, path string, verdict string")
     found = url_rules.judge(pages, rules, ranges=8)
