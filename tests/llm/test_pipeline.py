@@ -1,6 +1,7 @@
 """Every stage of the pipeline on what the one before it kept."""
 
 import math
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -9,10 +10,12 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from clickloom.llm import pii
+from clickloom.llm import pii, quality
 from clickloom.sinks import scratch
 from tests.llm.test_jaccard import _brute
 from tests.llm.test_packing import _check
+from tests.llm.test_pii import masks
+from tests.llm.test_quality import _posteriors
 
 SF = "/root/testdata/sf0.01"
 OTHER = "doc_id long, text string, lang string, source string, n_chars long, digest string, leaf int"
@@ -97,3 +100,34 @@ def test_odd_documents(spark):
         packed = corpus_pipeline.STAGES[-1][1](spark, frame, SF)
         assert np.isfinite([row["offset"] for row in packed.collect()]).all()
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() > len(rows)
+
+
+def test_the_whole_pipeline_against_plain_python(spark):
+    """Posteriors row by row, every two documents compared, every token tried, the library's ids."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = docs.collect()
+    judged = _posteriors(quality.train(docs, spark.read.parquet(f"{SF}/labels.parquet")), rows)
+    texts = {
+        r["doc_id"]: r["text"] for r in rows
+        if judged[r["doc_id"]][0] >= 0.5 > judged[r["doc_id"]][1] and (r["text"] or "").split()
+    }
+    classes = _brute(list(texts.items()))
+    ids = sorted({class_id for class_id, _ in classes.values()})
+    library = Tokenizer.from_file(public_tokenizers.path(corpus_pipeline.VOCABULARY))
+    expected = set()
+    for i, spans in zip(ids, masks([texts[i] for i in ids]), strict=True):
+        text, free = "", 0
+        for kind, start, end in sorted(spans, key=lambda s: (s[1], s[2], s[0])):
+            if start >= free:
+                text += texts[i][free:start] + f"<{pii.ALL_KINDS[kind]}>"
+            free = max(free, end)
+        tokens = np.array([*library.encode(text + texts[i][free:], add_special_tokens=False).ids, 0], "<u4")
+        start = 0
+        while start < len(tokens):
+            stop = start + ((len(tokens) - start) % 2048 or 2048)
+            expected.add((i, start, stop - start, zlib.crc32(tokens[start:stop].tobytes())))
+            start = stop
+    found = [row.asDict() for row in corpus_pipeline.run(spark, SF).collect()]
+    assert {(r["doc_id"], r["start"], r["length"], r["ids_crc32"]) for r in found} == expected
+    assert len(found) == len(expected)
+    _check(found)
