@@ -18,6 +18,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,7 @@ LEAST_BLOCKS = 1 << 10
 PROBES = 6
 #: Lengths up to this have a filter each, longer ones one for each power of two.
 LENGTHS = 64
-#: Distinct runs a task counts before it hands them on, edits looked up at a time, words to a task.
+#: Runs of a text counted at a time, and distinct ones a task holds before it hands them on; edits looked up at a time, words to a task.
 RUNS = 200_000
 EDITS = 1 << 20
 WORDS = 50_000
@@ -68,25 +69,29 @@ def counted(docs: DataFrame, damage: int | None = DAMAGE) -> DataFrame:
         words = pa.array(list(counts), pa.string())
         return pa.RecordBatch.from_arrays([words, pa.array(list(counts.values()), pa.int64())], schema=target)
 
+    def add(key: str, runs: Counter, counts: Counter) -> None:
+        lower: Counter = Counter()
+        for run, n in runs.items():
+            lower[run.lower() if run.isascii() else run.translate(_LOWER)] += n
+        for run, n in lower.items():
+            if damage:
+                digest = zlib.crc32(f"{key}:{run}".encode())
+                if digest % damage == 0:
+                    at = digest % len(run)
+                    run = run[:at] + run[at + 1 :]
+            counts[run] += n
+
     def batches(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for batch in given:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                # One at a time: a very long text never becomes a list of its runs.
-                runs = Counter(found.group() for found in RUN.finditer(text.as_py()))
-                lower: Counter = Counter()
-                for run, n in runs.items():
-                    lower[run.lower() if run.isascii() else run.translate(_LOWER)] += n
-                for run, n in lower.items():
-                    if damage:
-                        digest = zlib.crc32(f"{key}:{run}".encode())
-                        if digest % damage == 0:
-                            at = digest % len(run)
-                            run = run[:at] + run[at + 1 :]
-                    counts[run] += n
-                if len(counts) >= RUNS:
-                    yield emitted(counts)
-                    counts.clear()
+                # Some at a time: neither a very long text's runs nor its distinct ones are ever held together.
+                matches = RUN.finditer(text.as_py())
+                while runs := Counter(found.group() for found in islice(matches, RUNS)):
+                    add(key, runs, counts)
+                    if len(counts) >= RUNS:
+                        yield emitted(counts)
+                        counts.clear()
         if counts:
             yield emitted(counts)
 

@@ -60,7 +60,7 @@ def test_query_against_brute_force(spark):
     assert any(form for form, *_ in expected.values())
 
 
-@pytest.mark.parametrize("filter_bytes", [spelling.FILTER_BYTES, 400])
+@pytest.mark.parametrize("filter_bytes", [spelling.FILTER_BYTES, 3000])
 def test_random_words_in_one_round_and_in_many(spark, filter_bytes):
     rng = np.random.default_rng(5)
     words = ["".join(rng.choice(list("abcÀÿ"), int(rng.integers(4, 8)))) for _ in range(3000)]
@@ -78,7 +78,7 @@ def test_chains_of_forms_and_ties(spark):
 
 
 def test_long_words_nulls_copies_and_other_columns(spark):
-    long = "ab" * 5000
+    long = "ab" * 100
     rows = [(1, f"{long} {long} {long[:-1]} {long[:-1]} x{long[1:]}", 1), (2, None, 2), (None, "Hello HELLO hellO Éllos", 3)]
     rows += [(3, f"{long} {long[:-1]} x{long[1:]} {'y' * 70} {'y' * 69} Éllos ellos", 4)] * 3 + [(4, "", 5)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, n int")
@@ -89,6 +89,13 @@ def test_long_words_nulls_copies_and_other_columns(spark):
     assert _rows(spelling.variants(docs)) == _expected(_vocabulary(plain))
 
 
+def test_a_word_of_ten_thousand_letters(spark):
+    long = "ab" * 5000
+    docs = [(1, f"{long} {long} {long} {long[:-1]} {long[:-1]} {long[:-1]} x{long[1:]} x{long[1:]} x{long[1:]} {long[:-2]}")]
+    found = _rows(spelling.variants(_docs(spark, docs), damage=None))
+    assert {word: row[2:4] for word, row in found.items()} == {long: (3, 2), long[:-1]: (3, 1), f"x{long[1:]}": (3, 1)}
+
+
 def test_no_words(spark):
     assert spelling.variants(_docs(spark, [])).collect() == []
     assert spelling.variants(_docs(spark, [(1, "a bc 1234567 ..."), (2, None)])).collect() == []
@@ -107,3 +114,12 @@ def test_filters_know_every_word_and_little_else():
     assert (array[block] & bits == bits).all()
     block, bits = looked_up(others)
     assert (array[block] & bits == bits).mean() < 0.005
+
+
+def test_a_text_counted_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(spelling, "RUNS", 50)
+    rng = np.random.default_rng(9)
+    words = ["".join(rng.choice(list("abcd"), 5)) for _ in range(2000)]
+    docs = [(1, " ".join(words)), (2, " ".join(words[:300]))]
+    found = {r["word"]: r["n"] for r in spelling.counted(_docs(spark, docs)).filter("n >= 3 AND length(word) >= 5").collect()}
+    assert found == _vocabulary(docs)
