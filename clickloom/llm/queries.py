@@ -88,7 +88,52 @@ def edited(text: str, following: str) -> str:
 def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     lexicon = imatch.Lexicon(docs, docs.count())
-    known, held = lexicon.reader(), lexicon.held
+    if lexicon.held:
+        return _fingerprints_beside(docs, lexicon)
+    return _fingerprints_joined(docs, lexicon)
+
+
+_FINGERPRINTS = (
+    "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+    "near_edited double, near_next double"
+)
+
+
+def _fingerprints_beside(docs: DataFrame, lexicon: imatch.Lexicon) -> DataFrame:
+    """Where tasks hold the lexicon: a row's fingerprints and its next row's are made side by side, and none is shuffled."""
+    known = lexicon.reader()
+    # The next row of one call is the row of the following one.
+    last: dict = {}
+
+    def of(text: str) -> str:
+        if last.get("text") != text:
+            last["text"], last["made"] = text, imatch.fingerprint(known(imatch.terms(text)), imatch.text_hash(text))
+        return last["made"]
+
+    def beside(row: dict, following: str | None) -> dict:
+        if following is None:
+            return {"guest": True}
+        text = row["text"]
+        own, changed = of(text), edited(text, following)
+        other = imatch.fingerprint(known(imatch.terms(changed)), imatch.text_hash(changed))
+        return {
+            "guest": False,
+            "doc_id": row["doc_id"],
+            "n_chars": len(text),
+            "edited_sha256": _sha(changed),
+            "fingerprint": own,
+            "edited_fingerprint": other,
+            "near_edited": imatch.likeness(own, other),
+            "near_next": imatch.likeness(own, of(following)),
+        }
+
+    made, _ = neighbours.with_next(docs, beside, f"guest boolean, {_FINGERPRINTS}")
+    return made.filter("NOT guest").drop("guest")
+
+
+def _fingerprints_joined(docs: DataFrame, lexicon: imatch.Lexicon) -> DataFrame:
+    """Where the lexicon is joined: the terms of both texts of a row are resolved first, then rows stand beside the next."""
+    known = lexicon.reader()
 
     def sample(row: dict, following: str | None) -> dict:
         text = row["text"]
@@ -96,17 +141,13 @@ def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
             "n_chars": len(text),
             "text_hash": imatch.text_hash(text),
         }
-        own, other = known(imatch.terms(text)), None
+        marks = dict.fromkeys(known(imatch.terms(text)).astype("int64").tolist(), 1)
         if following is not None:
             changed = edited(text, following)
             out["edited_hash"] = imatch.text_hash(changed)
             out["edited_sha256"] = hashlib.sha256(changed.encode()).digest()
-            other = known(imatch.terms(changed))
-        if held:
-            return fingerprinted(out, [own, other])
-        marks = dict.fromkeys(own.astype("int64").tolist(), 1)
-        for term in [] if other is None else other.astype("int64").tolist():
-            marks[term] = marks.get(term, 0) | 2
+            for term in known(imatch.terms(changed)).astype("int64").tolist():
+                marks[term] = marks.get(term, 0) | 2
         return out | {"terms": [{"term": term, "mark": mark} for term, mark in marks.items()]}
 
     def fingerprinted(row: dict, texts: list) -> dict:
@@ -115,17 +156,18 @@ def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
             row["edited_fingerprint"] = imatch.fingerprint(texts[1], row["edited_hash"])
         return row
 
-    plain = (
-        "range int, pos bigint, guest boolean, doc_id bigint, n_chars bigint, edited_sha256 binary, "
-        "fingerprint string, edited_fingerprint string"
-    )
-    columns = plain if held else (
+    samples, _ = neighbours.with_next(
+        docs,
+        sample,
         "range int, pos bigint, guest boolean, doc_id bigint, n_chars bigint, text_hash bigint, edited_hash bigint, "
-        "edited_sha256 binary, terms array<struct<term:bigint,mark:tinyint>>"
+        "edited_sha256 binary, terms array<struct<term:bigint,mark:tinyint>>",
+    )
+    samples = lexicon.resolve(
+        scratch.written(samples, "samples"),
+        fingerprinted,
+        "range int, pos bigint, guest boolean, doc_id bigint, n_chars bigint, edited_sha256 binary, "
+        "fingerprint string, edited_fingerprint string",
     )
-    samples, _ = neighbours.with_next(docs, sample, columns)
-    if not held:
-        samples = lexicon.resolve(scratch.written(samples, "samples"), fingerprinted, plain)
 
     def finish(group: list[dict]) -> list[dict]:
         group.sort(key=lambda row: row["pos"])
@@ -144,13 +186,7 @@ def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         return made
 
-    return map_groups(
-        samples,
-        ["range"],
-        finish,
-        "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "
-        "edited_fingerprint string, near_edited double, near_next double",
-    )
+    return map_groups(samples, ["range"], finish, _FINGERPRINTS)
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
