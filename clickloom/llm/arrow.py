@@ -106,6 +106,39 @@ def map_groups(
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(batches, wanted)
 
 
+def map_sorted(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    function: Callable[[Iterator[dict]], Iterator[dict]],
+    schema: str | StructType,
+) -> DataFrame:
+    """``function`` over all rows of a task, dicts that come one by one each way.
+
+    Rows with equal ``keys`` are in one task, sorted by ``keys`` and then ``order``. Nothing is gathered here but a slice.
+    """
+    wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    target = to_arrow_schema(wanted)
+
+    def rows(source: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in source:
+            for start in range(0, batch.num_rows, ROWS):
+                yield from batch.slice(start, ROWS).to_pylist()
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: list[dict] = []
+        for row in function(rows(source)):
+            made.append(row)
+            if len(made) >= ROWS:
+                yield pa.RecordBatch.from_pylist(made, schema=target)
+                made = []
+        if made:
+            yield pa.RecordBatch.from_pylist(made, schema=target)
+
+    importable(df.sparkSession)
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(batches, wanted)
+
+
 #: Keys a task remembers in looking for repeated rows.
 REMEMBERED = 500_000
 

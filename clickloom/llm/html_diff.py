@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import os
+import random
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -22,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.arrow import map_groups, map_rows
+from clickloom.llm.arrow import map_rows, map_sorted
 from clickloom.llm.html_lines import ANYWHERE, ARTICLE, FURNITURE, Line, lines
 from clickloom.llm.url_rules import host_of, path_of
 from clickloom.sinks import scratch
@@ -131,48 +132,38 @@ def beyond(ends: Iterable[tuple]) -> Iterator[tuple]:
         near = last
 
 
-def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars, and the counts of ``main_text``, for each row of ``pages`` (page_id, url, html).
-
-    A null html is empty and gives the empty text. A null url, or one without ``://``, has an empty host and path; such pages are
-    compared among themselves. Repeated rows are pages like others, but a page with all the same lines is never a pair, as
-    nothing would be left. A page without unlike pages on its host has no pair. Other columns are not read.
-
-    The sort order is cut into ranges; a range also gets the page before its first and the one after its last, and the
-    nearest with other lines than these. The lines travel once, compressed; a frequent host is cut between its paths and page ids.
-    """
-    spark = pages.sparkSession
-    kind = pages.schema["page_id"].dataType.simpleString()
+def _placed(pages: DataFrame) -> DataFrame:
+    """The pages with what they are sorted by, and a number of each row."""
     url = F.col("url")
-    placed = pages.select(
+    return pages.select(
         "page_id",
         "url",
         host_of(url).alias("host"),
         path_of(url).alias("path"),
         F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("tie"),
         F.coalesce("html", F.lit("")).alias("html"),
+        F.monotonically_increasing_id().alias("row"),
     )
 
-    def written(html: str) -> tuple[bytes, int]:
-        """The lines of a page, and what they are known by."""
-        made = json.dumps(lines(html)).encode()
-        return made, xxhash.xxh3_64_intdigest(made) - (1 << 63)
 
-    keyed = map_rows(
-        placed.select("host", "path", "tie", "html"),
-        lambda slice_: [r | {"content": written(r.pop("html"))[1]} for r in slice_],
-        "host string, path string, tie string, content bigint",
-    )
-    keys = scratch.written(keyed, "page-keys")
-    ranges = max(1, RANGES * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    share = min(1.0, SAMPLED * ranges / max(1, keys.count()))
-    drawn = sorted(tuple(row) for row in keys.select("host", "path", "tie").sample(share, seed=3).collect())
-    bounds = sorted({drawn[len(drawn) * n // ranges] for n in range(1, ranges)}) if drawn else []
+def _written(html: str) -> tuple[bytes, int]:
+    """The lines of a page, and what they are known by."""
+    made = json.dumps(lines(html)).encode()
+    return made, xxhash.xxh3_64_intdigest(made) - (1 << 63)
+
+
+def _packed(html: str) -> dict:
+    plain, content = _written(html)
+    return {"content": content, "packed": zstandard.ZstdCompressor(level=3).compress(plain)}
 
+
+def guests_of(cuts: list[tuple], keys: DataFrame) -> dict[tuple, tuple]:
+    """For each place in ``cuts``, which are places of ``keys`` in order: the nearest place before it and the nearest after it
+    with other lines, None where there is none. A place is (host, path, tie, content)."""
     numbered = map_rows(
         keys,
         lambda slice_: [
-            r | {"range": bisect_right(bounds, (r["host"], r["path"], r["tie"]))} for r in slice_
+            r | {"range": bisect_right(cuts, (r["host"], r["path"], r["tie"], r["content"]))} for r in slice_
         ],
         "host string, path string, tie string, content bigint, range int",
     )
@@ -195,81 +186,144 @@ def extract(pages: DataFrame) -> DataFrame:
         .agg(F.min(F.when(F.col("l"), key)).alias("low"), F.max(F.when(F.col("h"), key)).alias("high"))
         .collect()
     }
-    guests: dict[tuple, list[int]] = {}
-    for side, order in ((1, sorted(ends)), (0, sorted(ends, reverse=True))):
-        for at, *places in beyond((n, ends[n][side], others[n][side]) for n in order):
-            for place in filter(None, places):
-                guests.setdefault(place, []).append(at)
-
-    def parsed(slice_: list[dict]) -> list[dict]:
-        made, press = [], zstandard.ZstdCompressor(level=3)
-        sent: set[tuple] = set()
-        for row in slice_:
-            place = row["host"], row["path"], row["tie"]
-            plain, row["content"] = written(row.pop("html"))
-            row["packed"] = press.compress(plain)
-            made.append(row | {"range": bisect_right(bounds, place), "guest": False})
-            place = *place, row["content"]
-            if place not in sent:
-                made += [row | {"range": at, "guest": True} for at in guests.get(place, ())]
-                sent.add(place)
-        return made
+    order = sorted(ends)
+    before = {n: places for n, *places in beyond((n, ends[n][1], others[n][1]) for n in order)}
+    after = {n: places for n, *places in beyond((n, ends[n][0], others[n][0]) for n in reversed(order))}
 
-    source = pages.select(
-        "page_id",
-        "url",
-        host_of(url).alias("host"),
-        path_of(url).alias("path"),
-        F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("tie"),
-        F.coalesce("html", F.lit("")).alias("html"),
-    )
-    dealt = map_rows(
-        source,
-        parsed,
-        f"page_id {kind}, url string, host string, path string, tie string, content bigint, packed binary, range int, guest boolean",
+    def unlike_of(cut: tuple, places: list) -> tuple | None:
+        return next((place for place in places if place and place[-1] != cut[-1]), None)
+
+    # A cut is the first place of its range.
+    return {
+        cut: (unlike_of(cut, before[n]), others[n][0] or unlike_of(cut, after[n]))
+        for n, cut in enumerate(cuts, 1)
+    }
+
+
+def dealt(pages: DataFrame) -> DataFrame:
+    """page_id, url, host, path, tie, content, packed, range, guest: the lines of all pages, dealt over ranges of their order.
+
+    A range also gets, as guests, the places it is cut at and the nearest with other lines than these, so that every page finds its
+    nearest unlike pages in its own range. Rows alike in everything are cut by a number of their own; a guest is
+    sent once to a range, however many copies of it there are.
+    """
+    spark = pages.sparkSession
+    kind = pages.schema["page_id"].dataType.simpleString()
+    source = _placed(pages)
+    keyed = map_rows(
+        source.select("host", "path", "tie", "html"),
+        lambda slice_: [r | {"content": _written(r.pop("html"))[1]} for r in slice_],
+        "host string, path string, tie string, content bigint",
     )
+    keys = scratch.written(keyed, "page-keys")
+    ranges = max(1, RANGES * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    share = min(1.0, SAMPLED * ranges / max(1, keys.count()))
+    number = random.Random(3)
+    drawn = sorted((*row, number.getrandbits(32)) for row in keys.sample(share, seed=3).collect())
+    bounds = sorted({drawn[len(drawn) * n // ranges] for n in range(1, ranges)}) if drawn else []
+
+    cuts = sorted({bound[:-1] for bound in bounds})
+    near = guests_of(cuts, keys) if cuts else {}
+    guests: dict[tuple, set[int]] = {}
+    for n, (*cut, _) in enumerate(bounds):
+        cut = tuple(cut)
+        before, after = near[cut]
+        for at, neighbour, beside in ((n, after, n - 1), (n + 1, before, n + 1)):
+            # Between two cuts at one place there are only copies of it.
+            if not 0 <= beside < len(bounds) or bounds[beside][:-1] != cut:
+                guests.setdefault(cut, set()).add(at)
+            if neighbour:
+                guests.setdefault(neighbour, set()).add(at)
+
+    def owned(slice_: list[dict]) -> list[dict]:
+        for row in slice_:
+            row |= _packed(row.pop("html"))
+            place = row["host"], row["path"], row["tie"], row["content"]
+            own = xxhash.xxh32_intdigest(str(row.pop("row")))
+            row |= {"range": bisect_right(bounds, (*place, own)), "guest": False}
+        return slice_
 
-    def differences(group: list[dict]) -> list[dict]:
-        open_ = zstandard.ZstdDecompressor()
-        group.sort(key=lambda row: (row["host"], row["path"], row["tie"], row["content"]))
+    def invited(slice_: list[dict]) -> list[dict]:
         made = []
-        held: dict[int, list[Line]] = {}
-
-        def read(n: int) -> list[Line]:
-            if n not in held:
-                held[n] = [Line(*line) for line in json.loads(open_.decompress(group[n]["packed"]))]
-                if len(held) > 4:
-                    held.pop(next(iter(held)))
-            return held[n]
-
-        # The nearest pages with other lines, on either side.
-        size = len(group)
-        back, ahead = [-1] * size, [size] * size
-        for n in range(1, size):
-            m = size - 1 - n
-            back[n] = back[n - 1] if group[n]["content"] == group[n - 1]["content"] else n - 1
-            ahead[m] = ahead[m + 1] if group[m]["content"] == group[m + 1]["content"] else m + 1
-
-        def alike(n: int, m: int) -> int:
-            """Characters of the common path, or -1 on another host or beyond the range."""
-            if not 0 <= m < size or group[n]["host"] != group[m]["host"]:
-                return -1
-            return len(os.path.commonprefix([group[n]["path"], group[m]["path"]]))
-
-        for n, row in enumerate(group):
+        for row in slice_:
+            row |= _packed(row.pop("html")) | {"page_id": None, "url": None, "guest": True}
+            place = row["host"], row["path"], row["tie"], row["content"]
+            made += [row | {"range": at} for at in guests.get(place, ())]
+        return made
+
+    schema = (
+        f"page_id {kind}, url string, host string, path string, tie string, content bigint, packed binary, range int, guest boolean"
+    )
+    own = map_rows(source, owned, schema)
+    if not guests:
+        return own
+    # Four places for each range at most.
+    places = spark.createDataFrame(sorted({place[:3] for place in guests}), "host string, path string, tie string")
+    asked = source.drop("page_id", "url", "row").join(F.broadcast(places), ["host", "path", "tie"], "left_semi")
+    asked = asked.groupBy("host", "path", "tie", F.sha2("html", 256)).agg(F.first("html").alias("html"))
+    return own.unionByName(map_rows(asked.select("host", "path", "tie", "html"), invited, schema))
+
+
+def differences(rows: Iterable[dict]) -> Iterator[dict]:
+    """The results of pages that come in order, range by range. Of the pages with the same lines only what tells them apart is held."""
+    open_ = zstandard.ZstdDecompressor()
+
+    def read(row: dict) -> list[Line]:
+        return [Line(*line) for line in json.loads(open_.decompress(row["packed"]))]
+
+    def alike(row: dict, other: dict | None) -> int:
+        """Characters of the common path, or -1 on another host or without another page."""
+        if other is None or row["host"] != other["host"]:
+            return -1
+        return len(os.path.commonprefix([row["path"], other["path"]]))
+
+    def results(run: list[dict], before: dict | None, after: dict | None) -> Iterator[dict]:
+        made: dict[str, dict] = {}
+        page = None
+        for row in run:
             if row["guest"]:
                 continue
-            before, after = alike(n, back[n]), alike(n, ahead[n])
-            pair = None if max(before, after) < 0 else back[n] if before >= after else ahead[n]
-            found = main_text(read(n), None if pair is None else keys_of(read(pair)))
-            made.append(
-                {"page_id": row["page_id"], "url": row["url"], "n_chars": len(found["text"])} | found
-            )
-        return made
+            back, ahead = alike(row, before), alike(row, after)
+            side = "none" if max(back, ahead) < 0 else "before" if back >= ahead else "after"
+            if side not in made:
+                page = page or read(run[0])
+                pair = {"none": None, "before": before, "after": after}[side]
+                made[side] = main_text(page, None if pair is None else keys_of(read(pair)))
+            found = made[side]
+            yield {"page_id": row["page_id"], "url": row["url"], "n_chars": len(found["text"])} | found
+
+    run: list[dict] = []
+    before = None
+    for row in rows:
+        if run and (row["range"] != run[0]["range"] or row["content"] != run[0]["content"]):
+            same = row["range"] == run[0]["range"]
+            yield from results(run, before, row if same else None)
+            # The last page of a run has the run's lines.
+            before = run[-1] | {"packed": run[0]["packed"]} if same else None
+            run = []
+        if run:
+            row["packed"] = None
+        run.append(row)
+    if run:
+        yield from results(run, before, None)
+
 
-    return map_groups(
-        dealt,
+def extract(pages: DataFrame) -> DataFrame:
+    """page_id, url, text, n_chars, and the counts of ``main_text``, for each row of ``pages`` (page_id, url, html).
+
+    A null html is empty and gives the empty text. A null url, or one without ``://``, has an empty host and path; such pages are
+    compared among themselves. Repeated rows are pages like others, but a page with all the same lines is never a pair, as
+    nothing would be left. A page without unlike pages on its host has no pair. Other columns are not read.
+
+    The lines travel once, compressed. A task walks through its ranges in order and holds two pages and one run of copies, of
+    which the lines are held and aligned once; a frequent host is cut between its paths and page ids, and copies of one row between
+    each other.
+    """
+    kind = pages.schema["page_id"].dataType.simpleString()
+    return map_sorted(
+        dealt(pages),
         ["range"],
+        ["host", "path", "tie", "content"],
         differences,
         f"page_id {kind}, url string, text string, n_chars bigint, "
         "n_shared bigint, n_restored bigint, n_marked bigint, n_outside bigint",
