@@ -257,6 +257,11 @@ def all_sql() -> dict[str, str]:
             _merged("first_state", "range_rows"),
         ),
         "dataset_stats": _with(_AD_EVENTS, _STATS),
+        "stats_for_display": _with(
+            _AD_EVENTS,
+            "SELECT * REPLACE (round(total_cost, 2) AS total_cost, round(ctr, 2) AS ctr, round(cvr, 2) AS cvr, "
+            f"round(cpa, 2) AS cpa, round(avg_delay_hours, 1) AS avg_delay_hours) FROM ({_STATS})",
+        ),
         "scan_stats": _with(
             _AD_EVENTS,
             "SELECT count(*) AS total_rows, min(CASE WHEN click <> 0 THEN timestamp END) AS min_ts, "
@@ -417,6 +422,11 @@ def all_sql() -> dict[str, str]:
         "stream_upsert": _with(_PROCESSED, "SELECT * FROM processed"),
         "stream_upsert_out_of_order": _with(_CORRECTED, "SELECT * FROM newest"),
         "stream_deduplicated": _with(_AD_EVENTS, f"SELECT {_RAW_COLUMNS}, TRUE AS landed_right FROM ad"),
+        "stream_replayed": _with(
+            _AD_EVENTS,
+            'SELECT run, event_id, uid, (n % 3)::INTEGER AS partition, n // 3 AS "offset", TRUE AS arrived '
+            "FROM ad, (VALUES (1), (2)) AS runs (run)",
+        ),
         "stream_counters": _with(
             _FEED,
             "SELECT 'ad-' || event_type || 's' AS topic, count(*) AS messages FROM feed "

@@ -255,6 +255,10 @@ def dataset_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(stats.dataset_stats(event_table.ad_events(spark, sf_dir)))
 
 
+def stats_for_display(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain(stats.for_display(stats.dataset_stats(event_table.ad_events(spark, sf_dir))))
+
+
 def scan_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Over times of which those of unclicked events are no whole numbers."""
     events = event_table.ad_events(spark, sf_dir)
@@ -625,6 +629,31 @@ def stream_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(_with_landing(files.read_raw(spark, raw)))
 
 
+def stream_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A topic in one plain folder with its times of arrival, by a run of ten minutes at most; and from its beginning
+    again, by a new checkpoint."""
+    source = scratch.new_path(spark, "topic")
+    message_sink.publish_files(event_table.messages(spark, sf_dir), source)
+    runs = []
+    for run in (1, 2):
+        landed, checkpoint = (scratch.new_path(spark, x) for x in ("landed", "offsets"))
+        stream = ingest.with_ingest_time(streams.file_messages(spark, source))
+        query = ingest.land(stream, landed, checkpoint, partition_by=(), available_now=True)
+        ingest.run_for(query, 600)
+        arrived = (F.col("ingest_ts") > F.col("timestamp")) & (F.col("ingest_ts") < F.current_timestamp())
+        runs.append(
+            spark.read.parquet(landed).select(
+                F.lit(run).alias("run"),
+                F.get_json_object(F.col("value").cast("string"), "$.event_id").alias("event_id"),
+                F.col("key").cast("string").alias("uid"),
+                "partition",
+                "offset",
+                arrived.alias("arrived"),
+            )
+        )
+    return runs[0].unionByName(runs[1])
+
+
 def stream_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fan-out as a stream in two runs, counted by batch while it is sent."""
     names = ("events", "topics", "offsets", "counts")
@@ -813,6 +842,7 @@ ALL: dict[str, Query] = {
         append_batch,
         backfill_range,
         dataset_stats,
+        stats_for_display,
         scan_stats,
         fanout_all,
         fanout_impressions,
@@ -850,6 +880,7 @@ ALL: dict[str, Query] = {
         stream_upsert,
         stream_upsert_out_of_order,
         stream_deduplicated,
+        stream_replayed,
         stream_counters,
         stream_relink,
         stream_gaps,

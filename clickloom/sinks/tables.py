@@ -136,8 +136,7 @@ class PathTable:
     ) -> None:
         """The end of ``upsert`` with partition values kept in tables, however many they are.
 
-        No literals prune the scan of the target, so all of it is read; only
-        touched partitions are written again.
+        Only touched partitions are read, as in ``joined``, and written again.
         """
         spark, column = rows.sparkSession, [self.partition]
         none = target.select(column).limit(0)
@@ -146,7 +145,7 @@ class PathTable:
             scratch.staged(rows.select(column).distinct(), "arriving") as arriving,
             scratch.staged(leaving.distinct(), "leaving") as leaving,
         ):
-            result = merged(merge.semi_join(target, arriving.unionByName(leaving), column))
+            result = merged(self.joined(target, arriving.unionByName(leaving)))
             emptied = merge.anti_join(leaving, arriving, column)
             emptied = merge.anti_join(emptied, merge.semi_join(result, emptied, column), column)
             text = F.col(self.partition).cast("string").alias("value")
@@ -245,10 +244,27 @@ class PathTable:
         """Rows of ``df`` in one of ``partitions``: by literals, or by a join where they are many."""
         values = self.values(partitions)
         if values is None:
-            known = partitions.select(F.col(self.partition).cast(self.schema[self.partition].dataType))
-            return merge.semi_join(df, known, [self.partition])
+            return self.joined(df, partitions)
         return df.filter(self.among(values))
 
+    def joined(self, df: DataFrame, partitions: DataFrame) -> DataFrame:
+        """Rows of ``df`` in one of ``partitions``, which is read repeatedly, however many they are.
+
+        The partitions between the least and the greatest are left by literals. Of these
+        Spark leaves out at run time what is not in ``partitions``, if its size allows a broadcast.
+        """
+        column, kind = F.col(self.partition), self.schema[self.partition].dataType
+        low, high, nulls = partitions.agg(
+            F.min(column).cast("string"), F.max(column).cast("string"), F.count_if(column.isNull())
+        ).first()
+        without = df.filter(column.isNull() if nulls else F.lit(False))
+        if low is None:
+            return without
+        between = column.between(F.lit(low).cast(kind), F.lit(high).cast(kind))
+        # An equality, as null-safe ones do not prune; and a filter, as only filtered tables do.
+        known = partitions.select(column.cast(kind).alias(self.partition)).filter(between)
+        return df.filter(between).join(known, self.partition, "left_semi").unionByName(without)
+
     def values(self, df: DataFrame) -> set[str | None] | None:
         """Partition values present, as text: one row for each. None if over MOST_PARTITIONS."""
         text = F.col(self.partition).cast("string").alias("value")

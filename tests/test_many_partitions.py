@@ -48,3 +48,40 @@ def test_as_with_few(spark, folder, monkeypatch, options):
     assert days[0] == days[1]
     ids = [row.split(",")[0] for row in found[1]]
     assert len(ids) == len(set(ids)) == (11 if "delete_unmatched" in options else 15)
+
+
+def _scanned(df):
+    """Files read by each scan of the table, after ``df`` has run."""
+    found, waiting = [], [df._jdf.queryExecution().executedPlan()]
+    while waiting:
+        node = waiting.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            waiting.append(node.executedPlan())
+        elif name.endswith("QueryStage"):
+            waiting.append(node.plan())
+        elif name.startswith("Scan parquet") and "version" in node.schema().simpleString():
+            found.append(node.metrics().apply("numFiles").value())
+        children = node.children()
+        waiting += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+@pytest.mark.parametrize("with_null", [False, True])
+def test_joined_partitions_prune_the_scan(spark, folder, with_null):
+    table = tables.PathTable(f"{folder}/pruned", SCHEMA, "day", ("id",))
+    table.ensure(spark)
+    table.append(_rows(spark, [(n, 1, n) for n in range(30)] + [(99, 1, None)]))
+    days = [3, 21] + [None] * with_null
+    _rows(spark, [(0, 0, d) for d in days]).select("day").write.parquet(f"{folder}/known")
+    found = table.joined(table.read(spark), spark.read.parquet(f"{folder}/known"))
+    assert sorted(r["id"] for r in found.collect()) == [3, 21] + [99] * with_null
+    # Two of the 19 days from the first to the last, and the folder without a day.
+    assert sum(_scanned(found)) == 2 + with_null
+
+
+def test_no_partitions_at_all(spark, folder):
+    table = tables.PathTable(f"{folder}/none", SCHEMA, "day", ("id",))
+    table.ensure(spark)
+    table.append(_rows(spark, [(1, 1, 1), (2, 1, None)]))
+    assert table.joined(table.read(spark), table.read(spark).select("day").limit(0)).count() == 0
