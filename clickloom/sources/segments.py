@@ -1,9 +1,11 @@
 """Message folders addressed by offset, for streams that start at a given place.
 
 Messages lie in ``partition=P/segment=S``, where S is the first offset of a span of
-``SPAN`` offsets with leading zeros. A start becomes a pattern of folder names,
-so that what lies before it is not even listed; of the segment that holds the start itself,
-rows before it are filtered.
+``SPAN`` offsets with leading zeros. A delivery that would need more than MOST_SEGMENTS
+of them in a partition takes longer ones, ``segment=S-L`` of L offsets, so that
+listings and commits, which the driver holds, do not grow with the messages. A start becomes a
+pattern of folder names, so that what lies before it is not even listed; of the segments that hold the
+start itself, rows before it are filtered.
 """
 
 from __future__ import annotations
@@ -20,6 +22,11 @@ from clickloom.sinks import files
 SPAN = 1_000_000
 _DIGITS = 19
 
+#: Segments of one delivery in a partition, and by how much the next longer ones are longer.
+MOST_SEGMENTS = 512
+_LONGER = 16
+_LAST = 2**63 - 1
+
 Start = str | dict[int, int]
 
 _FILE = T.StructType(
@@ -29,15 +36,36 @@ _FILE = T.StructType(
 
 
 def publish(messages: DataFrame, path: str, span: int = SPAN) -> None:
-    """Append messages to the folders their positions name. Negative offsets are refused."""
-    first = F.floor(F.col("offset") / span) * span
-    checked = F.when(F.col("offset") >= 0, F.lpad(first.cast("string"), _DIGITS, "0")).otherwise(
-        F.raise_error(F.lit("an offset below 0"))
-    )
+    """Append messages to the folders their positions name. Negative offsets are refused.
+
+    ``span`` is the least length of a segment; how long this delivery's are is found by reading its positions first.
+    """
+    length = _length(messages, span)
+    start = F.col("offset") - F.pmod(F.col("offset"), F.lit(length).cast("bigint"))
+    name = F.concat(F.lpad(start.cast("string"), _DIGITS, "0"), F.lit("" if length == span else f"-{length}"))
+    checked = F.when(F.col("offset") >= 0, name).otherwise(F.raise_error(F.lit("an offset below 0")))
     rows = messages.withColumn("segment", checked)
     rows.hint("rebalance", "partition", "segment").write.mode("append").partitionBy("partition", "segment").json(path)
 
 
+def _lengths(span: int) -> list[int]:
+    found = [span]
+    while found[-1] * _LONGER <= _LAST:
+        found.append(found[-1] * _LONGER)
+    return found
+
+
+def _length(messages: DataFrame, span: int) -> int:
+    """The shortest length of which no partition needs more than about MOST_SEGMENTS segments."""
+    lengths = _lengths(span)
+    numbers = [F.floor(F.col("offset") / length) for length in lengths]
+    counts = messages.groupBy("partition").agg(
+        *(F.approx_count_distinct(number).alias(f"n{k}") for k, number in enumerate(numbers))
+    )
+    most = counts.agg(*(F.max(f"n{k}") for k in range(len(lengths)))).first()
+    return next((x for x, n in zip(lengths, most, strict=True) if n is None or n <= MOST_SEGMENTS), lengths[-1])
+
+
 def from_segment(start: int, span: int = SPAN) -> list[str]:
     """Patterns of the segments from the one that holds ``start`` on."""
     first = str(start // span * span).zfill(_DIGITS)
@@ -51,17 +79,23 @@ def from_segment(start: int, span: int = SPAN) -> list[str]:
 
 
 def ends(spark: SparkSession, path: str, span: int = SPAN) -> dict[int, int]:
-    """One past the last offset of each partition; only its last segment is read."""
+    """One past the last offset of each partition; only its last segment of each length is read."""
     if not files.exists(spark, path):
         return {}
     found = {}
     for name in files.names(spark, path):
         if not name.startswith("partition=") or not name[10:].isdigit():
             continue
-        segments = [s for s in files.names(spark, f"{path}/{name}") if s.startswith("segment=")]
-        if segments:
-            last = spark.read.schema(_FILE).json(f"{path}/{name}/{max(segments)}").agg(F.max("offset")).first()[0]
-            found[int(name[10:])] = int(max(segments)[8:]) if last is None else last + 1
+        # Segments of one length follow each other, so the last of each length are all that may hold the last offset.
+        last = {}
+        for segment in files.names(spark, f"{path}/{name}"):
+            if segment.startswith("segment="):
+                start, _, length = segment[8:].partition("-")
+                last[length] = max(last.get(length, (-1, "")), (int(start), segment))
+        if last:
+            paths = [f"{path}/{name}/{segment}" for _, segment in last.values()]
+            offset = spark.read.schema(_FILE).json(paths).agg(F.max("offset")).first()[0]
+            found[int(name[10:])] = max(last.values())[0] if offset is None else offset + 1
     return found
 
 
@@ -96,13 +130,21 @@ def messages(
     reader = spark.readStream.schema(_FILE).format("json").option("basePath", path)
     if start == "earliest" or not start:
         return reader.load(f"{path}/partition=*/segment=*").select(schemas.MESSAGE.names)
-    folders = [f"partition={p}/segment={name}" for p, offset in start.items() for name in from_segment(max(0, offset), span)]
+    folders = [f"partition={p}/segment={{{','.join(_wanted_names(max(0, at), span))}}}" for p, at in start.items()]
     others = _other_numbers(start)
     folders += [f"partition={p}/segment=*" for p in others]
     rows = reader.load(f"{path}/{{{','.join(folders)}}}")
     return rows.filter(_wanted(start)).select(schemas.MESSAGE.names)
 
 
+def _wanted_names(start: int, span: int) -> list[str]:
+    """``from_segment`` for segments of every length."""
+    names = from_segment(start, span)
+    for length in _lengths(span)[1:]:
+        names += [f"{name}-{length}" for name in from_segment(start, length)]
+    return names
+
+
 def _other_numbers(start: dict[int, int]) -> list[str]:
     """Patterns of all partition numbers that ``start`` does not name."""
     longest = max(len(str(p)) for p in start)

@@ -138,3 +138,32 @@ def test_other_partitions(named):
     patterns = [re.compile("^" + p.replace("*", "[0-9]*") + "$") for p in segments._other_numbers(named)]
     for number in range(2000):
         assert sum(bool(p.match(str(number))) for p in patterns) == (number not in named)
+
+
+@pytest.mark.parametrize("start", [{0: 700, 1: 0}, {0: 955}, {1: 1203}])
+def test_long_deliveries_take_few_folders(spark, folder, monkeypatch, start):
+    # Long segments between short ones, and offsets of one delivery between those of another.
+    monkeypatch.setattr(segments, "MOST_SEGMENTS", 12)
+    topic = f"{folder}/topic"
+    deliveries = [
+        [(p, o) for p in (0, 1) for o in range(100)],
+        [(p, o) for p in (0, 1) for o in range(100, 1000, 2)],
+        [(0, o) for o in range(951, 991, 2)],
+        [(1, o) for o in range(1000, 1205)],
+    ]
+    for rows in deliveries:
+        segments.publish(_messages(spark, [(p, o, event(f"{p}-{o}")) for p, o in rows]), topic, span=10)
+        sent = [row for rows in deliveries[: deliveries.index(rows) + 1] for row in rows]
+        assert segments.ends(spark, topic, 10) == {p: 1 + max(o for q, o in sent if q == p) for p in (0, 1)}
+    names = os.listdir(f"{topic}/partition=0")
+    assert len(names) <= 22 and any(name.endswith("-160") for name in names)
+    wanted = sorted((p, o) for p, o in sent if o >= start.get(p, 0))
+    assert _run(spark, folder, start, "some") == wanted
+    assert _run(spark, folder, "latest", "new") == []
+    segments.publish(_messages(spark, [(p, o, event(f"{p}-{o}")) for p in (0, 1) for o in range(2000, 2300)]), topic, span=10)
+    added = [(p, o) for p in (0, 1) for o in range(2000, 2300)]
+    assert _run(spark, folder, "latest", "new") == added
+    assert _run(spark, folder, start, "some") == sorted(wanted + added)
+    assert _run(spark, folder, "earliest", "all") == sorted(sent + added)
+    stored = [x for x in os.listdir(f"{topic}/partition=0") if x.startswith("segment=")]
+    assert len(stored) <= 26
