@@ -11,6 +11,7 @@ gives the wanted table.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
@@ -37,6 +38,13 @@ MOST_KEYS = 10_000
 _LIST = 256
 _PUSHED_KEYS = "spark.sql.parquet.pushdown.inFilterThreshold"
 
+# Spark lists up to 10,000 folders by a task each; a few tasks for a core do it as evenly, without
+# the time that starting so many takes.
+_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+_LISTERS = 4
+# Text that SQL takes between quotes as it is.
+_PLAIN = re.compile(r"[\w +.:-]*", re.ASCII)
+
 
 @dataclass(frozen=True)
 class PathTable:
@@ -51,7 +59,13 @@ class PathTable:
         empty.write.mode("ignore").partitionBy(self.partition).parquet(self.path)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(self.schema).parquet(self.path).select(self.schema.names)
+        """The table as it is now: its folders are listed by this call."""
+        before = int(spark.conf.get(_LISTING))
+        spark.conf.set(_LISTING, min(before, _LISTERS * spark.sparkContext.defaultParallelism))
+        try:
+            return spark.read.schema(self.schema).parquet(self.path).select(self.schema.names)
+        finally:
+            spark.conf.set(_LISTING, before)
 
     def append(self, df: DataFrame) -> None:
         """Blind append: running it twice doubles the rows, unlike ``upsert``."""
@@ -96,7 +110,7 @@ class PathTable:
             arriving, in_range = self._arriving(rows)
             sources = []
             if keys_move and self.partition not in self.keys:
-                sources.append(self._holding(rows, in_range, within_days))
+                sources.append(self._holding(target, rows, in_range, within_days))
             if delete_unmatched is not None:
                 sources.append(target.filter(delete_unmatched))
             if replaces is not None:
@@ -182,10 +196,10 @@ class PathTable:
         keys (ids that grow with time) and, for up to MOST_KEYS, by the keys themselves
         in the row groups' filters (ids in no order).
         """
-        return self._holding(rows, self._arriving(rows)[1], within_days)
+        return self._holding(self.read(rows.sparkSession), rows, self._in_range(rows), within_days)
 
-    def _holding(self, rows: DataFrame, in_range: Column, within_days: int | None) -> DataFrame:
-        near = self.read(rows.sparkSession).filter(in_range & self._listed(rows))
+    def _holding(self, target: DataFrame, rows: DataFrame, in_range: Column, within_days: int | None) -> DataFrame:
+        near = target.filter(in_range & self._listed(rows))
         if within_days is not None:
             near = self.within(near, self._near(rows, within_days))
         return merge.matched(near, rows, self.keys)
@@ -212,7 +226,11 @@ class PathTable:
         return tests[0] if tests else F.lit(False)
 
     def _arriving(self, rows: DataFrame) -> tuple[set[str | None] | None, Column]:
-        """The source's partitions, and where its keys lie in the target.
+        """The source's partitions, and where its keys lie in the target."""
+        return self.values(rows), self._in_range(rows)
+
+    def _in_range(self, rows: DataFrame) -> Column:
+        """Where the keys of ``rows`` lie in the target.
 
         The range is made of literals, so for ids that grow with time the scan
         skips the row groups that cannot hold a match.
@@ -230,7 +248,7 @@ class PathTable:
             in_range = F.col(key).between(F.lit(low).cast(kind), F.lit(high).cast(kind))
         if nulls:
             in_range = in_range | F.col(key).isNull()
-        return self.values(rows), in_range
+        return in_range
 
     def _near(self, rows: DataFrame, days: int) -> DataFrame:
         """The dates of ``rows`` and those up to ``days`` before and after."""
@@ -276,8 +294,16 @@ class PathTable:
     def among(self, values: set[str | None]) -> Column:
         """Rows of the given partitions, as literals that prune the scan."""
         column, kind = F.col(self.partition), self.schema[self.partition].dataType
-        known = [F.lit(value).cast(kind) for value in sorted(v for v in values if v is not None)]
-        tests = [column.isin(*known)] if known else []
+        known = sorted(v for v in values if v is not None)
+        plain = [v for v in known if _PLAIN.fullmatch(v)]
+        tests = []
+        if plain:
+            # As one text: a Python call for each value would take longer than the scan. Of the table's own
+            # type, not the column as text, so that Spark prunes by them as it does by any list.
+            name, to = f"`{self.partition}`", kind.simpleString()
+            tests.append(F.expr(f"{name} IN ({', '.join(f"CAST('{v}' AS {to})" for v in plain)})"))
+        if len(plain) < len(known):
+            tests.append(column.isin(*(F.lit(v).cast(kind) for v in known if not _PLAIN.fullmatch(v))))
         if None in values:
             tests.append(column.isNull())
         return reduce(lambda a, b: a | b, tests, F.lit(False))

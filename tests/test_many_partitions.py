@@ -1,10 +1,11 @@
 """Merges that touch more partitions than the driver takes values of."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, LongType, StructType
+from pyspark.sql.types import DateType, LongType, StringType, StructType
 
 from clickloom.sinks import tables
 
@@ -85,3 +86,46 @@ def test_no_partitions_at_all(spark, folder):
     table.ensure(spark)
     table.append(_rows(spark, [(1, 1, 1), (2, 1, None)]))
     assert table.joined(table.read(spark), table.read(spark).select("day").limit(0)).count() == 0
+
+
+def test_many_values_are_one_expression(spark, folder):
+    table = tables.PathTable(f"{folder}/quick", SCHEMA, "day", ("id",))
+    values = [str(r[0]) for r in spark.range(20_000).select(F.date_add(F.lit(dt.date(2024, 1, 1)), F.col("id").cast("int") * 900).cast("string")).collect()]
+    began = time.monotonic()
+    test = table.among({*values, None})
+    # Values one by one took more than three milliseconds each.
+    assert time.monotonic() - began < 10
+    days = spark.createDataFrame([("+51301-01-30",), ("2024-01-02",), (values[7],), (values[-1],), (None,)], "day string")
+    found = days.select(F.col("day").cast("date").alias("day")).filter(test).select(F.col("day").cast("string"))
+    assert {r.day for r in found.collect()} == {values[7], values[-1], None}
+
+
+def test_partition_values_of_any_text(spark, folder):
+    schema = StructType().add("id", LongType()).add("day", StringType())
+    table = tables.PathTable(f"{folder}/text", schema, "day", ("id",))
+    values = ["plain", "it's", "a\\b", 'q"', "", "x y", "a`b"]
+    rows = spark.createDataFrame([(n, v) for n, v in enumerate([*values, "other"])], schema)
+    assert {r.day for r in rows.filter(table.among(set(values))).collect()} == set(values)
+
+
+def test_folders_are_listed_once_and_in_few_tasks(spark, folder, monkeypatch):
+    table = tables.PathTable(f"{folder}/listed", SCHEMA, "day", ("id",))
+    table.ensure(spark)
+    table.upsert(_rows(spark, [(n, 1, n) for n in range(200)]))
+    read, tasks = tables.PathTable.read, []
+
+    def counted(self, session):
+        session.sparkContext.setJobGroup(f"listing-{folder}", "")
+        try:
+            return read(self, session)
+        finally:
+            tracker = session.sparkContext.statusTracker()
+            jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(f"listing-{folder}")]
+            tasks.append([tracker.getStageInfo(s).numTasks for job in jobs for s in job.stageIds])
+            session.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+    before = spark.conf.get(tables._LISTING)
+    monkeypatch.setattr(tables.PathTable, "read", counted)
+    table.upsert(_rows(spark, [(n, 2, n + 1) for n in range(200)]))
+    assert spark.conf.get(tables._LISTING) == before
+    assert tasks == [[32]]
