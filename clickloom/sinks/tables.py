@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -89,6 +90,8 @@ class PathTable:
         delete_unmatched: Column | None = None,
         within_days: int | None = None,
         replaces: DataFrame | None = None,
+        leaving: DataFrame | None = None,
+        written: bool = False,
     ) -> None:
         """Update the rows whose keys ``source`` has, insert the rest.
 
@@ -100,17 +103,20 @@ class PathTable:
         ``within_days`` promises that a date partition never changes by more for
         a key; only partitions so near to the source's own are then looked at.
         ``delete_unmatched`` drops target rows it holds for that the source does
-        not have, ``replaces`` those whose key it holds.
+        not have, ``replaces`` those whose key it holds. ``leaving`` spares the
+        look for moved keys where the partitions their rows lie in are known (more do no harm),
+        and ``written`` the staging of a source that is a scan of files nobody changes.
         """
-        spark = source.sparkSession
-        with scratch.staged(source.select(self.schema.names), "upsert-source") as rows:
+        spark, source = source.sparkSession, source.select(self.schema.names)
+        with nullcontext(source) if written else scratch.staged(source, "upsert-source") as rows:
             if not unique:
                 merge.require_unique(rows, self.keys)
             target = self.read(spark)
-            arriving, in_range = self._arriving(rows)
-            sources = []
-            if keys_move and self.partition not in self.keys:
-                sources.append(self._holding(target, rows, in_range, within_days))
+            arriving, sources = self.values(rows), []
+            if leaving is not None:
+                sources.append(leaving.select(self.partition))
+            elif keys_move and self.partition not in self.keys:
+                sources.append(self._holding(target, rows, within_days))
             if delete_unmatched is not None:
                 sources.append(target.filter(delete_unmatched))
             if replaces is not None:
@@ -130,11 +136,11 @@ class PathTable:
             if arriving is None or None in left:
                 self._overwrite_many(target, rows, sources, merged)
                 return
-            leaving: set[str | None] = set().union(*left)
-            result = merged(target.filter(self.among(arriving | leaving)))
+            left_from: set[str | None] = set().union(*left)
+            result = merged(target.filter(self.among(arriving | left_from)))
             # A partition all of whose rows left gets no new files, so the
             # dynamic overwrite would keep its old ones.
-            emptied = leaving - arriving
+            emptied = left_from - arriving
             if emptied:
                 emptied -= self.values(result.filter(self.among(emptied)))
             self.overwrite_partitions(result)
@@ -196,10 +202,12 @@ class PathTable:
         keys (ids that grow with time) and, for up to MOST_KEYS, by the keys themselves
         in the row groups' filters (ids in no order).
         """
-        return self._holding(self.read(rows.sparkSession), rows, self._in_range(rows), within_days)
+        return self._holding(self.read(rows.sparkSession), rows, within_days)
 
-    def _holding(self, target: DataFrame, rows: DataFrame, in_range: Column, within_days: int | None) -> DataFrame:
-        near = target.filter(in_range & self._listed(rows))
+    def _holding(self, target: DataFrame, rows: DataFrame, within_days: int | None) -> DataFrame:
+        in_range, keys = self._in_range(rows)
+        # The estimate is a few percent off; only what may be few enough is gathered to be counted.
+        near = target.filter(in_range & self._listed(rows) if keys <= 2 * MOST_KEYS else in_range)
         if within_days is not None:
             near = self.within(near, self._near(rows, within_days))
         return merge.matched(near, rows, self.keys)
@@ -227,10 +235,10 @@ class PathTable:
 
     def _arriving(self, rows: DataFrame) -> tuple[set[str | None] | None, Column]:
         """The source's partitions, and where its keys lie in the target."""
-        return self.values(rows), self._in_range(rows)
+        return self.values(rows), self._in_range(rows)[0]
 
-    def _in_range(self, rows: DataFrame) -> Column:
-        """Where the keys of ``rows`` lie in the target.
+    def _in_range(self, rows: DataFrame) -> tuple[Column, int]:
+        """Where the keys of ``rows`` lie in the target, and about how many there are.
 
         The range is made of literals, so for ids that grow with time the scan
         skips the row groups that cannot hold a match.
@@ -238,17 +246,18 @@ class PathTable:
         key = self.keys[0]
         kind = self.schema[key].dataType
         # As text, for the same reason as the partitions.
-        low, high, nulls = rows.agg(
+        low, high, nulls, keys = rows.agg(
             F.min(key).cast("string"),
             F.max(key).cast("string"),
             F.count(F.when(F.col(key).isNull(), True)),
+            F.approx_count_distinct(key),
         ).first()
         in_range = F.lit(False)
         if low is not None:
             in_range = F.col(key).between(F.lit(low).cast(kind), F.lit(high).cast(kind))
         if nulls:
             in_range = in_range | F.col(key).isNull()
-        return in_range
+        return in_range, keys
 
     def _near(self, rows: DataFrame, days: int) -> DataFrame:
         """The dates of ``rows`` and those up to ``days`` before and after."""
@@ -357,6 +366,8 @@ class CatalogTable:
         delete_unmatched: Column | None = None,
         within_days: int | None = None,
         replaces: DataFrame | None = None,
+        leaving: DataFrame | None = None,
+        written: bool = False,
     ) -> None:
         """The catalog's own MERGE, which finds duplicate and moved keys itself."""
         if replaces is not None:

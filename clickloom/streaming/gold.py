@@ -74,6 +74,8 @@ def maintain(
                 unique=True,
                 when_newer="version" if versioned else None,
                 within_days=within_days,
+                leaving=groups,
+                written=True,
             )
             sum_again(processed, summary, groups, run_at)
         files.delete(spark, journal)

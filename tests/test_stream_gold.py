@@ -5,8 +5,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from clickloom.operators import merge
 from clickloom.operators.summary import campaign_days
-from clickloom.sinks import tables
+from clickloom.sinks import scratch, tables
 from clickloom.sources import streams
 from clickloom.streaming import gold, ingest
 from tests.test_plans import plan
@@ -84,3 +85,16 @@ def test_only_touched_partitions_are_read(spark, folder):
     filters = text[text.index("PartitionFilters") :].split("]")[0]
     assert "2024-01-03" in filters or "19725" in filters
     assert {str(r.event_date) for r in found.collect()} == {"2024-01-03"}
+
+
+def test_a_batch_is_staged_and_looked_up_once(spark, folder, monkeypatch):
+    deliver(folder, "one", sent(0, "a", 1, campaign=1), sent(1, "b", 1, campaign=1))
+    run(spark, folder)
+    deliver(folder, "two", sent(2, "a", 2, campaign=2), sent(3, "b", 2, timestamp=FIRST + DAY))
+    staged, matched = [], []
+    write, look = scratch.staged, merge.matched
+    monkeypatch.setattr(scratch, "staged", lambda df, label: staged.append(label) or write(df, label))
+    monkeypatch.setattr(merge, "matched", lambda target, source, keys: matched.append(keys) or look(target, source, keys))
+    assert run(spark, folder) == {("2024-01-01", 2): 1, ("2024-01-02", None): 1}
+    # Of the processed table: the other source staged is the summary's.
+    assert staged == ["batch", "upsert-source"] and matched == [("event_id",)]
