@@ -682,10 +682,11 @@ def stream_relink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The last ones move the watermark past all impressions; they link to nothing.
     """
-    feed = _feed(spark, sf_dir)
-    seconds = F.get_json_object("value", "$.timestamp").cast("bigint")
-    sent = message_sink.encode_feed(feed).withColumns(
-        {"partition": F.lit(0), "offset": seconds, "timestamp": F.timestamp_seconds(seconds)}
+    # Times from the feed itself: taken from the payload, it would be encoded and parsed again for each filter.
+    seconds = F.col("timestamp")
+    sent = message_sink.encode_feed(
+        _feed(spark, sf_dir),
+        F.lit(0).alias("partition"), seconds.alias("offset"), F.timestamp_seconds(seconds).alias("timestamp"),
     )
     last = sent.groupBy("topic").agg(F.max("timestamp").alias("last"))
     ahead = F.unix_seconds(F.col("last")) + 90 * 86_400
@@ -698,10 +699,9 @@ def stream_relink(spark: SparkSession, sf_dir: str) -> DataFrame:
     deliveries = [sent.filter(F.col("timestamp") < first_load), sent.filter(F.col("timestamp") >= first_load), closing]
     topics, linked, checkpoint = (scratch.new_path(spark, x) for x in ("topics", "linked", "offsets"))
     for delivery in deliveries:
-        for kind in fanout.KINDS:
-            topic = schemas.TOPICS[kind]
-            message_sink.publish_files(delivery.filter(F.col("topic") == topic), f"{topics}/{topic}")
-        feeds = [relink.feed(streams.file_messages(spark, f"{topics}/{schemas.TOPICS[kind]}")) for kind in fanout.KINDS]
+        message_sink.publish_topics(delivery, topics)
+        places = [message_sink.topic_path(topics, schemas.TOPICS[kind]) for kind in fanout.KINDS]
+        feeds = [relink.feed(streams.file_messages(spark, place)) for place in places]
         rows = relink.relinked(*feeds, convert_within="4 days")
         ingest.run_for(ingest.land(rows, linked, checkpoint, partition_by=(), available_now=True))
     return _plain(spark.read.parquet(linked))

@@ -32,8 +32,8 @@ def encode_events(df: DataFrame) -> DataFrame:
     )
 
 
-def encode_feed(df: DataFrame) -> DataFrame:
-    """A mixed feed as messages, each row with its own kind's fields and topic."""
+def encode_feed(df: DataFrame, *more: Column) -> DataFrame:
+    """A mixed feed as messages, each row with its own kind's fields and topic, and ``more`` columns of the feed."""
     kinds = ("impression", "click", "conversion")
 
     def by_kind(value) -> Column:
@@ -45,6 +45,7 @@ def encode_feed(df: DataFrame) -> DataFrame:
         E.blank_to_null(F.col("uid")).alias("key"),
         by_kind(lambda kind: _json(_FIELDS[kind])).alias("value"),
         by_kind(lambda kind: F.lit(schemas.TOPICS[kind])).alias("topic"),
+        *more,
     )
 
 
@@ -56,3 +57,12 @@ def publish_kafka(df: DataFrame, bootstrap_servers: str) -> None:
 def publish_files(df: DataFrame, path: str, mode: str = "append") -> None:
     """The same messages as JSON lines, for clusters without a broker."""
     df.write.mode(mode).json(path)
+
+
+def publish_topics(df: DataFrame, path: str, mode: str = "append") -> None:
+    """``publish_files`` of several topics from one pass, each into its ``topic_path``."""
+    df.withColumn("to", F.col("topic")).write.mode(mode).partitionBy("to").json(path)
+
+
+def topic_path(path: str, topic: str) -> str:
+    return f"{path}/to={topic}"

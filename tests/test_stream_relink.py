@@ -4,9 +4,16 @@ import json
 import os
 from datetime import UTC, datetime
 
+from pyspark.sql import functions as F
+
+from clickloom import schemas
+from clickloom.checks import queries as checks
 from clickloom.operators import fanout
+from clickloom.plans import event_table
+from clickloom.sinks import messages
 from clickloom.sources import streams
 from clickloom.streaming import ingest, relink
+from tests.test_plans import plan
 
 START = 1_704_067_200
 KINDS = ("impressions", "clicks", "conversions")
@@ -101,3 +108,30 @@ def test_same_rows_as_the_batch_form(spark, folder):
     ]
     rows = fanout.relink(*batch).filter("event_id LIKE 'e%'").collect()
     assert found == {r.event_id: (r.click_timestamp, r.conversion_timestamp, r.conversion_delay_sec) for r in rows}
+
+
+def test_topics_are_published_in_one_pass(spark, folder):
+    feed = fanout.split(event_table.ad_events(spark, "/root/testdata/sf0.001"))
+    sent = messages.encode_feed(feed, F.lit(0).alias("partition"), F.col("timestamp").alias("offset"))
+    read = spark.sparkContext.accumulator(0)
+    count = F.udf(lambda n: read.add(1) or n, "bigint").asNondeterministic()
+    total = sent.count()
+    messages.publish_topics(sent.withColumn("offset", count("offset")), f"{folder}/topics")
+    assert read.value == total
+    for kind in fanout.KINDS:
+        topic = schemas.TOPICS[kind]
+        there = streams.file_messages(spark, messages.topic_path(f"{folder}/topics", topic))
+        rows = spark.read.schema(there.schema).json(messages.topic_path(f"{folder}/topics", topic))
+        columns = ["key", "value", "topic", "partition", "offset"]
+        found = sorted(map(str, rows.select(columns).collect()))
+        assert found and found == sorted(map(str, sent.filter(F.col("topic") == topic).select(columns).collect()))
+
+
+def test_the_query_encodes_each_delivery_once(spark, folder, monkeypatch):
+    published = []
+    for name in ("publish_files", "publish_topics"):
+        publish = getattr(messages, name)
+        monkeypatch.setattr(messages, name, lambda df, path, publish=publish: published.append(df) or publish(df, path))
+    checks.stream_relink(spark, "/root/testdata/sf0.001")
+    assert len(published) == 3
+    assert not any("get_json_object(to_json" in plan(df) for df in published)
